@@ -94,16 +94,17 @@ def merge_into(state: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def overlay(state: DataFrame, newer: DataFrame) -> DataFrame:
-    """``state`` with ``newer`` rows (any number per key) folded in, without regrouping all of it.
+    """Stored ``state`` with ``newer`` rows (any number per key) folded in, without regrouping all of it.
 
     Only stored rows whose key occurs in ``newer`` are folded again; the rest pass through, with
     filters and column pruning still reaching their scan. Both joins carry keys only on the right,
     and Spark broadcasts that side when its size is under the broadcast threshold.
     """
     keys = newer.select("dedupe_key").distinct()
-    untouched = state.join(keys, "dedupe_key", "left_anti").select(*MENTIONS.names)
+    untouched = state.join(keys, "dedupe_key", "left_anti").select(*STORED_MENTIONS.names)
     touched = state.join(keys, "dedupe_key", "left_semi").select(*MENTIONS.names)
-    return untouched.unionByName(fold_rows(touched.unionByName(newer.select(*MENTIONS.names))))
+    folded = fold_rows(touched.unionByName(newer.select(*MENTIONS.names)))
+    return untouched.unionByName(with_search_text(folded))
 
 
 def with_search_text(mentions: DataFrame) -> DataFrame:
