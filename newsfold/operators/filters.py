@@ -114,28 +114,23 @@ def read_filters(
 ) -> Filters:
     """Check arguments, adding to ``problems``.
 
-    Outlet and dates go through the same expressions as ingested records, over a one-row relation
-    that Spark folds at planning time. A bare date as ``until`` covers that whole day.
+    Outlet and dates go through the same expressions as ingested records, over one local row that
+    Spark evaluates at planning time. A bare date as ``until`` covers that whole day.
     """
     label, since, until = given(source), given(since), given(until)
-
-    def read(text: str | None) -> Column:
-        value = F.lit(text).cast("string")
-        return dates.read_published(F.lit("string"), F.lit(None).cast("double"), value)
-
-    row = spark.range(1).select(F.lit(label).cast("string").alias("label"), F.lit(None).cast("string").alias("host"))
-    row = with_outlet(row, "label", "host").select(
-        "source_slug",
-        *[
-            column.alias(f"{name}_{part}")
-            for name, text in (("since", since), ("until", until))
-            for part, column in (
-                ("millis", F.unix_millis(dates.published_at(read(text)))),
-                ("shape", dates.published_shape(read(text))),
-            )
-        ],
-    )
-    found = row.first()
+    texts = {"label": label, "since": since, "until": until}
+    row = spark.sql("SELECT :label AS label, :since AS since, :until AS until", args=texts)
+    columns = ["source_slug"] if label else []
+    if label:
+        row = with_outlet(row.withColumn("host", F.lit(None).cast("string")), "label", "host")
+    for name in (name for name in ("since", "until") if texts[name]):
+        number = F.lit(None).cast("double")
+        row = row.withColumn(name, dates.read_published(F.lit("string"), number, F.col(name)))
+        columns += [
+            F.unix_millis(dates.published_at(F.col(name))).alias(f"{name}_millis"),
+            dates.published_shape(F.col(name)).alias(f"{name}_shape"),
+        ]
+    found = row.select(*columns).first() if columns else None
     start = since and _bound(found["since_millis"], found["since_shape"], since, "from", problems)
     end = until and _bound(found["until_millis"], found["until_shape"], until, "to", problems)
     if start and end and start > end:

@@ -19,6 +19,7 @@ def spark():
         .appName("newsfold-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="newsfold-warehouse-"))
         .getOrCreate()
