@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,14 +48,31 @@ LABELS = {
 UNKNOWN_SLUG = "unknown"
 UNKNOWN_NAME = "Tidak diketahui"
 OTHER_PLATFORM = "other"
-PLATFORMS = ("news", "twitter", "facebook", "instagram", "other")
+
+
+@dataclass(frozen=True)
+class Directory:
+    """A fixed, hand-kept list of outlets; small enough to be part of the plan."""
+
+    outlets: tuple[tuple[str, str, str], ...]
+    hosts: dict[str, str]
+    labels: dict[str, str]
+
+    def names(self) -> Column:
+        return literal_map({slug: name for slug, name, _ in self.outlets})
+
+    def platforms(self) -> Column:
+        return literal_map({slug: platform for slug, _, platform in self.outlets})
+
+
+LISTED = Directory(tuple(OUTLETS), HOSTS, LABELS)
 
 
 def simple_label(label: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(label), "[^a-z0-9]+", " "))
 
 
-def outlet_of_host(host: Column, hosts: dict[str, str] = HOSTS) -> Column:
+def outlet_of_host(host: Column, hosts: dict[str, str]) -> Column:
     """Slug of the listed host that ``host`` equals or is a subdomain of.
 
     One map lookup per distinct depth of the listed hosts, so there is no suffix comparison
@@ -64,28 +83,19 @@ def outlet_of_host(host: Column, hosts: dict[str, str] = HOSTS) -> Column:
     return F.coalesce(*[F.try_element_at(table, F.substring_index(host, ".", -depth)) for depth in depths])
 
 
-def with_outlet(df: DataFrame, label: str, host: str) -> DataFrame:
-    """Add ``source_slug``, ``display_name`` and ``platform``; ``label`` is null unless it was text."""
-    simple = simple_label(F.col(label))
-    listed = F.coalesce(outlet_of_host(F.col(host)), F.try_element_at(literal_map(LABELS), simple))
+def with_outlet(df: DataFrame, label: str, host: str, directory: Directory = LISTED) -> DataFrame:
+    """Add ``source_slug``, ``display_name`` and ``platform``; ``label`` is null unless it was text.
+
+    The host decides, then the listed spelling of the label, then the label itself.
+    """
+    simple, slug = simple_label(F.col(label)), F.col("source_slug")
+    by_label = F.try_element_at(literal_map(directory.labels), simple)
     own_name = F.when(simple != "", F.regexp_replace(trim_whitespace(F.col(label)), rf"[{JS_SPACE}]+", " "))
-    names = literal_map({slug: name for slug, name, _ in OUTLETS})
-    platforms = literal_map({slug: platform for slug, _, platform in OUTLETS})
+    own_slug = F.nullif(F.replace(simple, F.lit(" "), F.lit("-")), F.lit(""))
+    listed_name = F.try_element_at(directory.names(), slug)
     return (
-        df.withColumn("source_slug", listed)
-        .withColumn(
-            "display_name",
-            F.when(F.col("source_slug").isNotNull(), F.try_element_at(names, F.col("source_slug"))).otherwise(
-                F.coalesce(own_name, F.lit(UNKNOWN_NAME))
-            ),
-        )
-        .withColumn("platform", F.coalesce(F.try_element_at(platforms, F.col("source_slug")), F.lit(OTHER_PLATFORM)))
-        .withColumn(
-            "source_slug",
-            F.coalesce(
-                F.col("source_slug"),
-                F.nullif(F.replace(simple, F.lit(" "), F.lit("-")), F.lit("")),
-                F.lit(UNKNOWN_SLUG),
-            ),
-        )
+        df.withColumn("source_slug", F.coalesce(outlet_of_host(F.col(host), directory.hosts), by_label))
+        .withColumn("display_name", F.coalesce(listed_name, own_name, F.lit(UNKNOWN_NAME)))
+        .withColumn("platform", F.coalesce(F.try_element_at(directory.platforms(), slug), F.lit(OTHER_PLATFORM)))
+        .withColumn("source_slug", F.coalesce(slug, own_slug, F.lit(UNKNOWN_SLUG)))
     )

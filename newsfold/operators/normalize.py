@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from newsfold.functions import dates
 from newsfold.functions.keys import with_dedupe_key
 from newsfold.functions.numbers import engagement_count
-from newsfold.functions.outlets import OTHER_PLATFORM, UNKNOWN_SLUG, with_outlet
+from newsfold.functions.outlets import LISTED, OTHER_PLATFORM, UNKNOWN_SLUG, Directory, with_outlet
 from newsfold.functions.text import blank_to_null, with_plain_text
 from newsfold.functions.urls import url_host, with_canonical_url
 
@@ -122,7 +122,7 @@ def with_clean_text(df: DataFrame) -> DataFrame:
     return cleaned.withColumn("title", F.nullif(F.col("title"), F.lit("")))
 
 
-def normalize_fields(fields: DataFrame) -> DataFrame:
+def normalize_fields(fields: DataFrame, directory: Directory = LISTED) -> DataFrame:
     """Normalise the output of :func:`project_fields`; other columns pass through."""
     kept = [
         name
@@ -147,7 +147,7 @@ def normalize_fields(fields: DataFrame) -> DataFrame:
         .withColumn("engagement", engagement_count(number, text))
     )
     steps = [
-        lambda df: with_outlet(df, "source", "host"),
+        lambda df: with_outlet(df, "source", "host", directory),
         lambda df: with_canonical_url(df, "url", "canonical_url"),
         with_clean_text,
         with_dedupe_key,
@@ -156,9 +156,9 @@ def normalize_fields(fields: DataFrame) -> DataFrame:
     return reduce(lambda df, step: step(df), steps, typed).select(*kept, *NORMALIZED)
 
 
-def normalize_records(records: DataFrame) -> DataFrame:
-    """Normalise ``record`` of every row; give only rows that pass :func:`split_malformed`."""
-    return normalize_fields(project_fields(records))
+def normalize_records(records: DataFrame, directory: Directory = LISTED) -> DataFrame:
+    """Normalise ``record`` of every row; a row that is not an object comes out empty."""
+    return normalize_fields(project_fields(records), directory)
 
 
 def renormalize_text(mentions: DataFrame) -> DataFrame:
@@ -175,6 +175,11 @@ def date_shape_census(normalized: DataFrame) -> DataFrame:
 
 
 def warning_rows(normalized: DataFrame) -> DataFrame:
-    """One row per warning of each record."""
+    """One row per warning of each record.
+
+    ``explode_outer`` on purpose: for ``explode`` Spark derives a filter on the array and rebuilds
+    the whole normalisation inside it.
+    """
     kept = [name for name in ("batch_no", "file", "pos", "arrival_seq", "external_id") if name in normalized.columns]
-    return normalized.select(*kept, F.explode("warnings").alias("warning"))
+    rows = normalized.select(*kept, F.explode_outer("warnings").alias("warning"))
+    return rows.where(F.col("warning").isNotNull())

@@ -52,31 +52,38 @@ def read_array_files(spark: SparkSession, path: str) -> Feed:
     return array_documents(texts.select(F.col("_metadata.file_path").alias("file"), "value"))
 
 
-def _place_in_file() -> Column:
-    """A number that grows with the line within its file, without counting the lines before a split.
-
-    A split starts at byte ``file_block_start``; the lines of one task are fewer than the bytes of
-    one split, because every line that holds a record has two bytes at least and a task packs no
-    more bytes than a split has. So split start plus line number within the task is unique and in
-    order, whatever the size of the file.
+def line_documents(lines: DataFrame) -> Feed:
+    """Feed of ``file, block_start, value``, one record per row in line order.
+
+    ``pos`` grows with the line within its file, without counting the lines before a split. A split
+    starts at byte ``block_start``; the lines of one task are fewer than the bytes of one split,
+    because every line that holds a record has two bytes at least and a task packs no more bytes
+    than a split has. So split start plus line number within the task is unique and in order,
+    whatever the size of the file. A line that is not JSON is a malformed record.
     """
     line_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return F.col("_metadata.file_block_start") + line_in_task
+    rows = lines.where(F.length("value") > 0).select(
+        "file",
+        (F.col("block_start") + line_in_task).alias("pos"),
+        F.lit(False).alias("refused"),
+        F.try_parse_json("value").alias("record"),
+    )
+    return Feed(rows, LINES_STRIDE)
+
+
+def text_lines(reader: DataFrame) -> DataFrame:
+    """``file, block_start, value`` of a text scan, batch or stream."""
+    return reader.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), "value"
+    )
 
 
 def read_line_files(spark: SparkSession, path: str) -> Feed:
     """One record per line: the form for large feeds, split over tasks by Spark.
 
-    ``pos`` is in line order but not dense. A line that is not JSON is a malformed record. Files
-    must not be compressed; a compressed file has no splits that its bytes could number.
+    Files must not be compressed; a compressed file has no splits that its bytes could number.
     """
-    rows = spark.read.text(path).where(F.length("value") > 0).select(
-        F.col("_metadata.file_path").alias("file"),
-        _place_in_file().alias("pos"),
-        F.lit(False).alias("refused"),
-        F.try_parse_json("value").alias("record"),
-    )
-    return Feed(rows, LINES_STRIDE)
+    return line_documents(text_lines(spark.read.text(path)))
 
 
 def read_parquet_files(spark: SparkSession, path: str) -> Feed:

@@ -7,11 +7,10 @@ recognised by its id and applied once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from newsfold.sources.feed import array_documents
+from newsfold.sources.feed import array_documents, line_documents, text_lines
 from newsfold.sources.store import MentionStore
 
 
@@ -20,23 +19,22 @@ def start_ingest(
     feed_path: str,
     checkpoint: str,
     name: str = "feed",
+    lines: bool = False,
     max_files: int = 10_000,
     once: bool = False,
 ) -> StreamingQuery:
-    """Keep ``store`` current with JSON array files that appear under ``feed_path``.
+    """Keep ``store`` current with files that appear under ``feed_path``.
 
-    ``name`` identifies the stream and must stay the same for one ``checkpoint``. With ``once`` the
-    query takes what is there and stops.
+    A file holds one JSON array, or one record per line with ``lines``. ``name`` identifies the
+    stream and must stay the same for one ``checkpoint``. With ``once`` the query takes what is
+    there and stops.
     """
-    spark: SparkSession = store.spark
-    files = (
-        spark.readStream.option("maxFilesPerTrigger", max_files)
-        .text(feed_path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("file"), "value")
-    )
+    reader = store.spark.readStream.option("maxFilesPerTrigger", max_files)
+    files = text_lines(reader.text(feed_path, wholetext=not lines))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.ingest(array_documents(batch), stream=name, batch_id=batch_id)
+        feed = line_documents(batch) if lines else array_documents(batch)
+        store.ingest(feed, stream=name, batch_id=batch_id)
 
     writer = files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(f"ingest-{name}")
     return (writer.trigger(availableNow=True) if once else writer).start()
