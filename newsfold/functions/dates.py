@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsfold.functions.text import trim_whitespace
-
 REPORT_ZONE = "Asia/Kuala_Lumpur"
 REPORT_OFFSET_SECONDS = 8 * 3600  # UTC+8 without daylight saving for all accepted years
 DAY_SECONDS = 24 * 3600
@@ -25,9 +23,10 @@ MISSING = "tidak-ada"
 UNREADABLE = "gagal-dibaca"
 
 # Patterns of the date shapes, and the accepted years.
-ISO_TEXT = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[Tt ]([0-9]{2}:[0-9]{2})(:[0-9]{2})?(\.[0-9]+)?"
-ISO_ZONED_TEXT = ISO_TEXT + r"\s*(?:[Zz]|([+-])([0-9]{2}):?([0-9]{2}))$"
-ISO_UNZONED_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2})?(\.[0-9]+)?$"
+ISO_CLOCK = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2})?(\.[0-9]+)?"
+ISO_ZONE = r"\s*(Z|[+-][0-9]{2}:?[0-9]{2})$"
+ISO_ZONED_TEXT = f"(?i){ISO_CLOCK}{ISO_ZONE}"
+ISO_UNZONED_TEXT = f"{ISO_CLOCK}$"
 DATE_ONLY_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 SLASHED_TEXT = r"^([0-9]{1,2})[/\-.]([0-9]{1,2})[/\-.]([0-9]{4})$"
 UNIX_TEXT = r"^[0-9]{10,13}$"
@@ -46,24 +45,22 @@ def _unix_millis(value: Column) -> Column:
     return F.when(in_range, millis.cast("bigint"))
 
 
-def _iso_millis(text: Column) -> Column:
-    seconds = F.regexp_extract(text, ISO_TEXT, 3)
-    fraction = F.regexp_extract(text, ISO_TEXT, 4)
-    clock = F.concat(
-        F.regexp_extract(text, ISO_TEXT, 1),
-        F.lit("T"),
-        F.regexp_extract(text, ISO_TEXT, 2),
-        F.when((seconds == "") & (fraction == ""), F.lit(":00")).otherwise(F.concat(seconds, fraction)),
-        F.lit("Z"),
-    )
-    sign = F.regexp_extract(text, ISO_ZONED_TEXT, 5)
-    hours = F.regexp_extract(text, ISO_ZONED_TEXT, 6).try_cast("int")
-    minutes = F.regexp_extract(text, ISO_ZONED_TEXT, 7).try_cast("int")
-    shift = (
-        F.when(sign == "", F.lit(0))
-        .when((hours < 24) & (minutes < 60), (hours * 60 + minutes) * F.when(sign == "-", -1).otherwise(1))
+def _iso_millis(text: Column, zoned: bool) -> Column:
+    """The layout up to the minutes is fixed, so only the tail is looked at."""
+    clock = F.regexp_replace(text, f"(?i){ISO_ZONE}", "") if zoned else text
+    seconds = F.when(F.length(clock) == 16, F.lit(":00")).otherwise(F.substr(clock, F.lit(17)))
+    instant = F.concat(F.substring(clock, 1, 10), F.lit("T"), F.substring(clock, 12, 5), seconds, F.lit("Z"))
+    millis = _utc_millis(instant)
+    if not zoned:
+        return millis
+    digits = F.replace(F.right(text, F.lit(6)), F.lit(":"), F.lit(""))
+    hours = F.substr(digits, F.length(digits) - 3, F.lit(2)).try_cast("int")
+    minutes = F.right(digits, F.lit(2)).try_cast("int")
+    ahead = F.when(F.contains(F.right(text, F.lit(6)), F.lit("-")), -1).otherwise(1)
+    shift = F.when(F.lower(F.right(text, F.lit(1))) == "z", F.lit(0)).when(
+        (hours < 24) & (minutes < 60), (hours * 60 + minutes) * ahead
     )
-    return _utc_millis(clock) - shift.cast("bigint") * 60_000
+    return millis - shift.cast("bigint") * 60_000
 
 
 def _local_midnight_millis(year: Column, month: Column, day: Column) -> Column:
@@ -84,9 +81,9 @@ def read_published(kind: Column, number: Column, text: Column) -> Column:
 
     ``kind`` is ``string``, ``number``, ``null`` or anything else for other JSON types. A value that
     has a known shape but no real date, or a year outside 2000..2100, keeps its shape here with null
-    ``millis``; :func:`published_shape` turns that into the unreadable shape.
+    ``millis``; :func:`published_shape` turns that into the unreadable shape. ``text`` is trimmed; it
+    is read many times, so it should be a column and not an expression.
     """
-    trimmed = trim_whitespace(text)
 
     def found(millis: Column, shape: str) -> Column:
         return F.struct(millis.cast("bigint").alias("millis"), F.lit(shape).alias("shape"))
@@ -96,18 +93,18 @@ def read_published(kind: Column, number: Column, text: Column) -> Column:
         F.when(kind == "null", found(nothing, MISSING))
         .when(kind == "number", found(_unix_millis(number), UNIX_NUMBER))
         .when(kind != "string", found(nothing, UNREADABLE))
-        .when(trimmed == "", found(nothing, MISSING))
-        .when(trimmed.rlike(UNIX_TEXT), found(_unix_millis(trimmed.try_cast("double")), UNIX_NUMBER))
-        .when(trimmed.rlike(ISO_ZONED_TEXT), found(_iso_millis(trimmed), ISO_ZONED))
-        .when(trimmed.rlike(ISO_UNZONED_TEXT), found(_iso_millis(trimmed), ISO_UNZONED))
+        .when(text == "", found(nothing, MISSING))
+        .when(text.rlike(UNIX_TEXT), found(_unix_millis(text.try_cast("double")), UNIX_NUMBER))
+        .when(text.rlike(ISO_ZONED_TEXT), found(_iso_millis(text, True), ISO_ZONED))
+        .when(text.rlike(ISO_UNZONED_TEXT), found(_iso_millis(text, False), ISO_UNZONED))
         .when(
-            trimmed.rlike(DATE_ONLY_TEXT),
+            text.rlike(DATE_ONLY_TEXT),
             found(
-                _local_midnight_millis(*(F.split_part(trimmed, F.lit("-"), F.lit(part)) for part in (1, 2, 3))),
+                _local_midnight_millis(*(F.split_part(text, F.lit("-"), F.lit(part)) for part in (1, 2, 3))),
                 DATE_ONLY,
             ),
         )
-        .when(trimmed.rlike(SLASHED_TEXT), found(_slashed_millis(trimmed), DAY_MONTH_YEAR))
+        .when(text.rlike(SLASHED_TEXT), found(_slashed_millis(text), DAY_MONTH_YEAR))
         .otherwise(found(nothing, UNREADABLE))
     )
 

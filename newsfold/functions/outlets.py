@@ -88,14 +88,16 @@ def with_outlet(df: DataFrame, label: str, host: str, directory: Directory = LIS
 
     The host decides, then the listed spelling of the label, then the label itself.
     """
-    simple, slug = simple_label(F.col(label)), F.col("source_slug")
+    simple, slug = F.col("simple_label"), F.col("source_slug")
     by_label = F.try_element_at(literal_map(directory.labels), simple)
     own_name = F.when(simple != "", F.regexp_replace(trim_whitespace(F.col(label)), rf"[{JS_SPACE}]+", " "))
     own_slug = F.nullif(F.replace(simple, F.lit(" "), F.lit("-")), F.lit(""))
     listed_name = F.try_element_at(directory.names(), slug)
     return (
-        df.withColumn("source_slug", F.coalesce(outlet_of_host(F.col(host), directory.hosts), by_label))
+        df.withColumn("simple_label", simple_label(F.col(label)))
+        .withColumn("source_slug", F.coalesce(outlet_of_host(F.col(host), directory.hosts), by_label))
         .withColumn("display_name", F.coalesce(listed_name, own_name, F.lit(UNKNOWN_NAME)))
         .withColumn("platform", F.coalesce(F.try_element_at(directory.platforms(), slug), F.lit(OTHER_PLATFORM)))
         .withColumn("source_slug", F.coalesce(slug, own_slug, F.lit(UNKNOWN_SLUG)))
+        .drop("simple_label")
     )

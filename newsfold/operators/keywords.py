@@ -63,6 +63,16 @@ def postings(mentions: DataFrame) -> DataFrame:
     )
 
 
+def write_index(mentions: DataFrame, path: str) -> None:
+    """Store :func:`postings` so that a reader of a few words opens few files.
+
+    Ranges of word and id: a word that a large share of all mentions holds spans several files
+    instead of filling one.
+    """
+    index = postings(mentions).repartitionByRange("token", "id").sortWithinPartitions("token", "id")
+    index.write.mode("overwrite").parquet(path)
+
+
 def ids_of_words(index: DataFrame, words: list[str]) -> DataFrame:
     """Ids of mentions that hold all ``words``, from the index alone."""
     wanted = sorted({word.lower() for word in words})

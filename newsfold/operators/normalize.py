@@ -11,7 +11,7 @@ from newsfold.functions import dates
 from newsfold.functions.keys import with_dedupe_key
 from newsfold.functions.numbers import engagement_count
 from newsfold.functions.outlets import LISTED, OTHER_PLATFORM, UNKNOWN_SLUG, Directory, with_outlet
-from newsfold.functions.text import blank_to_null, with_plain_text
+from newsfold.functions.text import blank_to_null, trim_whitespace, with_plain_text
 from newsfold.functions.urls import url_host, with_canonical_url
 
 TEXT_FIELDS = ("external_id", "source", "title", "content", "url", "author")
@@ -138,6 +138,7 @@ def normalize_fields(fields: DataFrame, directory: Directory = LISTED) -> DataFr
         .withColumn("author", blank_to_null(F.col("author")))
         .withColumn("host", url_host(F.col("url")))
         .withColumn("published_at_raw", F.col("published_at_text"))
+        .withColumn("published_at_text", trim_whitespace(F.col("published_at_text")))
         .withColumn(
             "read_date",
             dates.read_published(F.col("published_at_kind"), F.col("published_at_number"), F.col("published_at_text")),

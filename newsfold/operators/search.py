@@ -17,7 +17,7 @@ OFFSET_MAX = 2**53 - 1
 NO_TEXT_HEADING = "(no text)"
 
 # Rows one task may take to skip an offset; deeper pages are located by counts first.
-SKIP_ROWS = 10_000
+SKIP_ROWS = 5_000
 
 PAGE_COLUMNS = [
     "id",

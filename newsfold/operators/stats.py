@@ -74,22 +74,19 @@ def source_choices(mentions: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def summary_tiles(mentions: DataFrame, request: SearchRequest) -> DataFrame:
-    """``tile, value``: total, outlets and dated local days under the filters, engagement of the page."""
-    matched = request.filters.apply(mentions)
-    by_source = matched.groupBy("source_slug").agg(F.count(F.lit(1)).alias("total"))
-    by_day = matched.where(F.col("published_at").isNotNull()).select(
-        dates.local_day(F.col("published_at")).alias("day")
-    ).distinct()
-    page = page_of(mentions, request)
-
-    def tile(df: DataFrame, name: str, value) -> DataFrame:
-        return df.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("value")).select(
-            F.lit(name).alias("tile"), "value"
-        )
+    """``tile, value``: total, outlets and dated local days under the filters, engagement of the page.
 
-    return (
-        tile(by_source, "total", F.sum("total"))
-        .unionByName(tile(by_source, "sources", F.count(F.lit(1))))
-        .unionByName(tile(by_day, "days", F.count(F.lit(1))))
-        .unionByName(tile(page, "page_engagement", F.sum("engagement")))
+    The first three come from one scan, grouped by outlet and day; undated mentions count in the
+    total and in their outlet but are no day.
+    """
+    day = dates.local_day(F.col("published_at")).alias("day")
+    groups = request.filters.apply(mentions).groupBy("source_slug", day).agg(F.count(F.lit(1)).alias("total"))
+    tiles = groups.agg(
+        F.sum("total").alias("total"),
+        F.count_distinct("source_slug").alias("sources"),
+        F.count_distinct("day").alias("days"),
+    ).unpivot([], ["total", "sources", "days"], "tile", "value")
+    page = page_of(mentions, request).agg(F.sum("engagement").alias("value"))
+    return tiles.unionByName(page.select(F.lit("page_engagement").alias("tile"), "value")).select(
+        "tile", F.coalesce("value", F.lit(0)).cast("bigint").alias("value")
     )

@@ -14,13 +14,14 @@ from newsfold.functions import dates
 from newsfold.functions.keys import fingerprint, with_dedupe_key
 from newsfold.functions.numbers import engagement_count
 from newsfold.functions.outlets import with_outlet
-from newsfold.functions.text import with_plain_text
+from newsfold.functions.text import trim_whitespace, with_plain_text
 from newsfold.functions.urls import url_host, with_canonical_url
 from newsfold.operators import keywords, merge, normalize, search, stats
 from newsfold.operators.filters import Filters
 from newsfold.plans import feeds
 from newsfold.session import checkpoint_dir, configured
 from newsfold.sources.feed import Feed, array_documents
+from newsfold.sources.scan import spread
 from newsfold.sources.store import MentionStore
 from newsfold.streaming.ingest_stream import start_ingest
 
@@ -72,8 +73,16 @@ def ranked(page: DataFrame) -> DataFrame:
     return page.withColumn("rank", F.row_number().over(Window.orderBy(*search.display_order())))
 
 
-def counted(mentions: DataFrame, name: str = "mentions") -> DataFrame:
-    return mentions.agg(F.count(F.lit(1)).alias(name))
+def run_folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/newsfold-{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once for several uses, and safe
+    when executors are lost."""
+    path = run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 # --- pages: URL, outlet and text steps ----------------------------------------------------------
@@ -100,7 +109,8 @@ def page_outlet(spark, folder):
 
 @query
 def page_text(spark, folder):
-    return with_plain_text(feeds.table(spark, folder, "pages").select("page_id", "html"), "html", "text").drop("html")
+    pages = spread(feeds.table(spark, folder, "pages").select("page_id", "html"), "page_id")
+    return with_plain_text(pages, "html", "text").drop("html")
 
 
 def page_mentions_normalized(spark, folder):
@@ -123,7 +133,7 @@ def page_normalized(spark, folder):
 @query
 def page_count_by_outlet(spark, folder):
     """Pages per outlet after duplicates are merged."""
-    normalized = page_mentions_normalized(spark, folder)
+    normalized = staged(page_mentions_normalized(spark, folder), "pages")
     mentions = merge.fold_rows(merge.as_rows(normalized, now()))
     return stats.count_by_source(mentions, merge.batch_sources(normalized, now()))
 
@@ -140,7 +150,7 @@ def page_renormalized(spark, folder):
 
 def document_keys(spark, folder):
     """Documents with language as outlet and text as content."""
-    documents = feeds.table(spark, folder, "documents")
+    documents = spread(feeds.table(spark, folder, "documents"), "doc_id")
     return with_dedupe_key(
         documents.select(
             "doc_id",
@@ -157,7 +167,8 @@ def document_keys(spark, folder):
 
 @query
 def doc_fingerprint(spark, folder):
-    return feeds.table(spark, folder, "documents").select("doc_id", fingerprint(F.col("text")).alias("fingerprint"))
+    documents = spread(feeds.table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return documents.select("doc_id", fingerprint(F.col("text")).alias("fingerprint"))
 
 
 @query
@@ -223,7 +234,7 @@ def doc_upsert_counts(spark, folder):
 
 def document_mentions(spark, folder):
     """Documents as stored mentions, dated by the event of the same number."""
-    documents = feeds.table(spark, folder, "documents")
+    documents = spread(feeds.table(spark, folder, "documents").drop("lang"), "doc_id")
     moments = feeds.table(spark, folder, "events").select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("published_at"))
     rows = documents.join(moments, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
@@ -302,7 +313,9 @@ def doc_index(spark, folder):
 
 @query
 def doc_index_search(spark, folder):
-    index = keywords.postings(document_mentions(spark, folder))
+    path = run_folder(spark, "index")
+    keywords.write_index(document_mentions(spark, folder), path)
+    index = spark.read.parquet(path)
     return keywords.ids_of_words(index, ["the", "with", "from"]).select(F.col("id").alias("doc_id"))
 
 
@@ -391,7 +404,7 @@ def doc_display_rows(spark, folder):
 @query
 def list_equals_stats(spark, folder):
     """The listing's total and both sums of counts, per filter set."""
-    mentions, sources = document_mentions(spark, folder), document_sources(spark, folder)
+    mentions, sources = staged(document_mentions(spark, folder), "documents"), document_sources(spark, folder)
     sets = {
         "none": Filters(),
         "word": Filters(q="the"),
@@ -420,6 +433,7 @@ def events_normalized(spark, folder):
 @query
 def event_dates(spark, folder):
     fields = normalize.project_fields(feeds.event_records(spark, folder))
+    fields = fields.withColumn("published_at_text", trim_whitespace(F.col("published_at_text")))
     read = dates.read_published(F.col("published_at_kind"), F.col("published_at_number"), F.col("published_at_text"))
     return fields.select("arrival_seq", read.alias("read")).select(
         F.col("arrival_seq").alias("event_id"),
@@ -545,7 +559,7 @@ def feed_sources(spark, folder):
 
 @query
 def feed_count_by_source(spark, folder):
-    normalized = feed_normalized(spark, folder)
+    normalized = staged(feed_normalized(spark, folder), "feed")
     mentions = merge.fold_rows(merge.as_rows(normalized, now()))
     return stats.source_choices(mentions, merge.batch_sources(normalized, now()))
 
@@ -555,10 +569,6 @@ def feed_count_by_day(spark, folder):
     return stats.count_by_day(merge.fold_rows(merge.as_rows(feed_normalized(spark, folder), now())))
 
 
-def run_folder(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/newsfold-{name}-{uuid.uuid4().hex}"
-
-
 def delivered(spark, folder, late: bool) -> Feed:
     """The document feed of the first ten crawlers, or of the others."""
     records = feeds.document_records(spark, folder)

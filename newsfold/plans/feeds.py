@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsfold.functions.outlets import Directory
+from newsfold.sources.scan import spread
 
 # Hosts of the supplied pages; one top domain stays unlisted on purpose.
 PAGE_OUTLETS = Directory(
@@ -48,7 +49,7 @@ def loose_count(kind: Column, value: Column) -> Column:
 
 def event_records(spark: SparkSession, folder: str) -> DataFrame:
     """``arrival_seq, record``: events with loosely typed date and count."""
-    events = table(spark, folder, "events")
+    events = spread(table(spark, folder, "events").drop("props"), "event_id")
     fields = F.struct(
         F.col("user_id").cast("string").alias("external_id"),
         F.col("event_type").alias("source"),
@@ -63,7 +64,7 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
 
     Both sides of the join have unique keys, so it spreads evenly whatever the data.
     """
-    documents = table(spark, folder, "documents")
+    documents = spread(table(spark, folder, "documents").drop("n_chars"), "doc_id")
     events = table(spark, folder, "events").select(F.col("event_id").alias("doc_id"), "ts", "event_type", "value", "user_id")
     lang = F.col("lang")
     label = F.when(lang == "en", "The Star").when(lang == "fr", "NEW STRAITS TIMES").when(lang == "de", " Berita  Harian ")
@@ -94,7 +95,8 @@ def page_records(spark: SparkSession, folder: str) -> DataFrame:
         F.col("html").alias("content"),
         F.col("url").alias("url"),
     )
-    return table(spark, folder, "pages").select(F.col("page_id").alias("arrival_seq"), F.to_variant_object(fields).alias("record"))
+    pages = spread(table(spark, folder, "pages"), "page_id")
+    return pages.select(F.col("page_id").alias("arrival_seq"), F.to_variant_object(fields).alias("record"))
 
 
 def conversation_records(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ def configured(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a scratch folder only where none is named (tests)."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
     current = spark.sparkContext.getCheckpointDir()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 ARRAY_STRIDE = 2**32
 LINES_STRIDE = 2**40
 LAST_NUMBER = 2**63 - 1
+BROADCAST_BYTES = 32 * 2**20
 
 NOT_AN_ARRAY = "a batch must be a JSON array"
 
@@ -107,9 +108,13 @@ def with_arrival_numbers(rows: DataFrame, files: list[str], stride: int, first_s
     """Add ``arrival_seq``: files in name order, then the position, all above earlier batches.
 
     ``files`` are the distinct names, one short row each, as Spark's own file listing holds them.
+    Their size is known here, so they are broadcast only up to a fixed size; a longer list is
+    joined by shuffling, where adaptive execution splits a file that holds many rows.
     """
     if first_seq + len(files) * stride > LAST_NUMBER:
         raise ValueError("arrival numbers are used up")
     starts = [(name, first_seq + at * stride) for at, name in enumerate(sorted(files))]
     listed = rows.sparkSession.createDataFrame(starts, "file string, first_seq bigint")
+    if sum(len(name) + 8 for name in files) <= BROADCAST_BYTES:
+        listed = F.broadcast(listed)
     return rows.join(listed, "file").withColumn("arrival_seq", F.col("first_seq") + F.col("pos")).drop("first_seq")

@@ -224,12 +224,9 @@ class MentionStore:
         if newer is None:
             return current
         version = current.manifest.version + 1
-        merged = merge.merge_into(current.base(), merge.fold_rows(newer))
-        laid_out = (
-            merge.with_search_text(merged)
-            .repartitionByRange("published_at", "id")
-            .sortWithinPartitions("source_slug", "published_at")
-        )
+        merged = merge.merge_into(current.base(), merge.fold_rows(newer)).repartitionByRange("published_at", "id")
+        # After the shuffle, so that the search words are neither moved nor computed for its sample.
+        laid_out = merge.with_search_text(merged).sortWithinPartitions("source_slug", "published_at")
         self._write(laid_out, f"base/version={version}")
         rows = self.spark.read.parquet(self.path(f"base/version={version}")).count()
         return self._commit(
