@@ -99,14 +99,33 @@ def _seek(rows: DataFrame, offset: int) -> tuple[DataFrame, int]:
     return rows.where(from_here | prefix), remaining
 
 
-def page_of(mentions: DataFrame, request: SearchRequest) -> DataFrame:
-    """The rows of one page, in order, as stored columns plus ``position``."""
+def page_keys(mentions: DataFrame, request: SearchRequest) -> DataFrame:
+    """``id, micros`` of the rows of one page, in order, from the filter and sort columns alone."""
     matched = request.filters.apply(mentions)
     offset = request.offset
     if offset > SKIP_ROWS:
         matched, offset = _seek(matched, offset)
-    page = matched.select(*PAGE_COLUMNS).orderBy(*display_order())
-    return page.offset(offset).limit(request.limit) if offset else page.limit(request.limit)
+    ordered = matched.select("id", "published_at").orderBy(*display_order())
+    page = ordered.offset(offset).limit(request.limit) if offset else ordered.limit(request.limit)
+    return page.select("id", F.unix_micros("published_at").alias("micros"))
+
+
+def page_of(mentions: DataFrame, request: SearchRequest) -> DataFrame:
+    """The rows of one page, in order, as stored columns.
+
+    First the keys of the page, at most a hundred, then their rows by literal bounds on id and date.
+    The scan for the texts can so skip every file and row group outside the page.
+    """
+    keys = page_keys(mentions, request).collect()
+    if not keys:
+        return mentions.select(*PAGE_COLUMNS).where(F.lit(False))
+    dated = [micros for _, micros in keys if micros is not None]
+    when = F.col("published_at").isNull() if len(dated) < len(keys) else F.lit(False)
+    if dated:
+        first, last = (F.timestamp_micros(F.lit(bound)) for bound in (min(dated), max(dated)))
+        when = when | F.col("published_at").between(first, last)
+    rows = mentions.where(when & F.col("id").isin([key for key, _ in keys]))
+    return rows.select(*PAGE_COLUMNS).orderBy(*display_order()).limit(request.limit)
 
 
 def shaped(page: DataFrame, sources: DataFrame) -> DataFrame:

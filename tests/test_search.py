@@ -75,10 +75,15 @@ def test_deep_pages_equal_a_plain_sort(spark, tables, monkeypatch):
         assert [row["id"] for row in page.collect()] == expected[offset : offset + 5], offset
 
 
-def test_page_is_taken_without_a_full_sort(spark, tables):
-    request = search.SearchRequest(Filters(), 5, 5)
-    plan = search.page_of(tables[0], request)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
+def test_page_keys_need_no_full_sort_and_no_texts(spark, tables, tmp_path):
+    tables[0].write.parquet(str(tmp_path / "mentions"))
+    stored = spark.read.parquet(str(tmp_path / "mentions"))
+    keys = search.page_keys(stored, search.SearchRequest(Filters(), 5, 5))
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "ReadSchema: struct<id:bigint,published_at:timestamp>" in plan
+    rows = search.page_of(stored, search.SearchRequest(Filters(), 2, 0))
+    scan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in scan or "GreaterThanOrEqual(published_at" in scan
 
 
 KEYWORDS = [
