@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsfold.functions.binding import bind
+from newsfold.functions.text import trim_whitespace
+
 REPORT_ZONE = "Asia/Kuala_Lumpur"
 REPORT_OFFSET_SECONDS = 8 * 3600  # UTC+8 without daylight saving for all accepted years
 DAY_SECONDS = 24 * 3600
@@ -80,44 +83,53 @@ def read_published(kind: Column, number: Column, text: Column) -> Column:
     """STRUCT(millis, shape) of a JSON value given its kind, its number and its text.
 
     ``kind`` is ``string``, ``number``, ``null`` or anything else for other JSON types. A value that
-    has a known shape but no real date, or a year outside 2000..2100, keeps its shape here with null
-    ``millis``; :func:`published_shape` turns that into the unreadable shape. ``text`` is trimmed; it
-    is read many times, so it should be a column and not an expression.
+    has a known shape but no real date, or a year outside 2000..2100, comes out unreadable.
     """
 
     def found(millis: Column, shape: str) -> Column:
         return F.struct(millis.cast("bigint").alias("millis"), F.lit(shape).alias("shape"))
 
     nothing = F.lit(None)
-    return (
-        F.when(kind == "null", found(nothing, MISSING))
-        .when(kind == "number", found(_unix_millis(number), UNIX_NUMBER))
-        .when(kind != "string", found(nothing, UNREADABLE))
-        .when(text == "", found(nothing, MISSING))
-        .when(text.rlike(UNIX_TEXT), found(_unix_millis(text.try_cast("double")), UNIX_NUMBER))
-        .when(text.rlike(ISO_ZONED_TEXT), found(_iso_millis(text, True), ISO_ZONED))
-        .when(text.rlike(ISO_UNZONED_TEXT), found(_iso_millis(text, False), ISO_UNZONED))
-        .when(
-            text.rlike(DATE_ONLY_TEXT),
-            found(
-                _local_midnight_millis(*(F.split_part(text, F.lit("-"), F.lit(part)) for part in (1, 2, 3))),
-                DATE_ONLY,
-            ),
+
+    def of_text(t: Column) -> Column:
+        return (
+            F.when(t == "", found(nothing, MISSING))
+            .when(t.rlike(UNIX_TEXT), found(_unix_millis(t.try_cast("double")), UNIX_NUMBER))
+            .when(t.rlike(ISO_ZONED_TEXT), found(_iso_millis(t, True), ISO_ZONED))
+            .when(t.rlike(ISO_UNZONED_TEXT), found(_iso_millis(t, False), ISO_UNZONED))
+            .when(
+                t.rlike(DATE_ONLY_TEXT),
+                found(
+                    _local_midnight_millis(*(F.split_part(t, F.lit("-"), F.lit(part)) for part in (1, 2, 3))),
+                    DATE_ONLY,
+                ),
+            )
+            .when(t.rlike(SLASHED_TEXT), found(_slashed_millis(t), DAY_MONTH_YEAR))
+            .otherwise(found(nothing, UNREADABLE))
         )
-        .when(text.rlike(SLASHED_TEXT), found(_slashed_millis(text), DAY_MONTH_YEAR))
-        .otherwise(found(nothing, UNREADABLE))
-    )
+
+    def of_kind(k: Column) -> Column:
+        return (
+            F.when(k == "null", found(nothing, MISSING))
+            .when(k == "number", found(bind(number, _unix_millis), UNIX_NUMBER))
+            .when(k == "string", bind(trim_whitespace(text), of_text))
+            .otherwise(found(nothing, UNREADABLE))
+        )
+
+    def accepted(read: Column) -> Column:
+        known = read["millis"].between(FIRST_MILLIS, LAST_MILLIS) | (read["shape"] == MISSING)
+        return F.when(known, read).otherwise(found(nothing, UNREADABLE))
+
+    return bind(bind(kind, of_kind), accepted)
 
 
 def published_at(read: Column) -> Column:
-    """The instant of a :func:`read_published` struct, null outside the accepted years."""
-    millis = read["millis"]
-    return F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), F.timestamp_millis(millis))
+    """The instant of a :func:`read_published` struct."""
+    return F.timestamp_millis(read["millis"])
 
 
 def published_shape(read: Column) -> Column:
-    known = read["millis"].between(FIRST_MILLIS, LAST_MILLIS) | (read["shape"] == MISSING)
-    return F.when(F.coalesce(known, F.lit(False)), read["shape"]).otherwise(F.lit(UNREADABLE))
+    return read["shape"]
 
 
 def _local_seconds(instant: Column) -> Column:

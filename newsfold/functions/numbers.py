@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsfold.functions.binding import bind
 from newsfold.functions.text import JS_SPACE
 
 # Separators removed from a textual count (the dot is kept on purpose), and what
@@ -16,7 +17,10 @@ TOO_LARGE = 2.0**63
 
 def engagement_count(number: Column, text: Column) -> Column:
     """LONG count from whichever of the two is set; null when negative, not finite or not a number."""
+    def rounded(value: Column) -> Column:
+        fits = (value >= 0) & (value < TOO_LARGE)
+        return F.when(fits, F.floor(value) + F.when(value - F.floor(value) >= 0.5, 1).otherwise(0))
+
     digits = F.regexp_replace(text, COUNT_SEPARATORS, "")
-    value = F.coalesce(number, F.when(digits.rlike(PLAIN_NUMBER), digits.try_cast("double")))
-    fits = (value >= 0) & (value < TOO_LARGE)
-    return F.when(fits, F.floor(value) + F.when(value - F.floor(value) >= 0.5, 1).otherwise(0))
+    written = bind(digits, lambda d: F.when(d.rlike(PLAIN_NUMBER), d.try_cast("double")))
+    return bind(F.coalesce(number, written), rounded)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsfold.functions.binding import bind
 from newsfold.functions.text import JS_SPACE, literal_map, trim_whitespace
 
 # Fixed values: (slug, display name, platform), hosts and label spellings of the listed outlets,
@@ -80,7 +81,10 @@ def outlet_of_host(host: Column, hosts: dict[str, str]) -> Column:
     """
     depths = sorted({known.count(".") + 1 for known in hosts}, reverse=True)
     table = literal_map(hosts)
-    return F.coalesce(*[F.try_element_at(table, F.substring_index(host, ".", -depth)) for depth in depths])
+    return bind(
+        host,
+        lambda h: F.coalesce(*[F.try_element_at(table, F.substring_index(h, ".", -depth)) for depth in depths]),
+    )
 
 
 def with_outlet(df: DataFrame, label: str, host: str, directory: Directory = LISTED) -> DataFrame:

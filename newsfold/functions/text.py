@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsfold.functions.binding import bind
+
 # The characters ECMAScript's \s matches, as a Java character class body.
 JS_SPACE = r"\s\p{Z}\uFEFF"
 
@@ -87,27 +89,25 @@ def _decoded_entity(entity: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Decode once; ``&amp;lt;`` gives ``&lt;``. Unknown and impossible entities stay."""
-    return F.when(F.contains(text, F.lit("&")), rewrite_matches(text, ENTITY, _decoded_entity)).otherwise(text)
+    return bind(
+        text, lambda t: F.when(F.contains(t, F.lit("&")), rewrite_matches(t, ENTITY, _decoded_entity)).otherwise(t)
+    )
 
 
 def _strip(text: Column, steps: list[tuple[str, str]]) -> Column:
-    stripped = reduce(lambda acc, step: F.regexp_replace(acc, step[0], step[1]), steps, text)
-    return F.when(F.contains(text, F.lit("<")), stripped).otherwise(text)
+    def stripped(markup: Column) -> Column:
+        return reduce(lambda acc, step: F.regexp_replace(acc, step[0], step[1]), steps, markup)
 
+    return bind(text, lambda t: F.when(F.contains(t, F.lit("<")), stripped(t)).otherwise(t))
 
-def with_plain_text(df: DataFrame, html: str, out: str) -> DataFrame:
-    """Add ``out``: the text of column ``html`` without markup, never null.
 
-    Each step is its own projection, so a step whose result is read more than once is still
-    computed once. Markup is stripped again after decoding because ``&lt;script&gt;`` is harmless
-    as sent and live once decoded.
+def plain_text(html: Column) -> Column:
+    """Text without markup, never null.
+
+    Markup is stripped again after decoding because ``&lt;script&gt;`` is harmless as sent and live
+    once decoded.
     """
     first = [(CODE_WITH_BODY, " "), (CODE_TAG, " "), (COMMENT, " "), (BLOCK_TAG, " "), (OTHER_TAG, "")]
     again = [(CODE_WITH_BODY, " "), (CODE_TAG, " "), (OTHER_TAG, "")]
-    return (
-        df.withColumn(out, F.coalesce(F.col(html), F.lit("")))
-        .withColumn(out, _strip(F.col(out), first))
-        .withColumn(out, decode_entities(F.col(out)))
-        .withColumn(out, _strip(F.col(out), again))
-        .withColumn(out, collapse_whitespace(F.col(out)))
-    )
+    sent = F.coalesce(html, F.lit(""))
+    return collapse_whitespace(_strip(decode_entities(_strip(sent, first)), again))

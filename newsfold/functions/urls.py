@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsfold.functions.binding import bind
 from newsfold.functions.text import rewrite_matches, trim_whitespace
 
 # Query parameters that mark a campaign and not the article.
@@ -23,7 +24,7 @@ PATH_ESCAPED = r"[^\x21\x24-\x3B\x3D\x40-\x5F\x61-\x7A\x7C\x7E]+"
 
 
 def _present(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+    return F.when(text != "", text)
 
 
 def _port_fits(port: Column) -> Column:
@@ -36,10 +37,13 @@ def _without_www(host: Column) -> Column:
 
 def url_host(url: Column) -> Column:
     """Lower-case host of any scheme without a leading ``www.``; null when there is none."""
-    url = trim_whitespace(url)
-    web = F.when(_port_fits(F.regexp_extract(url, WEB_URL, 3)), _present(F.regexp_extract(url, WEB_URL, 2)))
-    other = F.when(_port_fits(F.regexp_extract(url, OTHER_URL, 2)), _present(F.regexp_extract(url, OTHER_URL, 1)))
-    return _without_www(F.coalesce(web, other))
+
+    def host(u: Column) -> Column:
+        web = F.when(_port_fits(F.regexp_extract(u, WEB_URL, 3)), _present(F.regexp_extract(u, WEB_URL, 2)))
+        other = F.when(_port_fits(F.regexp_extract(u, OTHER_URL, 2)), _present(F.regexp_extract(u, OTHER_URL, 1)))
+        return _without_www(F.coalesce(web, other))
+
+    return bind(trim_whitespace(url), host)
 
 
 def _resolve_dots(path: Column) -> Column:
@@ -60,7 +64,9 @@ def _escaped_path(path: Column) -> Column:
     def escape(run: Column) -> Column:
         return F.replace(F.url_encode(run), F.lit("+"), F.lit("%20"))
 
-    return F.when(path.rlike(PATH_ESCAPED), rewrite_matches(path, PATH_ESCAPED, escape)).otherwise(path)
+    return bind(
+        path, lambda p: F.when(p.rlike(PATH_ESCAPED), rewrite_matches(p, PATH_ESCAPED, escape)).otherwise(p)
+    )
 
 
 def _form_decoded(text: Column) -> Column:
@@ -80,30 +86,25 @@ def _kept_query(query: Column) -> Column:
     encoded = F.transform(
         F.array_sort(kept), lambda p: F.concat(F.url_encode(p["key"]), F.lit("="), F.url_encode(p["value"]))
     )
-    joined = F.array_join(encoded, "&")
-    return F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(F.lit(""))
-
-
-def with_canonical_url(df: DataFrame, url: str, out: str) -> DataFrame:
-    """Add ``out``: host, path without end slashes and sorted non-campaign parameters; http(s) only."""
-    raw = trim_whitespace(F.col(url))
-    usable = raw.rlike(r"(?i)^https?:") & _port_fits(F.regexp_extract(raw, WEB_URL, 3))
-    host = _present(F.regexp_extract(raw, WEB_URL, 2))
-    parts = F.when(
-        usable & host.isNotNull(),
-        F.struct(
-            _without_www(host).alias("host"),
-            F.translate(F.regexp_extract(raw, WEB_URL, 4), "\\", "/").alias("path"),
-            F.regexp_extract(raw, WEB_URL, 5).alias("query"),
-        ),
-    )
-    found = F.col(out)
-    path = F.when(found["path"].rlike(DOT_SEGMENT), _resolve_dots(found["path"])).otherwise(found["path"])
-    query = F.when(found["query"] == "", F.lit("")).otherwise(_kept_query(found["query"]))
-    return (
-        df.withColumn(out, parts)
-        .withColumn(out, F.struct(found["host"].alias("host"), path.alias("path"), query.alias("query")))
-        .withColumn(
-            out, F.concat(found["host"], F.regexp_replace(_escaped_path(found["path"]), "/+$", ""), found["query"])
-        )
+    return bind(
+        F.array_join(encoded, "&"), lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit(""))
     )
+
+
+def canonical_url(url: Column) -> Column:
+    """Host, path without end slashes and sorted non-campaign parameters; null unless http(s)."""
+
+    def parts(u: Column) -> Column:
+        usable = u.rlike(r"(?i)^https?:") & _port_fits(F.regexp_extract(u, WEB_URL, 3))
+        host, path, query = (F.regexp_extract(u, WEB_URL, group) for group in (2, 4, 5))
+        return F.when(usable & (host != ""), F.struct(host.alias("host"), path.alias("path"), query.alias("query")))
+
+    def resolved(path: Column) -> Column:
+        return F.when(path.rlike(DOT_SEGMENT), _resolve_dots(path)).otherwise(path)
+
+    def joined(p: Column) -> Column:
+        path = _escaped_path(bind(F.translate(p["path"], "\\", "/"), resolved))
+        query = F.when(p["query"] == "", F.lit("")).otherwise(_kept_query(p["query"]))
+        return F.concat(_without_www(p["host"]), F.regexp_replace(path, "/+$", ""), query)
+
+    return bind(bind(trim_whitespace(url), parts), joined)

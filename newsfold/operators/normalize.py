@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsfold.functions import dates
+from newsfold.functions.binding import bind
 from newsfold.functions.keys import with_dedupe_key
 from newsfold.functions.numbers import engagement_count
 from newsfold.functions.outlets import LISTED, OTHER_PLATFORM, UNKNOWN_SLUG, Directory, with_outlet
-from newsfold.functions.text import blank_to_null, trim_whitespace, with_plain_text
-from newsfold.functions.urls import url_host, with_canonical_url
+from newsfold.functions.text import blank_to_null, plain_text
+from newsfold.functions.urls import canonical_url, url_host
 
 TEXT_FIELDS = ("external_id", "source", "title", "content", "url", "author")
 LOOSE_FIELDS = ("published_at", "engagement")
@@ -50,14 +51,17 @@ NOT_AN_OBJECT = "every mention must be a JSON object"
 
 def json_kind(value: Column) -> Column:
     """``string``, ``number``, ``null`` (also for an absent field), ``object`` or ``other``."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull() | (schema == "VOID"), "null")
-        .when(schema == "STRING", "string")
-        .when(schema.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"), "number")
-        .when(F.startswith(schema, F.lit("OBJECT<")), "object")
-        .otherwise("other")
-    )
+
+    def kind(schema: Column) -> Column:
+        return (
+            F.when(schema == "VOID", "null")
+            .when(schema == "STRING", "string")
+            .when(schema.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"), "number")
+            .when(F.startswith(schema, F.lit("OBJECT<")), "object")
+            .otherwise("other")
+        )
+
+    return bind(F.coalesce(F.schema_of_variant(value), F.lit("VOID")), kind)
 
 
 def is_object(record: Column) -> Column:
@@ -116,12 +120,6 @@ def _warnings() -> Column:
     )
 
 
-def with_clean_text(df: DataFrame) -> DataFrame:
-    """``title`` and ``content_clean`` from the title as sent and ``content_raw``."""
-    cleaned = with_plain_text(with_plain_text(df, "title", "title"), "content_raw", "content_clean")
-    return cleaned.withColumn("title", F.nullif(F.col("title"), F.lit("")))
-
-
 def normalize_fields(fields: DataFrame, directory: Directory = LISTED) -> DataFrame:
     """Normalise the output of :func:`project_fields`; other columns pass through."""
     kept = [
@@ -133,24 +131,30 @@ def normalize_fields(fields: DataFrame, directory: Directory = LISTED) -> DataFr
     text = F.when(F.col("engagement_kind") == "string", F.col("engagement_text"))
     typed = (
         fields.withColumnRenamed("content", "content_raw")
-        .withColumn("url", blank_to_null(F.col("url")))
-        .withColumn("external_id", blank_to_null(F.col("external_id")))
-        .withColumn("author", blank_to_null(F.col("author")))
+        .withColumns({name: blank_to_null(F.col(name)) for name in ("url", "external_id", "author")})
         .withColumn("host", url_host(F.col("url")))
         .withColumn("published_at_raw", F.col("published_at_text"))
-        .withColumn("published_at_text", trim_whitespace(F.col("published_at_text")))
         .withColumn(
             "read_date",
             dates.read_published(F.col("published_at_kind"), F.col("published_at_number"), F.col("published_at_text")),
         )
-        .withColumn("published_at", dates.published_at(F.col("read_date")))
-        .withColumn("date_shape", dates.published_shape(F.col("read_date")))
-        .withColumn("engagement", engagement_count(number, text))
+        .withColumns(
+            {
+                "published_at": dates.published_at(F.col("read_date")),
+                "date_shape": dates.published_shape(F.col("read_date")),
+            }
+        )
+        .withColumns(
+            {
+                "engagement": engagement_count(number, text),
+                "canonical_url": canonical_url(F.col("url")),
+                "title": F.nullif(plain_text(F.col("title")), F.lit("")),
+                "content_clean": plain_text(F.col("content_raw")),
+            }
+        )
     )
     steps = [
         lambda df: with_outlet(df, "source", "host", directory),
-        lambda df: with_canonical_url(df, "url", "canonical_url"),
-        with_clean_text,
         with_dedupe_key,
         lambda df: df.withColumn("warnings", _warnings()),
     ]
@@ -168,7 +172,7 @@ def renormalize_text(mentions: DataFrame) -> DataFrame:
     Keys stay: changing them would need a new fold. Rows whose raw content was never sent keep ''.
     """
     order = mentions.columns
-    return with_plain_text(mentions.drop("content_clean"), "content_raw", "content_clean").select(*order)
+    return mentions.withColumn("content_clean", plain_text(F.col("content_raw"))).select(*order)
 
 
 def date_shape_census(normalized: DataFrame) -> DataFrame:
@@ -178,8 +182,8 @@ def date_shape_census(normalized: DataFrame) -> DataFrame:
 def warning_rows(normalized: DataFrame) -> DataFrame:
     """One row per warning of each record.
 
-    ``explode_outer`` on purpose: for ``explode`` Spark derives a filter on the array and rebuilds
-    the whole normalisation inside it.
+    ``explode_outer`` on purpose: for ``explode`` Spark derives a filter on the array and evaluates
+    the whole normalisation once more inside it.
     """
     kept = [name for name in ("batch_no", "file", "pos", "arrival_seq", "external_id") if name in normalized.columns]
     rows = normalized.select(*kept, F.explode_outer("warnings").alias("warning"))

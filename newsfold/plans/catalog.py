@@ -14,8 +14,8 @@ from newsfold.functions import dates
 from newsfold.functions.keys import fingerprint, with_dedupe_key
 from newsfold.functions.numbers import engagement_count
 from newsfold.functions.outlets import with_outlet
-from newsfold.functions.text import trim_whitespace, with_plain_text
-from newsfold.functions.urls import url_host, with_canonical_url
+from newsfold.functions.text import plain_text
+from newsfold.functions.urls import canonical_url, url_host
 from newsfold.operators import keywords, merge, normalize, search, stats
 from newsfold.operators.filters import Filters
 from newsfold.plans import feeds
@@ -95,8 +95,8 @@ def page_host(spark, folder):
 
 @query
 def page_canonical_url(spark, folder):
-    pages = feeds.table(spark, folder, "pages").select("page_id", "url")
-    return with_canonical_url(pages, "url", "canonical_url").drop("url")
+    pages = feeds.table(spark, folder, "pages")
+    return pages.select("page_id", canonical_url(F.col("url")).alias("canonical_url"))
 
 
 @query
@@ -110,7 +110,7 @@ def page_outlet(spark, folder):
 @query
 def page_text(spark, folder):
     pages = spread(feeds.table(spark, folder, "pages").select("page_id", "html"), "page_id")
-    return with_plain_text(pages, "html", "text").drop("html")
+    return pages.select("page_id", plain_text(F.col("html")).alias("text"))
 
 
 def page_mentions_normalized(spark, folder):
@@ -433,7 +433,6 @@ def events_normalized(spark, folder):
 @query
 def event_dates(spark, folder):
     fields = normalize.project_fields(feeds.event_records(spark, folder))
-    fields = fields.withColumn("published_at_text", trim_whitespace(F.col("published_at_text")))
     read = dates.read_published(F.col("published_at_kind"), F.col("published_at_number"), F.col("published_at_text"))
     return fields.select("arrival_seq", read.alias("read")).select(
         F.col("arrival_seq").alias("event_id"),

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from newsfold.functions.text import blank_to_null, decode_entities
-from newsfold.functions.urls import url_host, with_canonical_url
+from newsfold.functions.urls import canonical_url, url_host
 from newsfold.operators.normalize import date_shape_census, renormalize_text, split_malformed
 from tests.helpers import normalized_rows, record_rows
 
@@ -215,7 +215,7 @@ URLS = [
 
 def test_urls(spark):
     frame = spark.createDataFrame([(at, url) for at, (url, _, _) in enumerate(URLS)], "at int, url string")
-    out = with_canonical_url(frame.withColumn("host", url_host(F.col("url"))), "url", "canonical").orderBy("at")
+    out = frame.select("at", "url", url_host(F.col("url")), canonical_url(F.col("url"))).orderBy("at")
     assert [tuple(row[1:]) for row in out.collect()] == URLS
 
 
