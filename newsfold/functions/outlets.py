@@ -49,6 +49,7 @@ LABELS = {
 UNKNOWN_SLUG = "unknown"
 UNKNOWN_NAME = "Tidak diketahui"
 OTHER_PLATFORM = "other"
+PLATFORMS = ("news", "twitter", "facebook", "instagram", "other")
 
 
 @dataclass(frozen=True)
@@ -59,6 +60,11 @@ class Directory:
     hosts: dict[str, str]
     labels: dict[str, str]
 
+    def __post_init__(self):
+        wrong = sorted({platform for _, _, platform in self.outlets} - set(PLATFORMS))
+        if wrong:
+            raise ValueError(f"unknown platforms: {', '.join(wrong)}")
+
     def names(self) -> Column:
         return literal_map({slug: name for slug, name, _ in self.outlets})
 

@@ -68,7 +68,7 @@ def _rank_levels() -> list[Column]:
         F.pmod(seconds, F.lit(dates.DAY_SECONDS)),
         F.pmod(F.unix_micros("published_at"), F.lit(1_000_000)),
     ]
-    id_bits = [F.shiftright("id", shift).bitwiseAND(F.lit(0xFFFF)) for shift in (48, 32, 16)]
+    id_bits = [F.shiftright("id", shift).bitwiseAND(F.lit(0xFFFF)) for shift in (48, 32, 16, 0)]
     return [F.coalesce(level, F.lit(-1)).cast("bigint") for level in instant] + id_bits
 
 
