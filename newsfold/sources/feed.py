@@ -48,7 +48,11 @@ def array_documents(texts: DataFrame) -> Feed:
 
 
 def read_array_files(spark: SparkSession, path: str) -> Feed:
-    """Files that each hold one JSON array, as posted. A file is one task; see :func:`read_line_files`."""
+    """Files that each hold one JSON array, as posted.
+
+    A file is one task and one VARIANT value, which Spark bounds at 128 MiB; a larger file is refused
+    whole. For anything near that, send lines: :func:`read_line_files`.
+    """
     texts = spark.read.text(path, wholetext=True)
     return array_documents(texts.select(F.col("_metadata.file_path").alias("file"), "value"))
 
@@ -62,6 +66,8 @@ def line_documents(lines: DataFrame) -> Feed:
     than a split has. So split start plus line number within the task is unique and in order,
     whatever the size of the file. A line that is not JSON is a malformed record.
     """
+    if lines.sparkSession.conf.get("spark.sql.files.maxPartitionNum", None):
+        raise ValueError("spark.sql.files.maxPartitionNum packs several splits into a task; unset it for line feeds")
     line_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     rows = lines.where(F.length("value") > 0).select(
         "file",

@@ -76,6 +76,16 @@ def test_lines_keep_their_order_across_splits(spark, tmp_path):
     assert len({row["arrival_seq"] for row in rows}) == 10_000 and rows[0]["arrival_seq"] >= 5
 
 
+def test_line_feed_refuses_packed_splits(spark, tmp_path):
+    path = put(tmp_path, "x.jsonl", "{}\n")
+    spark.conf.set("spark.sql.files.maxPartitionNum", "1")
+    try:
+        with pytest.raises(ValueError, match="maxPartitionNum"):
+            feed.read_line_files(spark, path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionNum")
+
+
 def test_batches_replay_merge_and_compaction(spark, tmp_path):
     posted = put(tmp_path / "in", "feed.json", FEED_FILE.read_text())
     store = MentionStore(spark, str(tmp_path / "tables"), max_delta_share=100.0)
