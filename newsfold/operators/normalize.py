@@ -78,11 +78,11 @@ def split_malformed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 def project_fields(records: DataFrame) -> DataFrame:
     """The eight fields of ``record``: text fields are null unless JSON text, the two loosely typed
     ones come as kind, number and text."""
-    values = {name: F.variant_get(F.col("record"), f"$.{name}", "variant") for name in TEXT_FIELDS + LOOSE_FIELDS}
-    picked = records.select(
-        *[name for name in records.columns if name != "record"], *[value.alias(f"raw_{name}") for name, value in values.items()]
-    )
     kept = [name for name in records.columns if name != "record"]
+    values = [
+        F.variant_get(F.col("record"), f"$.{name}", "variant").alias(f"raw_{name}") for name in TEXT_FIELDS + LOOSE_FIELDS
+    ]
+    picked = records.select(*kept, *values)
 
     def raw(name: str) -> Column:
         return F.col(f"raw_{name}")
