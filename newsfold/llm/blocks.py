@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 
 #: White space of all word rules here: 0x20 and 0x09-0x0D.
 SPACE = np.zeros(256, dtype=bool)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsfold.llm.blocks import blocks
-from newsfold.llm.tokens import TextEncoder, library_encoder, little_endian, tiles
+from newsfold.llm.tokens import little_endian, worker_encoder
 
 END_ID = 2
 #: Ids of one shard, unless a single document has more.
@@ -93,7 +93,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, e
     width = np.dtype("<u2") if max(vocabulary, end_id + 1) <= 1 << 16 else np.dtype("<u4")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(library_encoder(tokenizer), tiles)
+        encoder = worker_encoder(tokenizer, byte_level=True)
         part, shard, first = None, 0, 0
         keys: list = []
         sizes: list[int] = []

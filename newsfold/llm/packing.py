@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from newsfold.llm.blocks import blocks
 from newsfold.llm.scratch import Scratch
-from newsfold.llm.tokens import TextEncoder, library_encoder, little_endian
+from newsfold.llm.tokens import little_endian, worker_encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -44,7 +44,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(library_encoder(tokenizer))
+        encoder = worker_encoder(tokenizer, byte_level=False)
         for rows, data, offsets in blocks(batches, "text"):
             ids, at = encoder.block(data, offsets)
             out: list[tuple] = []

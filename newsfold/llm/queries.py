@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsfold.llm import id_store, packing, trie_bpe
+from newsfold.llm import id_store, packing, quality, suffix_dedup, trie_bpe
 from newsfold.llm.scratch import Scratch
 from newsfold.llm.shipping import ship
 from newsfold.session import configured
@@ -25,6 +25,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return configured(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(_table(spark, folder, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path(WORD_VOCABULARY))
 
@@ -33,6 +37,10 @@ def op6_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return trie_bpe.encode_documents(_table(spark, folder, "documents"), tokenizer_path(WORD_VOCABULARY))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.report(_table(spark, folder, "documents"))
+
+
 def op10_id_store(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     store = Scratch(spark, "ids").path("store")
@@ -41,8 +49,10 @@ def op10_id_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op6_trie_bpe": op6_trie_bpe,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_id_store": op10_id_store,
 }
 

@@ -6,13 +6,15 @@ white space a run without white space, for a byte-level one a run of white space
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 
 from newsfold.llm.blocks import SPACE, gather, pieces, words
 
 #: Units a worker remembers before it starts anew; bounds its memory.
-REMEMBERED_UNITS = 1_000_000
+REMEMBERED_UNITS = 400_000
 
 #: Characters after which white space surely starts a new unit: printable ASCII.
 _PLAIN = np.zeros(256, dtype=bool)
@@ -105,6 +107,12 @@ class TextEncoder:
         return gather(self.ids, self.starts[at], counts), ends[rows]
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, byte_level: bool) -> TextEncoder:
+    """The encoder of this Python worker, kept from task to task with the units it has met."""
+    return TextEncoder(library_encoder(path), tiles if byte_level else words)
+
+
 def little_endian(ids: np.ndarray) -> memoryview:
     """The ids as little-endian unsigned 32-bit integers."""
     return memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")

@@ -12,6 +12,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ from newsfold.llm.blocks import blocks
 from newsfold.llm.tokens import TextEncoder, little_endian
 
 #: Pairs of tokens whose separation a worker remembers before it starts anew.
-REMEMBERED_PAIRS = 2_000_000
+REMEMBERED_PAIRS = 500_000
 
 ENCODED = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -162,6 +163,12 @@ class SpelledEncoder(TextEncoder):
             self.spelled.append(b" ".join(map(self.spelling.__getitem__, ids)))
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(tokenizer: str) -> SpelledEncoder:
+    """The encoder of this Python worker, kept from task to task with the words it has met."""
+    return SpelledEncoder(TrieBpe(tokenizer))
+
+
 def _runs(values: list[int], counts: list[int]) -> Iterator[list[int]]:
     at = 0
     for count in counts:
@@ -173,11 +180,11 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row.
 
     A null or empty text has no ids and decodes to the empty text. Repeated rows are encoded each; other columns are
-    ignored. One narrow stage: every task walks the trie of the words it has not met before.
+    ignored. One narrow stage: every worker walks the trie of the words it has not met before.
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = SpelledEncoder(TrieBpe(tokenizer))
+        encoder = worker_encoder(tokenizer)
         for rows, data, offsets in blocks(batches, "text"):
             at, units = encoder.places(data, offsets)
             ids, ends = encoder.ids_of(at, units)
