@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsfold.llm import id_store, packing, quality, suffix_dedup, trie_bpe
+from newsfold.llm import id_store, packing, prob_minhash, quality, suffix_dedup, trie_bpe
 from newsfold.llm.scratch import Scratch
 from newsfold.llm.shipping import ship
 from newsfold.session import configured
@@ -33,6 +33,10 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path(WORD_VOCABULARY))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return prob_minhash.classes(_table(spark, folder, "documents"))
+
+
 def op6_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return trie_bpe.encode_documents(_table(spark, folder, "documents"), tokenizer_path(WORD_VOCABULARY))
 
@@ -51,6 +55,7 @@ def op10_id_store(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op6_trie_bpe": op6_trie_bpe,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_id_store": op10_id_store,

@@ -20,7 +20,6 @@ them all in the buckets.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsfold.llm.blocks import blocks
+from newsfold.llm.distinct import distinct_texts, text_digest
 from newsfold.llm.scratch import Scratch
 
 LENGTH = 400
@@ -242,28 +242,11 @@ def without_ranges(texts: DataFrame, ranges: DataFrame, length: int, with_text:
     return texts.join(spans.hint("shuffle_hash"), "digest", "left").select("digest", "copies", "text", "spans").mapInArrow(cut, RESULT)
 
 
-def text_digest():
-    return F.unhex(F.substring(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), 1, 32))
-
-
 def removed(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
-    """``RESULT`` of every distinct text. The texts are shuffled once and then read where they lie.
-
-    Distinct texts are written in buckets of their digest, so the joins of all rounds move the items and not the texts.
-    """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "suffixes")
-    table, buckets = f"suffix_texts_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(text_digest().alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.groupBy("digest").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
-    texts.write.bucketBy(buckets, "digest").option("path", scratch.path("texts")).saveAsTable(table)
-    try:
-        bucketed = spark.table(table)
-        ranges = removed_ranges(scratch, bucketed, length)
-        return scratch.keep(without_ranges(bucketed, ranges, length, with_text), "result")
-    finally:
-        spark.sql(f"DROP TABLE {table}")
-        scratch.drop("texts")
+    """``RESULT`` of every distinct text. The texts are shuffled once and then read where they lie."""
+    scratch = Scratch(docs.sparkSession, "suffixes")
+    with distinct_texts(scratch, docs) as texts:
+        return scratch.keep(without_ranges(texts, removed_ranges(scratch, texts, length), length, with_text), "result")
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
