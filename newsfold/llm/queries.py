@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsfold.llm import id_store, packing, prob_minhash, quality, suffix_dedup, trie_bpe
+from newsfold.llm import (
+    cover_tree,
+    id_store,
+    license_scan,
+    packing,
+    prob_minhash,
+    quality,
+    suffix_dedup,
+    trie_bpe,
+    url_filter,
+    warc_audit,
+)
 from newsfold.llm.scratch import Scratch
 from newsfold.llm.shipping import ship
 from newsfold.session import configured
@@ -37,10 +48,27 @@ def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return prob_minhash.classes(_table(spark, folder, "documents"))
 
 
+def op4_cover_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.search(_table(spark, folder, "embeddings"))
+
+
+def op5_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages as a WARC replica, audited against a second one that was damaged at every 97th page id."""
+    return warc_audit.audited_pages(_table(spark, folder, "pages"), damage_every=97)
+
+
 def op6_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return trie_bpe.encode_documents(_table(spark, folder, "documents"), tokenizer_path(WORD_VOCABULARY))
 
 
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(_table(spark, folder, "pages")).drop("score")
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(_table(spark, folder, "documents"))
+
+
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, folder, "documents"))
 
@@ -56,7 +84,11 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_cover_tree_search": op4_cover_tree_search,
+    "op5_warc_audit": op5_warc_audit,
     "op6_trie_bpe": op6_trie_bpe,
+    "op7_url_filter": op7_url_filter,
+    "op8_license_scan": op8_license_scan,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_id_store": op10_id_store,
 }
