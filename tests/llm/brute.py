@@ -38,3 +38,69 @@ def without_repeats(texts, length):
         spans = len(re.findall(b"\1+", bytes(gone)))
         out.append((len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def shingles(text):
+    words = WORD.findall(text or "")
+    return Counter([tuple(words[i : i + 5]) for i in range(len(words) - 4)] or ([tuple(words)] if words else []))
+
+
+def probability_jaccard(one, two):
+    both = set(one) & set(two)
+    return sum(1 / sum(max(one[j] / one[i], two[j] / two[i]) for j in set(one) | set(two)) for i in both)
+
+
+def near_classes(rows, least=0.8):
+    """The class of each row of ``(doc_id, text)``: the least doc_id linked to it by equal or similar texts."""
+    texts = [text or "" for _, text in rows]
+    sets = [shingles(text) for text in texts]
+    parent = list(range(len(rows)))
+
+    def root(at):
+        while parent[at] != at:
+            at = parent[at]
+        return at
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if texts[i] == texts[j] or (sets[i] and sets[j] and probability_jaccard(sets[i], sets[j]) >= least - 1e-12):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    members = defaultdict(list)
+    for at in range(len(rows)):
+        members[root(at)].append(rows[at][0])
+    least_of = {key: min((doc for doc in docs if doc is not None), default=None) for key, docs in members.items()}
+    return [least_of[root(at)] for at in range(len(rows))]
+
+
+def top_products(vectors, every, k):
+    """``(query_id, rank, vec_id, score)`` over ``(vec_id, integers)``."""
+    out = []
+    for query, asked in vectors:
+        if query % every == 0:
+            scores = [(-sum(a * b for a, b in zip(asked, other)), number) for number, other in vectors if number != query]
+            out += [(query, rank, number, -score) for rank, (score, number) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out)
+
+
+def best_licence(text, templates, least):
+    """``(licence, dice, matching units)`` without any pruning."""
+
+    def grams(part):
+        words = re.findall(r"[^\W_]+", part.lower())
+        return set(zip(words, words[1:]))
+
+    lines = (text or "").split("\n")
+    units = [line for line in lines if line.strip()]
+    paragraphs = [part for part in re.split(r"\n(?:[^\S\n]*\n)+", "\n" + (text or "") + "\n") if part.strip()]
+    units += [part for part in paragraphs if "\n" in part.strip()]
+    units += [text] * (len(paragraphs) > 1)
+    found, count = None, 0
+    for unit in units:
+        own = grams(unit)
+        matches = [
+            (-2 * len(own & other) / (len(own) + len(other)), name) for name, texts in templates.items() for other in map(grams, texts) if own
+        ]
+        matches = [match for match in matches if -match[0] >= least]
+        count += bool(matches)
+        found = min([*matches, *([found] if found else [])], default=None)
+    return (found[1], -found[0], count) if found else (None, None, 0)
