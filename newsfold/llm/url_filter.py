@@ -98,8 +98,8 @@ def scored(scratch: Scratch, addresses: DataFrame) -> DataFrame:
 def calibrated_cut(labelled: DataFrame) -> float:
     """The cut with the least sum of the two shares of labelled addresses on the wrong side; 0 without both labels.
 
-    Among equal cuts the least wins. The scores are counted by steps of ``CUT_STEP``, which are few however many
-    addresses there are.
+    It lies in the middle between the neighbouring scores; of equally good gaps the lowest wins. The scores are counted
+    by steps of ``CUT_STEP``, which are few however many addresses there are.
     """
     steps = labelled.groupBy(F.floor(F.col("score") / CUT_STEP).alias("step"))
     steps = steps.agg(F.count_if("allowed").alias("n_allow"), F.count_if(~F.col("allowed")).alias("n_block"))
@@ -107,9 +107,10 @@ def calibrated_cut(labelled: DataFrame) -> float:
     whole = Window.partitionBy()
     wrong = F.coalesce(F.sum("n_allow").over(upto), F.lit(0)) / F.sum("n_allow").over(whole)
     right = F.coalesce(F.sum("n_block").over(upto), F.lit(0)) / F.sum("n_block").over(whole)
-    best = steps.select("step", F.sum("n_allow").over(whole).alias("a"), F.sum("n_block").over(whole).alias("b"), (right - wrong).alias("gain"))
+    gap = (F.lag("step").over(Window.orderBy("step")) + 1 + F.col("step")) / 2
+    best = steps.select("step", F.coalesce(gap, F.col("step")).alias("middle"), F.sum("n_allow").over(whole).alias("a"), F.sum("n_block").over(whole).alias("b"), (right - wrong).alias("gain"))
     row = best.where("a > 0 AND b > 0").orderBy(F.desc(F.round("gain", 9)), "step").first()
-    return row["step"] * CUT_STEP if row else 0.0
+    return float(row["middle"]) * CUT_STEP if row else 0.0
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:

@@ -57,11 +57,12 @@ def test_records_are_read_back(llm_spark, tmp_path):
     assert Counter(row.record_id for row in found)["<urn:page:3>"] == 3 and len(found) == 45
 
 
-def test_audit_finds_every_damage(llm_spark, tmp_path):
+def test_audit_finds_every_damage(llm_spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc_audit, "FANOUT_BITS", 2)
+    monkeypatch.setattr(warc_audit, "RANGE_BYTES", 300)
     warc_audit.warc_files(pages(llm_spark), 3000).write.parquet(str(tmp_path / "one"))
     replica = llm_spark.read.parquet(str(tmp_path / "one"))
-    same = warc_audit.audit(replica, replica).groupBy("status").count().collect()
-    assert [tuple(row) for row in same] == [("intact", 45)]
+    assert {row.status for row in warc_audit.audit(replica, replica).collect()} == {"intact"}
     damaged = warc_audit.with_damage(replica, 7)
     files = sorted(row.file for row in replica.select("file").collect())
     cut = damaged.where(F.col("file") != files[0]).unionByName(llm_spark.createDataFrame([("new.warc", bytearray(warc_audit.warc_record(900, "u", "h")))], warc_audit.FILES))
