@@ -104,8 +104,7 @@ def _strip(text: Column, steps: list[tuple[str, str]]) -> Column:
 def plain_text(html: Column) -> Column:
     """Text without markup, never null.
 
-    Markup is stripped again after decoding because ``&lt;script&gt;`` is harmless as sent and live
-    once decoded.
+    Two passes, before and after entities are decoded: the second one takes the tags that were sent as entities.
     """
     first = [(CODE_WITH_BODY, " "), (CODE_TAG, " "), (COMMENT, " "), (BLOCK_TAG, " "), (OTHER_TAG, "")]
     again = [(CODE_WITH_BODY, " "), (CODE_TAG, " "), (OTHER_TAG, "")]

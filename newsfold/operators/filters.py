@@ -15,10 +15,7 @@ from newsfold.functions import dates
 from newsfold.functions.outlets import with_outlet
 from newsfold.operators.keywords import keyword_filter
 
-UNDATED_NOTE = (
-    "Mentions without a publication date are left out under a date filter, because nothing shows "
-    "that they fall inside the range. Remove the date filter to see them."
-)
+UNDATED_NOTE = "Undated mentions match no date range; the result leaves them out."
 
 
 class ArgumentProblems(ValueError):
@@ -97,7 +94,7 @@ def whole_number(value: object, name: str, low: int, high: int, default: int, pr
 
 def _bound(read_millis: int | None, shape: str, raw: str, name: str, problems: list[str]) -> dt.datetime | None:
     if read_millis is None:
-        problems.append(f'{name}="{raw}" is not a readable date; try 2026-08-11 or 2026-08-11T00:00:00Z')
+        problems.append(f'{name}="{raw}" is no date that can be read as a date (year-month-day, with a time and zone if needed)')
         return None
     moment = dt.datetime.fromtimestamp(0, dt.UTC) + dt.timedelta(milliseconds=read_millis)
     whole_day = name == "to" and shape == dates.DATE_ONLY
@@ -134,5 +131,5 @@ def read_filters(
     start = since and _bound(found["since_millis"], found["since_shape"], since, "from", problems)
     end = until and _bound(found["until_millis"], found["until_shape"], until, "to", problems)
     if start and end and start > end:
-        problems.append(f"the date range is reversed: from ({since}) is later than to ({until})")
+        problems.append(f"empty range: from={since} comes after to={until}")
     return Filters(q=given(q), source=label and found["source_slug"], since=start or None, until=end or None)

@@ -9,6 +9,7 @@ from newsfold.functions import dates
 from newsfold.operators.filters import ArgumentProblems, Filters, given, read_filters
 from newsfold.operators.search import SearchRequest, page_of
 
+# Fixed value: the label of the last bucket.
 NO_DAY_LABEL = "tanpa tanggal"
 GROUPINGS = ("source", "day")
 

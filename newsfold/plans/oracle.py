@@ -2,23 +2,12 @@
 
 from __future__ import annotations
 
+from newsfold.functions.text import NAMED_ENTITIES
+from newsfold.functions.urls import TRACKING_PARAM
+
 WS = r"[\s\x{0B}\p{Z}\x{200B}\x{FEFF}]+"
 ENTITY = r"&(?:#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z]+);"
-NAMED = {
-    "amp": "&",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "''",
-    "nbsp": " ",
-    "hellip": "…",
-    "mdash": "—",
-    "ndash": "–",
-    "rsquo": "’",
-    "lsquo": "‘",
-    "rdquo": "”",
-    "ldquo": "“",
-}
+NAMED = {name: text.replace("'", "''") for name, text in NAMED_ENTITIES.items()}
 START, END = "TIMESTAMP '2024-01-09 16:00:00'", "TIMESTAMP '2024-01-20 16:00:00'"
 
 DAY_ONE, DAY_TWO = "TIMESTAMP '2024-01-01 16:00:00'", "TIMESTAMP '2024-01-02 16:00:00'"
@@ -78,7 +67,7 @@ HOST = r"regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)), '
 KEPT = (
     "list_sort(list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), "
     "lambda p: p <> '' AND NOT regexp_matches(string_split(p, '=')[1], "
-    "'(?i)^(utm_|fb_)|^(fbclid|gclid|igshid|ref|ref_src|source)$')))"
+    f"'{TRACKING_PARAM}')))"
 )
 PATH = "regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', '')"
 CANONICAL = f"{HOST} || {PATH} || CASE WHEN len({KEPT}) > 0 THEN '?' || array_to_string({KEPT}, '&') ELSE '' END"

@@ -106,24 +106,24 @@ def test_any_split_into_batches_gives_the_same_table(spark):
     assert as_table(overlaid) == expected
 
 
-def test_feed_folds_to_twelve(tables):
+def test_feed_folds_to_eleven(tables):
     mentions, _ = tables
     rows = {row["external_id"]: row for row in mentions.collect()}
-    assert len(rows) == 12
-    palm = rows["st-501"]
-    assert (palm["engagement"], palm["times_seen"], palm["author"]) == (1204, 3, "Mei Ling")
-    assert palm["published_at"] == dt.datetime(2026, 8, 10, 8, 15)
-    assert palm["published_at_raw"] == "2026-08-10T08:15:00Z"
-    assert "helped by stronger orders" in palm["content_clean"]
-    growth = rows["mk-10"]
-    assert (growth["times_seen"], growth["published_at"]) == (2, dt.datetime(2026, 8, 10, 16))
-    assert growth["published_at_raw"] == "11/08/2026"
+    assert len(rows) == 11
+    ferry = rows["b-1"]
+    assert (ferry["engagement"], ferry["times_seen"], ferry["author"]) == (61, 2, "S. Devi")
+    assert (ferry["published_at"], ferry["published_at_raw"]) == (dt.datetime(2025, 6, 3, 1, 10), "2025-06-03T01:10:00Z")
+    assert ferry["content_clean"].endswith("the last crossing is at nine.")
+    solar = rows["s-7"]
+    assert (solar["times_seen"], solar["published_at"], solar["published_at_raw"]) == (2, dt.datetime(2025, 6, 6, 16), "2025-06-07")
+    assert solar["content_clean"].endswith("the ministry says.") and solar["engagement"] == 90
+    assert (rows["n-4"]["times_seen"], rows["n-4"]["engagement"]) == (2, 301)
 
 
 def test_same_story_of_two_outlets_stays_two(tables):
     mentions, _ = tables
-    rows = mentions.where(F.col("title").startswith("Visitor numbers rise 12")).collect()
-    assert sorted(row["source_slug"] for row in rows) == ["nst", "thestar"]
+    rows = mentions.where(F.col("title").startswith("River festival")).collect()
+    assert sorted(row["source_slug"] for row in rows) == ["malaysiakini", "unknown"]
 
 
 def test_sources_take_the_newest_name_and_keep_the_platform(spark):
