@@ -9,9 +9,11 @@ only.
   register, and a register keeps the shingle that hits it first. Two texts agree in a register with the probability
   above. A shingle's process ends when it is later than the latest register of its text.
 - **Bands.** ``BANDS`` bands of ``ROWS`` registers; texts at 0.8 share no band once in 37,000 pairs.
-- **Verification** is exact, on the texts. In a bucket of a band every member is held against one pivot; then the pivot
-  leaves and buckets whose members are not yet in one class go on with the next pivot. So pairs grow with the members
-  and not with their square where texts are alike, and yet no two different classes of a bucket stay unchecked.
+- **Verification** is exact, on the texts. In a bucket of a band every member is held against a pivot; then the pivot
+  leaves, and buckets whose members are not yet in one class go on with more pivots, taken from outside their largest
+  class. Members of one class are never compared again. So pairs grow with the members and not with their square where
+  texts are alike, and yet no two classes of a bucket stay unchecked. The pivots of a bucket grow by ``PIVOT_GROWTH``
+  from round to round, so the rounds are few.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsfold.llm.blocks import blocks, flat, pieces, words
@@ -35,6 +37,7 @@ BANDS = 20
 ROWS = 4
 #: Members that are held against one copy of their pivot's text.
 PIVOT_SHARE = 256
+PIVOT_GROWTH = 4
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -205,24 +208,37 @@ def similar_labels(scratch: Scratch, texts: DataFrame, least: float, bands: int,
     """``digest, label`` of the texts that share a band with another; similar ones have one label."""
     signed = scratch.keep(banded(texts, bands, rows), "bands")
     members = signed.select("digest", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").count().where("count > 1").select("bucket")
+    # Written, so that the join after it is dealt anew and a frequent bucket can be split over tasks.
+    shared = scratch.keep(members.groupBy("bucket").count().where("count > 1").select("bucket"), "shared")
     members = scratch.keep(members.join(shared, "bucket", "left_semi"), "members-0")
     labels = scratch.keep(members.select("digest").distinct().withColumn("label", F.col("digest")), "labels-0")
-    step = 0
+    checked, pivots_each, step = None, 1, 0
     while True:
         step += 1
-        labelled = members.join(labels, "digest")
-        mixed = labelled.groupBy("bucket").agg(F.min(F.struct("digest", "label")).alias("first"), F.min("label").alias("low"), F.max("label").alias("high"))
-        opened = labelled.join(mixed.where("low != high").select("bucket", F.col("first.digest").alias("pivot"), F.col("first.label").alias("pivot_label")), "bucket")
-        opened = scratch.keep(opened.where("digest != pivot"), f"opened-{step}")
-        pairs = scratch.keep(opened.where("label != pivot_label").select("digest", "pivot").distinct(), f"pairs-{step}")
-        if pairs.isEmpty() and opened.isEmpty():
+        labelled = scratch.keep(members.join(labels, "digest"), f"labelled-{step}")
+        sizes = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+        major = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
+        major = scratch.keep(major.where("labels > 1").select("bucket", F.col("most.label").alias("major")), f"major-{step}")
+        opened = scratch.keep(labelled.join(major, "bucket"), f"opened-{step}")
+        if opened.isEmpty():
             return labels
-        good = scratch.keep(verified(texts, pairs, least), f"good-{step}")
+        # Once all members outside the bucket's largest class have been pivots, nothing is left to compare.
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("digest"))
+        pivots = opened.where("label != major").withColumn("rank", rank).where(F.col("rank") <= pivots_each)
+        pivots = scratch.keep(pivots.select("bucket", F.col("digest").alias("pivot"), F.col("label").alias("pivot_label")), f"pivots-{step}")
+        pairs = opened.join(pivots, "bucket").where("label != pivot_label").select("digest", "pivot")
+        pairs = pairs.withColumns({"low": F.least("digest", "pivot"), "high": F.greatest("digest", "pivot")}).dropDuplicates(["low", "high"])
+        if checked is not None:
+            pairs = pairs.join(checked, ["low", "high"], "left_anti")
+        pairs = scratch.keep(pairs, f"pairs-{step}")
+        good = scratch.keep(verified(texts, pairs.select("digest", "pivot"), least), f"good-{step}")
         one, two = labels.select("digest", F.col("label").alias("one")), labels.select(F.col("digest").alias("pivot"), F.col("label").alias("two"))
         edges = scratch.keep(good.join(one, "digest").join(two, "pivot").select("one", "two").where("one != two").distinct(), f"edges-{step}")
         labels = merged_labels(scratch, labels, edges, f"merge-{step}")
-        members = opened.select("bucket", "digest")
+        members = opened.join(pivots.select("bucket", F.col("pivot").alias("digest")), ["bucket", "digest"], "left_anti").select("bucket", "digest")
+        done = pairs.select("low", "high")
+        checked = done if checked is None else checked.unionByName(done)
+        pivots_each *= PIVOT_GROWTH
 
 
 def _by_text(docs: DataFrame, least: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:

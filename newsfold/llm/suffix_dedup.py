@@ -182,7 +182,8 @@ def removed_ranges(scratch: Scratch, texts: DataFrame, length: int) -> DataFrame
     span stays as a witness while an open range shares its core.
     """
     found = scratch.keep(anchors(texts, length), "anchors")
-    shared = found.groupBy("gram").count().where("count > 1").select("gram")
+    # Written, so that the join after it is dealt anew and a frequent gram can be split over tasks.
+    shared = scratch.keep(found.groupBy("gram").count().where("count > 1").select("gram"), "shared")
     first, *rest = widths(length)
     tested = found.join(shared, "gram", "left_semi").select(
         *ITEM[:4], F.lit(0).alias("first"), F.lit(first - 1).alias("last"), F.lit(False).alias("witness"), "span", F.unhex(F.hex("gram")).alias("core")
@@ -203,7 +204,8 @@ def removed_ranges(scratch: Scratch, texts: DataFrame, length: int) -> DataFrame
         witnesses = spans.select("one.*", F.lit(True).alias("witness")).select(rest_of.columns)
         members = rest_of.unionByName(witnesses)
         cores = members.groupBy("core").agg(F.count("*").alias("n"), F.min("witness").alias("only_witnesses"))
-        wanted = members.join(cores.where("n > 1 AND NOT only_witnesses").select("core"), "core", "left_semi").drop("core")
+        cores = scratch.keep(cores.where("n > 1 AND NOT only_witnesses").select("core"), f"cores-{step}")
+        wanted = members.join(cores, "core", "left_semi").drop("core")
         tested = scratch.keep(refined(texts, wanted, width, length), f"tested-{step}")
         scratch.drop(f"tested-{step - 1}", f"rest-{step}", f"spans-{step}")
     out = ranges[0]
