@@ -107,11 +107,11 @@ def overlay(state: DataFrame, newer: DataFrame) -> DataFrame:
     return untouched.unionByName(with_search_text(folded))
 
 
-def with_search_text(mentions: DataFrame) -> DataFrame:
-    """Add the words of title then content, one space around each, for keyword filters."""
+def with_search_text(mentions: DataFrame, *more: str) -> DataFrame:
+    """Add the words of title then content, one space around each, for keyword filters; keeps the columns ``more``."""
     text = F.concat_ws(" ", F.col("title"), F.col("content_clean"))
     return mentions.withColumn("search_text", F.concat(F.lit(" "), words_only(text), F.lit(" "))).select(
-        *STORED_MENTIONS.names
+        *STORED_MENTIONS.names, *more
     )
 
 

@@ -55,48 +55,61 @@ def display_order(published_at: str = "published_at", id_column: str = "id") ->
     return [F.desc_nulls_last(published_at), F.desc(id_column)]
 
 
-def _rank_levels() -> list[Column]:
-    """Keys from coarse to fine whose descending order is the display order.
+def _micros(moment: int) -> Column:
+    return F.timestamp_micros(F.lit(moment))
 
-    Each level splits one group of the level before into at most some 86,400 groups, whatever the
-    number of rows: day, second, millisecond, then 16 bits of the id at a time. Undated rows have
-    -1, which sorts after every date.
-    """
-    seconds = F.unix_seconds("published_at")
-    instant = [
-        F.floor(seconds / dates.DAY_SECONDS),
-        F.pmod(seconds, F.lit(dates.DAY_SECONDS)),
-        F.pmod(F.unix_micros("published_at"), F.lit(1_000_000)),
-    ]
-    id_bits = [F.shiftright("id", shift).bitwiseAND(F.lit(0xFFFF)) for shift in (48, 32, 16, 0)]
-    return [F.coalesce(level, F.lit(-1)).cast("bigint") for level in instant] + id_bits
+
+#: Microseconds of a day, a second, a millisecond and one: each splits one group of the level before into at most
+#: some 86,400 groups, whatever the number of rows (days: as many as the table's dates span).
+_STEPS = (dates.DAY_SECONDS * 1_000_000, 1_000_000, 1_000, 1)
+_ID_SHIFTS = (48, 32, 16, 0)
 
 
 def _seek(rows: DataFrame, offset: int) -> tuple[DataFrame, int]:
     """Narrow ``rows`` to a suffix of the display order that starts at most one group before ``offset``.
 
-    Returns the rows from the start of that group on, and how many of them are still to be skipped.
-    Each round is one grouped count over the narrow key columns of a single group.
+    Returns the rows from the start of that group on, and how many of them are still to be skipped. Each round is a
+    grouped count over the key columns of one group, which literal bounds on date or id pick out of the scan. Dated
+    rows come first, then undated ones.
     """
-    from_here, group = None, rows
-    prefix: Column = F.lit(True)
-    remaining = offset
-    for level in _rank_levels():
-        counts = group.groupBy(level.alias("at")).count().orderBy(F.desc("at")).collect()
-        for at, count in counts:
-            if remaining < count:
-                break
-            remaining -= count
-        else:
-            # Only at the first level: the offset is past the last row.
+    dated, undated = F.col("published_at").isNotNull(), F.col("published_at").isNull()
+    n_dated = rows.where(dated).count()
+    remaining, group, later = offset, rows.where(dated), undated
+    micros = F.unix_micros("published_at")
+    if offset >= n_dated:
+        remaining, group, later = offset - n_dated, rows.where(undated), F.lit(False)
+    else:
+        for step in _STEPS:
+            found, remaining = _group_at(group, F.floor(micros / step) if step > 1 else micros, remaining)
+            if found is None:
+                return rows.where(F.lit(False)), 0
+            low, high = _micros(found * step), _micros((found + 1) * step)
+            # What comes after the group in the order are earlier instants and undated rows.
+            group = rows.where((F.col("published_at") >= low) & (F.col("published_at") < high))
+            later = (F.col("published_at") < low) | undated
+            if remaining <= SKIP_ROWS:
+                return rows.where((F.col("published_at") < high) | undated), remaining
+    at_instant, low_id = group, None
+    for shift in _ID_SHIFTS:
+        found, remaining = _group_at(group, F.shiftright("id", shift), remaining)
+        if found is None:
             return rows.where(F.lit(False)), 0
-        later = prefix & (level < at)
-        from_here = later if from_here is None else from_here | later
-        prefix = prefix & (level == at)
-        group = rows.where(prefix)
+        low_id, high_id = found << shift, ((found + 1) << shift) - 1
+        group = at_instant.where(F.col("id").between(low_id, high_id))
         if remaining <= SKIP_ROWS:
             break
-    return rows.where(from_here | prefix), remaining
+    here = undated if offset >= n_dated else (F.col("published_at") >= low) & (F.col("published_at") < high)
+    return rows.where((here & (F.col("id") <= high_id)) | later), remaining
+
+
+def _group_at(rows: DataFrame, key: Column, skip: int) -> tuple[int | None, int]:
+    """The group, from the highest key down, that holds the row after ``skip`` rows, and what is to be skipped in it."""
+    counts = rows.groupBy(key.cast("bigint").alias("at")).count()
+    for at, count in counts.orderBy(F.desc("at")).collect():
+        if skip < count:
+            return at, skip
+        skip -= count
+    return None, 0
 
 
 def page_keys(mentions: DataFrame, request: SearchRequest) -> DataFrame:

@@ -22,13 +22,14 @@ from newsfold.plans import feeds
 from newsfold.session import checkpoint_dir, configured
 from newsfold.sources.feed import Feed, array_documents
 from newsfold.sources.scan import spread
-from newsfold.sources.store import MentionStore
+from newsfold.sources.store import CommitRefused, MentionStore
 from newsfold.streaming.ingest_stream import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BATCH_TIME = dt.datetime(2024, 2, 1, tzinfo=dt.UTC)
+LATE_TIME = dt.datetime(2024, 2, 1, 6, tzinfo=dt.UTC)
 WINDOW_START = dt.datetime(2024, 1, 9, 16, tzinfo=dt.UTC)
 WINDOW_END = dt.datetime(2024, 1, 20, 16, tzinfo=dt.UTC)
 # Documents are dated by events of the same number, which fall into the first days.
@@ -530,7 +531,7 @@ def array_feed(spark, folder):
     rows = array_documents(feeds.line_arrays(spark, folder)).rows
     return rows.select(
         F.col("file").cast("bigint").alias("doc_id"),
-        "pos",
+        F.col("line").alias("pos"),
         F.col("refused").cast("int").alias("refused"),
         F.try_variant_get("record", "$.content", "string").alias("content"),
     )
@@ -572,29 +573,40 @@ def delivered(spark, folder, late: bool) -> Feed:
     """The document feed of the first ten crawlers, or of the others."""
     records = feeds.document_records(spark, folder)
     is_late = F.regexp_extract("crawler", "[0-9]+", 0).cast("int") >= 10
-    rows = records.where(is_late if late else ~is_late).select(
-        F.lit("documents").alias("file"), F.col("arrival_seq").alias("pos"), F.lit(False).alias("refused"), "record"
+    return numbered_feed(records.where(is_late if late else ~is_late), "documents", F.col("arrival_seq"))
+
+
+def numbered_feed(records: DataFrame, file: str, line: Column) -> Feed:
+    return Feed(
+        records.select(
+            F.lit(file).alias("file"),
+            F.lit(0).cast("bigint").alias("block"),
+            line.cast("bigint").alias("line"),
+            F.lit(False).alias("refused"),
+            "record",
+        )
     )
-    return Feed(rows, 10**12)
 
 
-def stored_in_two_batches(spark, folder, **limits) -> MentionStore:
-    store = MentionStore(spark, run_folder(spark, "tables"), **limits)
+def stored_in_two_batches(spark, folder, compacted: bool = False) -> MentionStore:
+    store = MentionStore(spark, run_folder(spark, "tables"))
     for late in (False, True):
-        store.ingest(delivered(spark, folder, late), BATCH_TIME)
+        store.ingest(delivered(spark, folder, late), LATE_TIME if late else BATCH_TIME)
+        if compacted:
+            store.compact()
     return store
 
 
 @query
 def store_merge_on_read(spark, folder):
     """Two batches in stored tables, the second still a delta when read."""
-    return plain(stored_in_two_batches(spark, folder, max_delta_share=100.0).snapshot().mentions())
+    return plain(stored_in_two_batches(spark, folder).snapshot().mentions())
 
 
 @query
 def store_compacted(spark, folder):
     """The same two batches, compacted into a new base."""
-    return plain(stored_in_two_batches(spark, folder, max_delta_share=0.0).snapshot().base())
+    return plain(stored_in_two_batches(spark, folder, compacted=True).snapshot().base())
 
 
 @query
@@ -613,10 +625,9 @@ def store_warnings(spark, folder):
 def store_errors(spark, folder):
     """Malformed conversation turns in the error table of their batch."""
     records = feeds.conversation_records(spark, folder)
-    pos = F.col("turn") + F.col("conv_id") * 1_000_000
-    rows = records.select(F.lit("turns").alias("file"), pos.alias("pos"), F.lit(False).alias("refused"), "record")
+    feed = numbered_feed(records, "turns", F.col("turn") + F.col("conv_id") * 1_000_000)
     store = MentionStore(spark, run_folder(spark, "errors"))
-    return store.ingest(Feed(rows, 2**40), BATCH_TIME).errors().select("batch_no", "file", "pos")
+    return store.ingest(feed, BATCH_TIME).errors().select("batch_no", "file", "pos")
 
 
 @query
@@ -631,3 +642,91 @@ def stream_ingest(spark, folder):
     start_ingest(store, f"{root}/lines", f"{root}/checkpoint", lines=True, once=True).awaitTermination()
     mentions = store.snapshot().mentions()
     return plain(mentions).select("dedupe_key", "source_slug", "published_at", "engagement", "times_seen")
+
+
+@query
+def store_sources(spark, folder):
+    """Outlets after two batches: the newest name, the first batch's time."""
+    sources = stored_in_two_batches(spark, folder).snapshot().sources()
+    return sources.withColumn("created_at", dates.iso_utc(F.col("created_at")))
+
+
+@query
+def store_batch_times(spark, folder):
+    mentions = stored_in_two_batches(spark, folder, compacted=True).snapshot().mentions()
+    return mentions.select("dedupe_key", *(dates.iso_utc(F.col(name)).alias(name) for name in ("first_seen_at", "updated_at")))
+
+
+@query
+def store_replay(spark, folder):
+    """The first batch sent twice adds no rows."""
+    store = MentionStore(spark, run_folder(spark, "replay"))
+    for moment in (BATCH_TIME, LATE_TIME):
+        snapshot = store.ingest(delivered(spark, folder, False), moment)
+    seen = snapshot.mentions().agg(F.sum("times_seen").alias("times_seen"))
+    return snapshot.report().where("batch_no = 2").select("received", "inserted", "merged").join(seen)
+
+
+@query
+def store_lost_race(spark, folder):
+    """A writer that commits second is refused, changes nothing, and sends its batch again."""
+    root = run_folder(spark, "race")
+    store, rival = MentionStore(spark, root), MentionStore(spark, root)
+    commit = store._commit
+    store._commit = lambda manifest: (rival.ingest(delivered(spark, folder, False), BATCH_TIME), commit(manifest))[1]
+    try:
+        store.ingest(delivered(spark, folder, True), LATE_TIME)
+    except CommitRefused:
+        store._commit = commit
+        store.ingest(delivered(spark, folder, True), LATE_TIME)
+    snapshot = store.snapshot()
+    return snapshot.mentions().select("dedupe_key", "times_seen", F.lit(snapshot.manifest.batch_no).cast("bigint").alias("batches"))
+
+
+@query
+def doc_search_request(spark, folder):
+    """A request as it comes: an outlet in other letters, a bare last day, the note and the order kept."""
+    request = search.read_search_request(spark, q=" the ", source=" SRC7 ", since="2024-01-02", until="2024-01-02", limit="5")
+    about = search.search_metadata(document_mentions(spark, folder), request)
+    return about.select("total", "returned", "q", "source", "from", "to", "sort", "note")
+
+
+@query
+def doc_search_only_punctuation(spark, folder):
+    """Matches of queries with and without words, over the whole table at once."""
+    asked = ["the", "the ???", "???", '-" "', "!! or .."]
+    words = F.col("search_text")
+    counts = document_mentions(spark, folder).agg(*(F.count_if(keywords.keyword_filter(q, words)).alias(f"q{at}") for at, q in enumerate(asked)))
+    rows = F.array(*(F.struct(F.lit(q).alias("q"), F.col(f"q{at}").alias("matches")) for at, q in enumerate(asked)))
+    return counts.select(F.inline(rows))
+
+
+def event_fields(spark, folder, **fields: Column) -> DataFrame:
+    events = feeds.table(spark, folder, "events")
+    whole = F.to_variant_object(F.struct(*(column.alias(name) for name, column in fields.items())))
+    return normalize.normalize_records(events.select(F.col("event_id").alias("arrival_seq"), whole.alias("record")))
+
+
+@query
+def event_date_years(spark, folder):
+    """Dates moved over two centuries; years outside 2000 to 2100 are unreadable."""
+    moved = F.col("ts") + F.make_ym_interval(((F.col("event_id") % 9 - 4) * 25).cast("int"), F.lit(0))
+    rows = event_fields(spark, folder, published_at=F.date_format(moved, "yyyy-MM-dd'T'HH:mm:ss'Z'"), title=F.lit("t"))
+    return rows.select(F.col("arrival_seq").alias("event_id"), dates.iso_utc(F.col("published_at")).alias("published_at"), "date_shape")
+
+
+@query
+def event_unlabelled(spark, folder):
+    """Outlets of records without a label, with a blank one, and with one that isn't listed."""
+    label = F.when(F.col("event_type") == "view", F.lit(" ")).when(F.col("event_type") != "click", F.col("event_type"))
+    rows = event_fields(spark, folder, source=label, title=F.lit("t"))
+    kinds = F.filter("warnings", lambda code: code.startswith("SOURCE"))
+    return rows.select(F.col("arrival_seq").alias("event_id"), "source_slug", F.array_join(kinds, ",").alias("warning"))
+
+
+@query
+def doc_numeric_entities(spark, folder):
+    """Characters sent as decimal and hexadecimal entities."""
+    first = F.concat(F.lit("&#"), F.ascii(F.left("text", F.lit(1))), F.lit("; "))
+    sent = F.concat(first, F.col("source"), F.lit(" &#xE9; &#128512;"))
+    return feeds.table(spark, folder, "documents").select("doc_id", plain_text(sent).alias("text"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from newsfold.functions.text import NAMED_ENTITIES
 from newsfold.functions.urls import TRACKING_PARAM
+from newsfold.operators.filters import UNDATED_NOTE
 
 WS = r"[\s\x{0B}\p{Z}\x{200B}\x{FEFF}]+"
 ENTITY = r"&(?:#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z]+);"
@@ -224,7 +225,7 @@ FEED = f"""
                event_type
         FROM feed_text),
     feed_keys AS (
-        SELECT *, sha256(source_slug || '|' || CASE
+        SELECT *, row_number() OVER (ORDER BY {LATE}, doc_id) - 1 AS arrival, sha256(source_slug || '|' || CASE
             WHEN {fp("content_clean")} <> '' THEN {fp("content_clean")}
             WHEN canonical_url IS NOT NULL THEN 'url:' || canonical_url
             ELSE 'id:' || external_id END) AS dedupe_key
@@ -249,7 +250,7 @@ def feed_fold(order: str) -> str:
         FROM feed_keys GROUP BY dedupe_key"""
 
 
-FEED_LATE = f"doc_id + CASE WHEN {LATE} THEN 1000000000000 ELSE 0 END"
+FEED_LATE = "arrival"  # numbers of arrival have no gaps, the late batch comes after the first one
 FEED_NAME = {
     "thestar": "The Star",
     "nst": "New Straits Times",
@@ -444,6 +445,38 @@ def sql() -> dict[str, str]:
         "store_warnings": f"""WITH {FEED}
             SELECT CAST(CASE WHEN {LATE} THEN 2 ELSE 1 END AS BIGINT) AS batch_no, warning, count(*) AS records
             FROM ({FEED_WARNINGS}) GROUP BY 1, 2""",
+        "store_sources": f"""WITH {FEED}
+            SELECT source_slug AS slug, {feed_name} AS display_name, {feed_platform} AS platform,
+                   CASE WHEN bool_and({LATE}) THEN '2024-02-01T06:00:00.000Z' ELSE '2024-02-01T00:00:00.000Z' END AS created_at
+            FROM feed_keys GROUP BY source_slug""",
+        "store_batch_times": f"""WITH {FEED}
+            SELECT dedupe_key,
+                   CASE WHEN bool_and({LATE}) THEN '2024-02-01T06:00:00.000Z' ELSE '2024-02-01T00:00:00.000Z' END AS first_seen_at,
+                   CASE WHEN bool_or({LATE}) THEN '2024-02-01T06:00:00.000Z' ELSE '2024-02-01T00:00:00.000Z' END AS updated_at
+            FROM feed_keys GROUP BY dedupe_key""",
+        "store_replay": f"""WITH {FEED}
+            SELECT count(*) AS received, CAST(0 AS BIGINT) AS inserted, count(*) AS merged, 2 * count(*) AS times_seen
+            FROM feed_keys WHERE NOT {LATE}""",
+        "store_lost_race": f"""WITH {FEED}, held AS (
+                SELECT dedupe_key, count(*) AS times_seen FROM feed_keys GROUP BY dedupe_key)
+            SELECT dedupe_key, times_seen, CAST(2 AS BIGINT) AS batches FROM held""",
+        "doc_search_request": f"""WITH {DOC_MENTIONS}, hits AS (
+                SELECT count(*) AS total FROM doc_mentions WHERE {has("the")} AND source = 'src7' AND {IN_FIRST_DAY})
+            SELECT total, least(total, 5) AS returned, 'the' AS q, 'src7' AS source, {iso(DAY_ONE)} AS "from", {iso(DAY_TWO)} AS "to",
+                   'published_at DESC NULLS LAST, id DESC' AS sort, '{UNDATED_NOTE}' AS note FROM hits""",
+        "doc_search_only_punctuation": f"""WITH {DOC_MENTIONS}
+            SELECT q, count(*) FILTER (CASE q WHEN 'the' THEN {has("the")} WHEN 'the ???' THEN {has("the")}
+                   WHEN '!! or ..' THEN {has("or")} ELSE FALSE END) AS matches
+            FROM doc_mentions, (VALUES ('the'), ('the ???'), ('???'), ('-" "'), ('!! or ..')) AS asked(q) GROUP BY q""",
+        "event_date_years": f"""WITH moved AS (
+                SELECT event_id, date_trunc('second', ts) + to_years(CAST((event_id % 9 - 4) * 25 AS INTEGER)) AS moment FROM events)
+            SELECT event_id, CASE WHEN year(moment) BETWEEN 2000 AND 2100 THEN {iso("moment")} END AS published_at,
+                   CASE WHEN year(moment) BETWEEN 2000 AND 2100 THEN 'iso-dengan-zona' ELSE 'gagal-dibaca' END AS date_shape
+            FROM moved""",
+        "event_unlabelled": """SELECT event_id, CASE event_type WHEN 'view' THEN 'unknown' WHEN 'click' THEN 'unknown' ELSE event_type END AS source_slug,
+                   CASE WHEN event_type IN ('view', 'click') THEN 'SOURCE_UNKNOWN' ELSE 'SOURCE_UNLISTED' END AS warning
+            FROM events""",
+        "doc_numeric_entities": """SELECT doc_id, trim(regexp_replace(left(text, 1) || ' ' || source || ' ' || chr(233) || ' ' || chr(128512), '\\s+', ' ', 'g')) AS text FROM documents""",
         "store_errors": """SELECT CAST(1 AS BIGINT) AS batch_no, 'turns' AS file, turn + conv_id * 1000000 AS pos
             FROM conversations WHERE role <> 'user'""",
         "stream_ingest": f"""WITH {FEED}

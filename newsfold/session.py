@@ -22,13 +22,15 @@ def configured(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only where none is named (tests)."""
+    """The shared checkpoint folder that the session names; a scratch folder without one on a ``local`` master only."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="newsfold-checkpoint-")
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch

@@ -1,7 +1,8 @@
-"""Raw feeds to one row per record with its file and position.
+"""Raw feeds to one row per record with its file and place in it.
 
-A feed row is ``file, pos, refused, record``. A file that is refused as a whole gives one row with
-``refused`` set and no record; every other row is one element of a batch.
+A feed row is ``file, block, line, refused`` and ``record``, or ``value`` for a record that is still
+JSON text. Rows of a file are ordered by block, then line. A file that is refused as a whole gives
+one row with ``refused`` set and no record; every other row is one element of a batch.
 """
 
 from __future__ import annotations
@@ -11,47 +12,58 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Arrival numbers set aside per file: array files are read whole and cannot exceed 2 GiB, so 32 bits
-# number their elements; line and Parquet files may be far larger.
-ARRAY_STRIDE = 2**32
-LINES_STRIDE = 2**40
-LAST_NUMBER = 2**63 - 1
-BROADCAST_BYTES = 32 * 2**20
-
 NOT_AN_ARRAY = "a batch must be a JSON array"
 
+_LOCAL_ROW = (1 << 33) - 1
+
 
 @dataclass(frozen=True)
 class Feed:
     rows: DataFrame
-    stride: int
+    #: Whether ``line`` is the record's index in its file; for split line files it only gives the order.
+    indexed: bool = True
+
+    def in_order(self) -> DataFrame:
+        """``file, line, refused, record, part, row``: ranges of rows in order, and the place in each.
+
+        JSON text is parsed after the shuffle, so that the sample for the ranges is a plain scan.
+        """
+        place = ["file", "block", "line"]
+        ranged = self.rows.repartitionByRange(*place).sortWithinPartitions(*place)
+        numbered = ranged.withColumn("part", F.spark_partition_id()).withColumn(
+            "row", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_ROW))
+        )
+        return parsed(numbered).drop("block")
+
+
+def parsed(rows: DataFrame) -> DataFrame:
+    """Feed rows with ``record``; text that is no JSON is a malformed record."""
+    return rows.withColumn("record", F.try_parse_json("value")).drop("value") if "value" in rows.columns else rows
 
 
 def array_documents(texts: DataFrame) -> Feed:
-    """Feed of ``file, value``, one whole JSON document per row."""
+    """Feed of ``file, value``, one whole JSON document per row.
+
+    Elements are values of their own, so the size of one is bounded (128 MiB) and not that of the array.
+    """
     looks_like_array = F.col("value").rlike(r"^[ \t\r\n]*\[")
-    parsed = texts.select(
-        "file", F.when(looks_like_array, F.try_parse_json("value")).alias("document")
-    ).select(
-        "file",
-        F.col("document").isNull().alias("refused"),
-        F.coalesce("document", F.parse_json(F.lit("[null]"))).alias("document"),
+    elements = F.when(looks_like_array, F.from_json("value", "array<variant>"))
+    rows = texts.select("file", elements.alias("elements")).select(
+        "file", F.col("elements").isNull().alias("refused"), F.posexplode_outer("elements").alias("line", "record")
     )
-    elements = texts.sparkSession.tvf.variant_explode(F.col("document").outer())
-    rows = parsed.lateralJoin(elements).select(
-        "file",
-        F.col("pos").cast("bigint").alias("pos"),
-        "refused",
-        F.when(~F.col("refused"), F.col("value")).alias("record"),
+    # An empty array has no elements; a refused document keeps its row.
+    return Feed(
+        rows.where("refused OR line IS NOT NULL").select(
+            "file", F.lit(0).cast("bigint").alias("block"), F.coalesce("line", F.lit(0)).cast("bigint").alias("line"), "refused", "record"
+        )
     )
-    return Feed(rows, ARRAY_STRIDE)
 
 
 def read_array_files(spark: SparkSession, path: str) -> Feed:
     """Files that each hold one JSON array, as posted.
 
-    A file is one task and one VARIANT value, which Spark bounds at 128 MiB; a larger file is refused
-    whole. For anything near that, send lines: :func:`read_line_files`.
+    A file is one task and one string, which Spark bounds at 2 GiB; a larger file fails the job. Send such
+    feeds as lines: :func:`read_line_files`.
     """
     texts = spark.read.text(path, wholetext=True)
     return array_documents(texts.select(F.col("_metadata.file_path").alias("file"), "value"))
@@ -60,22 +72,17 @@ def read_array_files(spark: SparkSession, path: str) -> Feed:
 def line_documents(lines: DataFrame) -> Feed:
     """Feed of ``file, block_start, value``, one record per row in line order.
 
-    ``pos`` grows with the line within its file, without counting the lines before a split. A split
-    starts at byte ``block_start``; the lines of one task are fewer than the bytes of one split,
-    because every line that holds a record has two bytes at least and a task packs no more bytes
-    than a split has. So split start plus line number within the task is unique and in order,
-    whatever the size of the file. A line that is not JSON is a malformed record.
+    A split starts at byte ``block_start`` of its file and its lines are read in order, so split, then row
+    within the task, is their order whatever splits a task reads. Empty lines are skipped.
     """
-    if lines.sparkSession.conf.get("spark.sql.files.maxPartitionNum", None):
-        raise ValueError("spark.sql.files.maxPartitionNum packs several splits into a task; unset it for line feeds")
-    line_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     rows = lines.where(F.length("value") > 0).select(
         "file",
-        (F.col("block_start") + line_in_task).alias("pos"),
+        F.col("block_start").alias("block"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_ROW)).alias("line"),
         F.lit(False).alias("refused"),
-        F.try_parse_json("value").alias("record"),
+        "value",
     )
-    return Feed(rows, LINES_STRIDE)
+    return Feed(rows, indexed=False)
 
 
 def text_lines(reader: DataFrame) -> DataFrame:
@@ -86,10 +93,7 @@ def text_lines(reader: DataFrame) -> DataFrame:
 
 
 def read_line_files(spark: SparkSession, path: str) -> Feed:
-    """One record per line: the form for large feeds, split over tasks by Spark.
-
-    Files must not be compressed; a compressed file has no splits that its bytes could number.
-    """
+    """One record per line: the form for large feeds, split over tasks by Spark where it isn't compressed."""
     return line_documents(text_lines(spark.read.text(path)))
 
 
@@ -98,11 +102,12 @@ def read_parquet_files(spark: SparkSession, path: str) -> Feed:
     table = spark.read.parquet(path)
     rows = table.select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("pos"),
+        F.lit(0).cast("bigint").alias("block"),
+        F.col("_metadata.row_index").alias("line"),
         F.lit(False).alias("refused"),
-        record_of(table.columns).alias("record"),
+        F.to_json(F.struct(*table.columns)).alias("value"),
     )
-    return Feed(rows, LINES_STRIDE)
+    return Feed(rows)
 
 
 def record_of(columns: list[str] | list[Column]) -> Column:
@@ -110,17 +115,16 @@ def record_of(columns: list[str] | list[Column]) -> Column:
     return F.try_parse_json(F.to_json(F.struct(*columns)))
 
 
-def with_arrival_numbers(rows: DataFrame, files: list[str], stride: int, first_seq: int) -> DataFrame:
-    """Add ``arrival_seq``: files in name order, then the position, all above earlier batches.
+def with_arrival_numbers(rows: DataFrame, first_seq: int) -> tuple[DataFrame, int]:
+    """Add ``arrival_seq`` to written rows of :meth:`Feed.in_order`, and the first number after them.
 
-    ``files`` are the distinct names, one short row each, as Spark's own file listing holds them.
-    Their size is known here, so they are broadcast only up to a fixed size; a longer list is
-    joined by shuffling, where adaptive execution splits a file that holds many rows.
+    Files in name order, then the place in them, all above earlier batches and without gaps. The counts
+    are one number per range, as many as the session has shuffle partitions.
     """
-    if first_seq + len(files) * stride > LAST_NUMBER:
-        raise ValueError("arrival numbers are used up")
-    starts = [(name, first_seq + at * stride) for at, name in enumerate(sorted(files))]
-    listed = rows.sparkSession.createDataFrame(starts, "file string, first_seq bigint")
-    if sum(len(name) + 8 for name in files) <= BROADCAST_BYTES:
-        listed = F.broadcast(listed)
-    return rows.join(listed, "file").withColumn("arrival_seq", F.col("first_seq") + F.col("pos")).drop("first_seq")
+    counts = rows.groupBy("part").count().orderBy("part").collect()
+    starts, following = [], first_seq
+    for part, count in counts:
+        starts.append((part, following))
+        following += count
+    listed = F.broadcast(rows.sparkSession.createDataFrame(starts, "part int, start bigint"))
+    return rows.join(listed, "part").withColumn("arrival_seq", F.col("start") + F.col("row")).drop("start"), following

@@ -1,16 +1,18 @@
 """The stored tables: Parquet folders and a manifest that says which of them are current.
 
-A batch is folded and appended as a delta, so the cost of a batch follows the batch and not the
-table. Readers overlay the deltas on the base; :meth:`MentionStore.compact` merges them into a new
-base, laid out for date and outlet filters. Nothing is visible before the manifest of its commit is
-written, and a failed attempt is overwritten by the next one, so a batch is applied wholly or not
-at all. One writer per table: the manifest refuses a version that exists already.
+Every attempt writes folders of its own. A version becomes visible by one manifest file that is created without
+overwriting, so of two writers on one version the second is refused and has changed nothing; it may send its batch
+again. Nothing runs after a commit: compaction is a call of its own.
+
+A batch is folded and appended as a delta. The base lies in buckets of the duplicate key; a delta knows the buckets
+it touches, so matching, reading and compaction meet only these, and all other buckets pass through as they are.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
@@ -24,18 +26,59 @@ from newsfold.session import configured
 from newsfold.sources import folders
 from newsfold.sources.feed import NOT_AN_ARRAY, Feed, with_arrival_numbers
 
+#: Rows of a bucket when the base is laid out anew, and how many buckets there are at most.
+BUCKET_ROWS = 1_000_000
+MOST_BUCKETS = 4096
+#: The base is laid out anew when its buckets have grown by so much.
+GROWTH = 8
+#: Rows of one file of a bucket.
+FILE_ROWS = 2_000_000
+#: Batches whose reports are kept in folders of their own; more are put together.
+SEPARATE_REPORTS = 64
+
+
+class CommitRefused(RuntimeError):
+    """Another writer committed first. Nothing of this attempt is visible; send the batch again."""
+
+
+@dataclass(frozen=True)
+class Delta:
+    name: str
+    rows: int
+    #: Buckets of the base that hold its keys, by the base's layout.
+    buckets: list[int]
+
 
 @dataclass(frozen=True)
 class Manifest:
     version: int = 0
     batch_no: int = 0
-    base: int | None = None
-    deltas: list[int] = field(default_factory=list)
+    #: How many buckets the base has, and the attempt that wrote each of those with rows.
+    n_buckets: int = 0
+    base: dict[str, str] = field(default_factory=dict)
     base_rows: int = 0
-    delta_rows: int = 0
+    deltas: list[Delta] = field(default_factory=list)
     next_seq: int = 0
+    sources: str | None = None
+    #: Attempts that wrote reports, errors and warnings.
+    reports: list[str] = field(default_factory=list)
     streams: dict[str, int] = field(default_factory=dict)
 
+    @property
+    def delta_rows(self) -> int:
+        return sum(delta.rows for delta in self.deltas)
+
+    def names(self) -> set[str]:
+        """Folders this version needs."""
+        found = {f"base/{attempt}/bucket={bucket}" for bucket, attempt in self.base.items()}
+        found |= {f"delta/{delta.name}" for delta in self.deltas}
+        found |= {f"{table}/{name}" for name in self.reports for table in ("report", "errors", "warnings", "staged")}
+        return found | ({f"sources/{self.sources}"} if self.sources else set())
+
+
+def bucket_of(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("dedupe_key"), F.lit(buckets)).cast("int")
+
 
 class Snapshot:
     """Readers' view of one committed version; all tables agree with each other."""
@@ -43,59 +86,56 @@ class Snapshot:
     def __init__(self, store: MentionStore, manifest: Manifest):
         self._store, self.manifest = store, manifest
 
-    def _read(self, table: str, schema) -> DataFrame:
-        spark, path = self._store.spark, self._store.path(table)
-        if self.manifest.batch_no == 0:
+    def _read(self, schema, paths: list[str]) -> DataFrame:
+        spark = self._store.spark
+        if not paths:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(path).where(F.col("batch_no") <= self.manifest.batch_no)
+        return spark.read.schema(schema).parquet(*map(self._store.path, paths))
 
-    def base(self) -> DataFrame:
-        spark = self._store.spark
-        if self.manifest.base is None:
-            return spark.createDataFrame([], schemas.STORED_MENTIONS)
-        path = self._store.path(f"base/version={self.manifest.base}")
-        return spark.read.schema(schemas.STORED_MENTIONS).parquet(path)
-
-    def deltas(self) -> DataFrame | None:
-        """Folded rows of the batches that are not in the base yet; a key may occur once per batch."""
-        read = self._store.spark.read.schema(schemas.MENTIONS)
-        frames = [read.parquet(self._store.path(f"delta/batch_no={batch}")) for batch in self.manifest.deltas]
+    def base(self, buckets: set[int] | None = None) -> DataFrame:
+        """The base, or its given buckets."""
+        wanted = [b for b in self.manifest.base if buckets is None or int(b) in buckets]
+        return self._read(schemas.STORED_MENTIONS, [f"base/{self.manifest.base[b]}/bucket={b}" for b in wanted])
+
+    def deltas(self, names: list[str] | None = None) -> DataFrame | None:
+        """Folded rows of the batches that are not in the base yet; a key may occur once per delta."""
+        names = [delta.name for delta in self.manifest.deltas] if names is None else names
+        frames = [self._read(schemas.MENTIONS, [f"delta/{name}"]) for name in names]
         return reduce(DataFrame.unionByName, frames) if frames else None
 
+    def touched(self) -> set[int]:
+        return {bucket for delta in self.manifest.deltas for bucket in delta.buckets}
+
     def mentions(self) -> DataFrame:
         """One row per duplicate key, with ``search_text``."""
-        newer = self.deltas()
-        return self.base() if newer is None else merge.overlay(self.base(), newer)
-
-    def keys(self) -> DataFrame:
-        """``dedupe_key`` of every stored mention, possibly repeated; only that column is read."""
-        base, newer = self.base().select("dedupe_key"), self.deltas()
+        newer, touched = self.deltas(), self.touched()
+        if newer is None:
+            return self.base()
+        if not touched & set(map(int, self.manifest.base)):
+            return self.base().unionByName(merge.with_search_text(merge.fold_rows(newer)))
+        untouched = self.base({int(b) for b in self.manifest.base} - touched)
+        return untouched.unionByName(merge.overlay(self.base(touched), newer))
+
+    def keys(self, buckets: set[int]) -> DataFrame:
+        """``dedupe_key`` of stored mentions in ``buckets`` and in all deltas, possibly repeated; no other column is read."""
+        base, newer = self.base(buckets).select("dedupe_key"), self.deltas()
         return base if newer is None else base.unionByName(newer.select("dedupe_key"))
 
     def sources(self) -> DataFrame:
-        if self.manifest.batch_no == 0:
-            return self._store.spark.createDataFrame([], schemas.SOURCES)
-        path = self._store.path(f"sources/batch_no={self.manifest.batch_no}")
-        return self._store.spark.read.schema(schemas.SOURCES).parquet(path)
+        return self._read(schemas.SOURCES, [f"sources/{self.manifest.sources}"] if self.manifest.sources else [])
 
     def report(self) -> DataFrame:
-        return self._read("report", schemas.REPORT)
+        return self._read(schemas.REPORT, [f"report/{name}" for name in self.manifest.reports])
 
     def errors(self) -> DataFrame:
-        return self._read("errors", schemas.ERRORS)
+        return self._read(schemas.ERRORS, [f"errors/{name}" for name in self.manifest.reports])
 
     def warnings(self) -> DataFrame:
-        return self._read("warnings", schemas.WARNINGS)
-
-    def normalized(self) -> DataFrame:
-        """Normalised records of all batches still staged, as delivered."""
-        return self._store.spark.read.parquet(self._store.path("staged")).where(
-            F.col("batch_no") <= self.manifest.batch_no
-        )
+        return self._read(schemas.WARNINGS, [f"warnings/{name}" for name in self.manifest.reports])
 
 
 class MentionStore:
-    """Tables under ``root``, on any file system Spark reads."""
+    """Tables under ``root``, on any file system Spark reads whose rename is atomic (HDFS, or a local disk)."""
 
     def __init__(self, spark: SparkSession, root: str, max_deltas: int = 8, max_delta_share: float = 0.25):
         self.spark, self.root = configured(spark), root.rstrip("/")
@@ -106,8 +146,7 @@ class MentionStore:
 
     def versions(self) -> list[int]:
         names = folders.children(self.spark, self.path("manifest"))
-        found = sorted(int(name.removeprefix("version=")) for name in names if name.startswith("version="))
-        return [v for v in found if folders.exists(self.spark, self.path(f"manifest/version={v}/_SUCCESS"))]
+        return sorted(int(name[:-5]) for name in names if name.endswith(".json"))
 
     def snapshot(self, version: int | None = None) -> Snapshot:
         """The newest version, or an older one that has not been vacuumed."""
@@ -116,12 +155,15 @@ class MentionStore:
             if not committed:
                 return Snapshot(self, Manifest())
             version = committed[-1]
-        text = self.spark.read.text(self.path(f"manifest/version={version}"), wholetext=True).first()["value"]
-        return Snapshot(self, Manifest(**json.loads(text)))
+        held = json.loads(folders.read_text(self.spark, self.path(f"manifest/{version:012d}.json")))
+        return Snapshot(self, Manifest(**held | {"deltas": [Delta(**delta) for delta in held["deltas"]]}))
 
     def _commit(self, manifest: Manifest) -> Snapshot:
-        row = self.spark.createDataFrame([(json.dumps(asdict(manifest)),)], "value string")
-        row.coalesce(1).write.mode("errorifexists").text(self.path(f"manifest/version={manifest.version}"))
+        name = self.path(f"manifest/{manifest.version:012d}.json")
+        try:
+            folders.create_text(self.spark, name, json.dumps(asdict(manifest)), self.path(f"manifest/{uuid.uuid4().hex}.tmp"))
+        except FileExistsError:
+            raise CommitRefused(f"version {manifest.version} of {self.root} exists already") from None
         return Snapshot(self, manifest)
 
     def ingest(
@@ -132,65 +174,71 @@ class MentionStore:
         A batch of a named stream is applied once; delivering its ``batch_id`` again changes nothing.
         """
         before = self.snapshot()
-        old = before.manifest
+        old, attempt = before.manifest, uuid.uuid4().hex
         if stream is not None and old.streams.get(stream, -1) >= batch_id:
             return before
         batch_no = old.batch_no + 1
         moment = batch_time or dt.datetime.now(dt.UTC)
         now = F.timestamp_millis(F.lit(round(moment.timestamp() * 1000)))
 
-        staged = self._stage(feed, batch_no)
-        files = [row["file"] for row in staged.select("file").distinct().collect()]
-        valid = with_arrival_numbers(
-            staged.where("status = 'valid'"), files, feed.stride, old.next_seq
-        )
-        delta_path = self.path(f"delta/batch_no={batch_no}")
-        merge.fold_rows(merge.as_rows(valid, now)).write.mode("overwrite").parquet(delta_path)
-        delta = self.spark.read.schema(schemas.MENTIONS).parquet(delta_path)
-
-        sources = merge.merge_sources(before.sources(), merge.batch_sources(valid, now))
-        self._write(sources, f"sources/batch_no={batch_no}")
-        self._write_problems(staged, batch_no)
-        counts = self._report(staged, before.keys(), delta)
-        self._write(counts, f"report/batch_no={batch_no}")
+        staged, following = with_arrival_numbers(self._stage(feed, attempt), old.next_seq)
+        valid = staged.where("status = 'valid'")
+        self._write(merge.fold_rows(merge.as_rows(valid, now)), f"delta/{attempt}")
+        delta = self.spark.read.schema(schemas.MENTIONS).parquet(self.path(f"delta/{attempt}"))
+        buckets = self._buckets(delta, old.n_buckets)
 
-        after = self._commit(
+        self._write(merge.merge_sources(before.sources(), merge.batch_sources(valid, now)), f"sources/{attempt}")
+        self._write_problems(staged, batch_no, attempt, feed.indexed)
+        self._write(self._report(staged, before.keys(set(buckets)), delta).select(F.lit(batch_no).cast("bigint").alias("batch_no"), "*"), f"report/{attempt}")
+        return self._commit(
             replace(
                 old,
                 version=old.version + 1,
                 batch_no=batch_no,
-                deltas=[*old.deltas, batch_no],
-                delta_rows=old.delta_rows + delta.count(),
-                next_seq=old.next_seq + len(files) * feed.stride,
+                deltas=[*old.deltas, Delta(attempt, delta.count(), buckets)],
+                next_seq=following,
+                sources=attempt,
+                reports=[*old.reports, attempt],
                 streams=old.streams | ({stream: batch_id} if stream is not None else {}),
             )
         )
-        return self.compact() if self._needs_compaction(after.manifest) else after
 
-    def _stage(self, feed: Feed, batch_no: int) -> DataFrame:
+    def _buckets(self, rows: DataFrame, buckets: int) -> list[int]:
+        """The buckets that hold the keys of ``rows``, at most ``buckets`` numbers."""
+        return sorted(row[0] for row in rows.select(bucket_of(buckets)).distinct().collect()) if buckets else []
+
+    def _stage(self, feed: Feed, attempt: str) -> DataFrame:
         """Normalise once into a table that the fold and the reports read by column.
 
-        A written table, not a cache: it survives lost executors and the reports read only the
-        narrow columns they need.
+        A written table, not a cache: it survives lost executors, its row numbers are fixed, and the reports
+        read only the narrow columns they need.
         """
         status = (
             F.when(F.col("refused"), "refused").when(~is_object(F.col("record")), "malformed").otherwise("valid")
         )
-        rows = feed.rows.withColumn("status", status).drop("refused")
-        path = self.path(f"staged/batch_no={batch_no}")
-        normalize_records(rows).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        rows = feed.in_order().withColumn("status", status).drop("refused")
+        self._write(normalize_records(rows), f"staged/{attempt}")
+        return self.spark.read.parquet(self.path(f"staged/{attempt}"))
 
     def _write(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.parquet(self.path(name))
 
-    def _write_problems(self, staged: DataFrame, batch_no: int) -> None:
+    def _write_problems(self, staged: DataFrame, batch_no: int, attempt: str, indexed: bool) -> None:
+        """Errors and warnings with the record's index in its file."""
+        first = staged.groupBy("file").agg(F.min("arrival_seq").alias("first"))
+
+        def placed(rows: DataFrame) -> DataFrame:
+            if indexed:
+                return rows.withColumn("pos", F.col("line"))
+            return rows.join(first, "file").withColumn("pos", F.col("arrival_seq") - F.col("first")).drop("first")
+
+        number = F.lit(batch_no).cast("bigint").alias("batch_no")
         message = F.when(F.col("status") == "refused", F.lit(NOT_AN_ARRAY)).otherwise(F.lit(NOT_AN_OBJECT))
-        errors = staged.where("status <> 'valid'").select(
-            "file", F.when(F.col("status") == "malformed", F.col("pos")).alias("pos"), message.alias("message")
-        )
-        self._write(errors, f"errors/batch_no={batch_no}")
-        self._write(warning_rows(staged.where("status = 'valid'")), f"warnings/batch_no={batch_no}")
+        place = F.when(F.col("status") == "malformed", F.col("pos")).alias("pos")
+        errors = placed(staged.where("status <> 'valid'")).select(number, "file", place, message.alias("message"))
+        self._write(errors, f"errors/{attempt}")
+        warned = placed(staged.where("status = 'valid' AND size(warnings) > 0"))
+        self._write(warning_rows(warned).select(number, "*"), f"warnings/{attempt}")
 
     def _report(self, staged: DataFrame, stored_keys: DataFrame, delta: DataFrame) -> DataFrame:
         def records(status: str) -> Column:
@@ -209,48 +257,86 @@ class MentionStore:
             F.lit(counted["refused_files"]).cast("bigint").alias("refused_files"),
         )
 
-    def _needs_compaction(self, manifest: Manifest) -> bool:
-        too_many = len(manifest.deltas) >= self.max_deltas
-        return too_many or manifest.delta_rows > self.max_delta_share * manifest.base_rows
+    def maintain(self) -> Snapshot:
+        """Compact what is due: deltas with a share of the base into it, many small deltas among themselves."""
+        current = self.snapshot()
+        if current.manifest.delta_rows > self.max_delta_share * max(1, current.manifest.base_rows):
+            return self.compact()
+        return self.merge_deltas() if len(current.manifest.deltas) > self.max_deltas else current
+
+    def merge_deltas(self) -> Snapshot:
+        """Make one delta of the newest ones, without the base and without an older one more than twice their size."""
+        current, attempt = self.snapshot(), uuid.uuid4().hex
+        deltas = current.manifest.deltas
+        first, rows = len(deltas), 0
+        while first and (rows == 0 or deltas[first - 1].rows <= 2 * rows):
+            first -= 1
+            rows += deltas[first].rows
+        if len(deltas) - first < 2:
+            return current
+        self._write(merge.fold_rows(current.deltas([delta.name for delta in deltas[first:]])), f"delta/{attempt}")
+        merged = self.spark.read.parquet(self.path(f"delta/{attempt}")).count()
+        buckets = sorted({bucket for delta in deltas[first:] for bucket in delta.buckets})
+        return self._commit(
+            replace(
+                current.manifest,
+                version=current.manifest.version + 1,
+                deltas=[*deltas[:first], Delta(attempt, merged, buckets)],
+                reports=self._joined_reports(current, attempt),
+            )
+        )
 
     def compact(self) -> Snapshot:
-        """Merge the deltas into a new base.
+        """Merge the deltas into the buckets they touch; other buckets stay where they are.
 
-        Range partitioning on date and id gives date filters whole files to skip and spreads rows
-        that share one instant or have none; within a file, rows are ordered by outlet.
+        The base is laid out anew only when it has outgrown its buckets by ``GROWTH``, so each row is moved a
+        bounded number of times. Within a bucket rows are ordered by outlet and date, for filters to skip row groups.
         """
-        current = self.snapshot()
-        newer = current.deltas()
+        current, attempt = self.snapshot(), uuid.uuid4().hex
+        manifest, newer = current.manifest, current.deltas()
         if newer is None:
             return current
-        version = current.manifest.version + 1
-        merged = merge.merge_into(current.base(), merge.fold_rows(newer)).repartitionByRange("published_at", "id")
-        # After the shuffle, so that the search words are neither moved nor computed for its sample.
-        laid_out = merge.with_search_text(merged).sortWithinPartitions("source_slug", "published_at")
-        self._write(laid_out, f"base/version={version}")
-        rows = self.spark.read.parquet(self.path(f"base/version={version}")).count()
+        rows = manifest.base_rows + manifest.delta_rows
+        anew = rows > GROWTH * BUCKET_ROWS * manifest.n_buckets and manifest.n_buckets < MOST_BUCKETS
+        buckets = min(MOST_BUCKETS, max(1, -(-rows // BUCKET_ROWS))) if anew else manifest.n_buckets
+        touched = {int(bucket) for bucket in manifest.base} if anew else current.touched()
+        before = current.base(touched)
+        merged = merge.merge_into(before, merge.fold_rows(newer)).withColumn("bucket", bucket_of(buckets))
+        # A bucket may be too much for one task, so it is dealt over as many as its rows take.
+        spread = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-rows // (buckets * FILE_ROWS)))))
+        laid_out = merged.repartition("bucket", spread).sortWithinPartitions("bucket", "source_slug", "published_at")
+        kept = merge.with_search_text(laid_out, "bucket")
+        kept.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("bucket").parquet(self.path(f"base/{attempt}"))
+        written = {name.removeprefix("bucket=") for name in folders.children(self.spark, self.path(f"base/{attempt}")) if "=" in name}
+        base = {b: name for b, name in manifest.base.items() if int(b) not in touched} | dict.fromkeys(written, attempt)
+        new_rows = self.spark.read.parquet(self.path(f"base/{attempt}")).count()
         return self._commit(
-            replace(current.manifest, version=version, base=version, base_rows=rows, deltas=[], delta_rows=0)
+            replace(
+                manifest,
+                version=manifest.version + 1,
+                n_buckets=buckets,
+                base=base,
+                base_rows=manifest.base_rows - before.count() + new_rows,
+                deltas=[],
+                reports=self._joined_reports(current, attempt),
+            )
         )
 
+    def _joined_reports(self, current: Snapshot, attempt: str) -> list[str]:
+        """The folders of reports, errors and warnings; one folder of each if they are many."""
+        if len(current.manifest.reports) <= SEPARATE_REPORTS:
+            return current.manifest.reports
+        for table, rows in (("report", current.report()), ("errors", current.errors()), ("warnings", current.warnings())):
+            self._write(rows, f"{table}/{attempt}")
+        return [attempt]
+
     def vacuum(self, keep: int = 2) -> None:
-        """Drop what only versions older than the newest ``keep`` need. Reports, errors and warnings stay."""
+        """Drop what only versions older than the newest ``keep`` need. Folders of attempts under way are left alone."""
         committed = self.versions()
-        kept = [self.snapshot(version).manifest for version in committed[-keep:]]
-        if not kept:
-            return
-        newest = kept[-1].batch_no
-        needed = {
-            "base/version": {m.base for m in kept},
-            "delta/batch_no": {batch for m in kept for batch in m.deltas},
-            "sources/batch_no": {m.batch_no for m in kept},
-            "staged/batch_no": {m.batch_no for m in kept},
-            "manifest/version": set(committed[-keep:]),
-        }
-        limits = {"base/version": kept[-1].version, "manifest/version": kept[-1].version}
-        for name, wanted in needed.items():
-            table, key = name.split("/")
-            for child in folders.children(self.spark, self.path(table)):
-                number = int(child.removeprefix(f"{key}=")) if child.startswith(f"{key}=") else None
-                if number is not None and number not in wanted and number <= limits.get(name, newest):
-                    folders.remove(self.spark, self.path(f"{table}/{child}"))
+        manifests = {version: self.snapshot(version).manifest for version in committed}
+        needed = set().union(*(manifests[version].names() for version in committed[-keep:]))
+        for version in committed[:-keep]:
+            for name in manifests[version].names() - needed:
+                folders.remove(self.spark, self.path(name))
+        for version in committed[:-keep]:
+            folders.remove(self.spark, self.path(f"manifest/{version:012d}.json"))

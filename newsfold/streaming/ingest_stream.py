@@ -22,12 +22,13 @@ def start_ingest(
     lines: bool = False,
     max_files: int = 10_000,
     once: bool = False,
+    maintain: bool = True,
 ) -> StreamingQuery:
     """Keep ``store`` current with files that appear under ``feed_path``.
 
     A file holds one JSON array, or one record per line with ``lines``. ``name`` identifies the
     stream and must stay the same for one ``checkpoint``. With ``once`` the query takes what is
-    there and stops.
+    there and stops. With ``maintain`` due compactions run between batches.
     """
     reader = store.spark.readStream.option("maxFilesPerTrigger", max_files)
     files = text_lines(reader.text(feed_path, wholetext=not lines))
@@ -35,6 +36,8 @@ def start_ingest(
     def apply(batch: DataFrame, batch_id: int) -> None:
         feed = line_documents(batch) if lines else array_documents(batch)
         store.ingest(feed, stream=name, batch_id=batch_id)
+        if maintain:
+            store.maintain()
 
     writer = files.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(f"ingest-{name}")
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -59,11 +59,11 @@ def test_pages_neither_skip_nor_repeat(spark, tables):
 
 def test_deep_pages_equal_a_plain_sort(spark, tables, monkeypatch):
     monkeypatch.setattr(search, "SKIP_ROWS", 3)
-    moment = dt.datetime(2026, 8, 1, tzinfo=dt.UTC)
+    moment = dt.datetime(1969, 12, 31, 12, tzinfo=dt.UTC)
     rows = []
     for at in range(300):
-        # A third shares one instant, a third has none, the rest spreads over milliseconds and days.
-        when = [moment, None, moment + dt.timedelta(milliseconds=at % 7, days=at % 3)][at % 3]
+        # A third shares one instant, a third has none, the rest spreads over microseconds and days around 1970.
+        when = [moment, None, moment + dt.timedelta(microseconds=at % 7, days=at % 5 - 2)][at % 3]
         rows.append((at * 70_000, "s", when))
     mentions = spark.createDataFrame(rows, "id bigint, source_slug string, published_at timestamp")
     for name in set(search.PAGE_COLUMNS) - {"id", "source_slug", "published_at"}:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsfold import schemas
 from newsfold.sources import feed
-from newsfold.sources.store import MentionStore
+from newsfold.sources.store import CommitRefused, MentionStore
 from newsfold.streaming.ingest_stream import start_ingest
 from tests.conftest import FEED_FILE
 
@@ -40,7 +40,7 @@ def test_array_files_become_numbered_elements(spark, tmp_path):
     put(tmp_path, "object.json", {"a": 1})
     put(tmp_path, "broken.json", "[not json")
     rows = feed.read_array_files(spark, str(tmp_path)).rows.withColumn("text", F.to_json("record"))
-    found = {(row["file"].split("/")[-1], row["pos"]): (row["refused"], row["text"]) for row in rows.drop("record").collect()}
+    found = {(row["file"].split("/")[-1], row["line"]): (row["refused"], row["text"]) for row in rows.drop("record").collect()}
     assert found == {
         ("b%201.json", 0): (False, '{"a":1}'),
         ("b%201.json", 1): (False, "42"),
@@ -53,42 +53,44 @@ def test_array_files_become_numbered_elements(spark, tmp_path):
     }
 
 
-def test_lines_keep_their_order_across_splits(spark, tmp_path):
+def test_arrays_above_the_size_of_one_value(spark, tmp_path):
+    record = {"source": "ig", "content": "x" * (1 << 20)}
+    with open(tmp_path / "large.json", "w") as file:
+        file.write("[")
+        for at in range(140):
+            file.write(("," if at else "") + json.dumps(record | {"title": f"t{at}"}))
+        file.write("]")
+    rows = feed.read_array_files(spark, str(tmp_path)).rows
+    found = rows.agg(F.count("*"), F.sum(F.col("refused").cast("int")), F.max("line"), F.count("record")).first()
+    assert tuple(found) == (140, 0, 139, 140)
+
+
+def numbered(spark, rows, tmp_path, first=5):
+    rows.in_order().write.parquet(str(tmp_path / "ordered"))
+    return feed.with_arrival_numbers(spark.read.parquet(str(tmp_path / "ordered")), first)
+
+
+@pytest.mark.parametrize("splits", ["2", None])
+def test_lines_are_numbered_in_order_across_splits(spark, tmp_path, splits):
     for name, count in (("x.jsonl", 4_000), ("y.jsonl", 6_000)):
-        put(tmp_path, name, "".join(json.dumps({"external_id": str(at)}) + "\n" for at in range(count)))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        put(tmp_path / "in", name, "".join(json.dumps({"external_id": str(at)}) + "\n" for at in range(count)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    if splits:
+        spark.conf.set("spark.sql.files.maxPartitionNum", splits)
     try:
-        lines = feed.read_line_files(spark, str(tmp_path))
-        assert lines.rows.rdd.getNumPartitions() > 10
-        files = [row[0] for row in lines.rows.select("file").distinct().collect()]
-        rows = (
-            feed.with_arrival_numbers(lines.rows, files, lines.stride, 5)
-            .select("arrival_seq", F.variant_get("record", "$.external_id", "int").alias("at"))
-            .orderBy("arrival_seq")
-            .collect()
-        )
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert [row["at"] for row in rows] == [*range(4_000), *range(6_000)]
-    assert len({row["arrival_seq"] for row in rows}) == 10_000 and rows[0]["arrival_seq"] >= 5
-
-
-def test_line_feed_refuses_packed_splits(spark, tmp_path):
-    path = put(tmp_path, "x.jsonl", "{}\n")
-    spark.conf.set("spark.sql.files.maxPartitionNum", "1")
-    try:
-        with pytest.raises(ValueError, match="maxPartitionNum"):
-            feed.read_line_files(spark, path)
+        rows, following = numbered(spark, feed.read_line_files(spark, str(tmp_path / "in")), tmp_path)
+        found = rows.select("arrival_seq", F.variant_get("record", "$.external_id", "int").alias("at")).orderBy("arrival_seq").collect()
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionNum")
+        for name in ("maxPartitionBytes", "openCostInBytes", "maxPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+    assert [row["at"] for row in found] == [*range(4_000), *range(6_000)]
+    assert [row["arrival_seq"] for row in found] == list(range(5, 10_005)) and following == 10_005
 
 
 def test_batches_replay_merge_and_compaction(spark, tmp_path):
     posted = put(tmp_path / "in", "feed.json", FEED_FILE.read_text())
-    store = MentionStore(spark, str(tmp_path / "tables"), max_delta_share=100.0)
+    store = MentionStore(spark, str(tmp_path / "tables"))
     assert store.snapshot().mentions().count() == 0
 
     first = store.ingest(feed.read_array_files(spark, posted), MORNING)
@@ -98,7 +100,7 @@ def test_batches_replay_merge_and_compaction(spark, tmp_path):
 
     second = store.ingest(feed.read_array_files(spark, posted), EVENING)
     assert report(second) == (14, 0, 14, 0)
-    assert second.manifest.deltas == [2]
+    assert len(second.manifest.deltas) == 2 and second.manifest.base == {}
     rows = mentions(second)
     assert len(rows) == 11 and sum(row["times_seen"] for row in rows.values()) == 28
     times = second.mentions().agg(F.max("first_seen_at"), F.min("updated_at")).first()
@@ -108,7 +110,9 @@ def test_batches_replay_merge_and_compaction(spark, tmp_path):
     compacted = store.compact()
     assert compacted.manifest.deltas == [] and mentions(compacted) == rows
     assert mentions(store.snapshot(second.manifest.version)) == rows
+    kept = {name: len(list((tmp_path / "tables" / name).iterdir())) for name in ("delta", "staged")}
     store.vacuum(keep=1)
+    assert kept["delta"] == 2 and not list((tmp_path / "tables" / "delta").iterdir())
     assert store.versions() == [compacted.manifest.version]
     assert mentions(store.snapshot()) == rows and store.snapshot().report().count() == 2
     orphans = store.snapshot().mentions().join(store.snapshot().sources(), F.col("source_slug") == F.col("slug"), "left_anti")
@@ -132,10 +136,11 @@ def test_batch_splits_and_feed_formats_give_one_table(spark, tmp_path, feed_reco
     expected = mentions(whole.ingest(feed.read_array_files(spark, put(tmp_path / "all", "f.json", records))))
 
     cuts = sorted(random.Random(3).sample(range(1, 28), 2))
-    parts = MentionStore(spark, str(tmp_path / "parts"), max_deltas=2, max_delta_share=0.5)
+    parts = MentionStore(spark, str(tmp_path / "parts"), max_delta_share=0.5)
     for at, (low, high) in enumerate(zip([0, *cuts], [*cuts, 28], strict=True)):
         text = "".join(json.dumps(record) + "\n" for record in records[low:high])
-        last = parts.ingest(feed.read_line_files(spark, put(tmp_path / f"part{at}", "f.jsonl", text)))
+        parts.ingest(feed.read_line_files(spark, put(tmp_path / f"part{at}", "f.jsonl", text)))
+        last = parts.maintain()
     got = mentions(last)
     drop = lambda table: {key: {k: v for k, v in row.items() if k != "id"} for key, row in table.items()}
     assert drop(got) == drop(expected)
@@ -170,11 +175,63 @@ def test_failed_batch_leaves_nothing_and_can_be_sent_again(spark, tmp_path, monk
     assert report(store.ingest(feed.read_array_files(spark, posted))) == (14, 11, 3, 0)
 
 
-def test_second_writer_is_refused(spark, tmp_path):
+def test_of_two_writers_the_second_changes_nothing(spark, tmp_path):
+    """Both read version 1; one commits while the other is at work."""
+    store, rival = (MentionStore(spark, str(tmp_path / "tables")) for _ in range(2))
+    post = lambda name, story: feed.read_array_files(spark, put(tmp_path / name, "f.json", [{"source": "ig", "title": story}]))
+    store.ingest(post("zero", "before"))
+    slow, fast = post("slow", "story B"), post("fast", "story A")
+    commit = store._commit
+    store._commit = lambda manifest: (rival.ingest(fast), commit(manifest))[1]
+    with pytest.raises(CommitRefused):
+        store.ingest(slow)
+    store._commit = commit
+    seen = store.snapshot()
+    assert sorted(row["title"] for row in seen.mentions().collect()) == ["before", "story A"]
+    assert report(seen) == (1, 1, 0, 0) and seen.report().count() == 2 and seen.errors().count() == 0
+    again = store.ingest(slow)
+    assert sorted(row["title"] for row in again.mentions().collect()) == ["before", "story A", "story B"]
+    ids = [row["id"] for row in again.mentions().collect()]
+    assert len(set(ids)) == 3
+
+
+def test_small_batches_touch_few_buckets_and_never_the_rest(spark, tmp_path, monkeypatch):
+    from newsfold.sources import store as tables
+
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 20)
+    store = MentionStore(spark, str(tmp_path / "tables"), max_deltas=3)
+    post = lambda name, titles: feed.read_array_files(
+        spark, put(tmp_path / name, "f.json", [{"source": "ig", "title": title, "content": "c"} for title in titles])
+    )
+    store.ingest(post("many", [f"story {at}" for at in range(400)]))
+    base = store.compact().manifest
+    assert base.n_buckets == 20 and len(base.base) == 20 and base.base_rows == 400
+    for at in range(6):
+        store.ingest(post(f"one{at}", [f"story {at * 7}"]))
+        assert store.maintain().manifest.base == base.base
+    current = store.snapshot()
+    assert len(current.manifest.deltas) <= 4 and current.manifest.delta_rows == 6
+    touched = current.touched()
+    assert 0 < len(touched) <= 6
+    counted = {row["times_seen"]: row["count"] for row in current.mentions().groupBy("times_seen").count().collect()}
+    assert counted == {1: 394, 2: 6}
+    files = {name.split("bucket=")[1].split("/")[0] for name in current.keys({min(touched)}).inputFiles() if "bucket=" in name}
+    assert files == {str(min(touched))}
+    after = store.compact().manifest
+    assert {b for b in base.base if after.base[b] != base.base[b]} == set(map(str, touched)) and after.base_rows == 400
+
+
+def test_reports_are_put_together(spark, tmp_path, monkeypatch):
+    from newsfold.sources import store as tables
+
+    monkeypatch.setattr(tables, "SEPARATE_REPORTS", 1)
     store = MentionStore(spark, str(tmp_path / "tables"))
-    store._commit(store.snapshot().manifest)
-    with pytest.raises(Exception, match="(?i)already exists"):
-        store._commit(store.snapshot().manifest)
+    for at in range(2):
+        store.ingest(feed.read_array_files(spark, put(tmp_path / f"in{at}", "f.json", [{"source": "ig", "title": "t"}, 7])))
+    before = [sorted(map(tuple, table.collect()), key=repr) for table in (store.snapshot().report(), store.snapshot().errors(), store.snapshot().warnings())]
+    after = store.compact()
+    assert len(after.manifest.reports) == 1
+    assert [sorted(map(tuple, table.collect()), key=repr) for table in (after.report(), after.errors(), after.warnings())] == before
 
 
 def test_stream_applies_each_micro_batch_once(spark, tmp_path):
@@ -198,7 +255,8 @@ def test_stream_applies_each_micro_batch_once(spark, tmp_path):
 def test_date_filter_reaches_the_scan(spark, tmp_path):
     posted = put(tmp_path / "in", "feed.json", FEED_FILE.read_text())
     store = MentionStore(spark, str(tmp_path / "tables"))
-    snapshot = store.ingest(feed.read_array_files(spark, posted))
+    store.ingest(feed.read_array_files(spark, posted))
+    snapshot = store.compact()
     from newsfold.operators.filters import Filters
     from newsfold.operators.stats import count_by_day
 
