@@ -9,7 +9,7 @@ only.
   register, and a register keeps the shingle that hits it first. Two texts agree in a register with the probability
   above. A shingle's process ends when it is later than the latest register of its text.
 - **Bands.** ``BANDS`` bands of ``ROWS`` registers; texts at 0.8 share no band once in 37,000 pairs.
-- **Verification** is exact, on the texts. In a bucket of a band every member is held against a pivot; then the pivot
+- **Verification** is exact, on the texts of pairs that agree in about as many registers. In a bucket of a band every member is held against a pivot; then the pivot
   leaves, and buckets whose members are not yet in one class go on with more pivots, taken from outside their largest
   class. Members of one class are never compared again. So pairs grow with the members and not with their square where
   texts are alike, and yet no two classes of a bucket stay unchecked. The pivots of a bucket grow by ``PIVOT_GROWTH``
@@ -38,6 +38,7 @@ ROWS = 4
 #: Members that are held against one copy of their pivot's text.
 PIVOT_SHARE = 256
 PIVOT_GROWTH = 4
+DEVIATIONS = 5
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -106,19 +107,39 @@ def band_hashes(kept: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def banded(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``digest, bands``: the band hashes of every text with words."""
+    """``digest, bands, sketch``: the band hashes of every text with words, and a byte of each register."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches, "text"):
             text, shingle, weight = shingles(data, offsets)
             with np.errstate(over="ignore"):
-                found = band_hashes(signatures(text, shingle, weight, part.num_rows, bands * rows), bands, rows)
+                kept = signatures(text, shingle, weight, part.num_rows, bands * rows)
+                found = band_hashes(kept, bands, rows)
             filled = np.unique(text)
+            sketch = pa.array([row.tobytes() for row in (kept[filled] & np.uint64(255)).astype(np.uint8)], pa.binary())
             values = pa.array(found[filled].ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, bands), pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([part.column("digest").take(pa.array(filled)), lists], ["digest", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("digest").take(pa.array(filled)), lists, sketch], ["digest", "bands", "sketch"])
 
-    return texts.select("digest", "text").mapInArrow(sign, "digest binary, bands array<bigint>")
+    return texts.select("digest", "text").mapInArrow(sign, "digest binary, bands array<bigint>, sketch binary")
+
+
+def promising(pairs: DataFrame, sketches: DataFrame, least: float, registers: int) -> DataFrame:
+    """``pairs`` without those whose registers agree so rarely that a similarity of ``least`` is out of the question.
+
+    The bound is ``DEVIATIONS`` standard deviations below ``least``, so a similar pair is lost once in some 250,000.
+    """
+    bound = registers * least - DEVIATIONS * (registers * least * (1 - least)) ** 0.5
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                one, two = (flat(batch.column(name))[0].reshape(-1, registers) for name in ("sketch", "pivot_sketch"))
+                yield batch.select(["digest", "pivot"]).filter(pa.array((one == two).sum(axis=1) >= bound))
+
+    own, other = sketches.select("digest", "sketch"), sketches.select(F.col("digest").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
+    both = pairs.join(own, "digest").join(other, "pivot").select("digest", "pivot", "sketch", "pivot_sketch")
+    return both.mapInArrow(agree, "digest binary, pivot binary")
 
 
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -231,10 +252,12 @@ def similar_labels(scratch: Scratch, texts: DataFrame, least: float, bands: int,
         if checked is not None:
             pairs = pairs.join(checked, ["low", "high"], "left_anti")
         pairs = scratch.keep(pairs, f"pairs-{step}")
-        good = scratch.keep(verified(texts, pairs.select("digest", "pivot"), least), f"good-{step}")
+        likely = scratch.keep(promising(pairs.select("digest", "pivot"), signed, least, bands * rows), f"likely-{step}")
+        good = scratch.keep(verified(texts, likely, least), f"good-{step}")
         one, two = labels.select("digest", F.col("label").alias("one")), labels.select(F.col("digest").alias("pivot"), F.col("label").alias("two"))
         edges = scratch.keep(good.join(one, "digest").join(two, "pivot").select("one", "two").where("one != two").distinct(), f"edges-{step}")
         labels = merged_labels(scratch, labels, edges, f"merge-{step}")
+        scratch.drop(f"labelled-{step}", f"likely-{step}", f"good-{step}")
         members = opened.join(pivots.select("bucket", F.col("pivot").alias("digest")), ["bucket", "digest"], "left_anti").select("bucket", "digest")
         done = pairs.select("low", "high")
         checked = done if checked is None else checked.unionByName(done)
