@@ -44,6 +44,7 @@ NORMALIZED = [
     "engagement",
     "dedupe_key",
     "warnings",
+    "engagement_raw",
 ]
 
 NOT_AN_OBJECT = "every mention must be a JSON object"
@@ -134,6 +135,7 @@ def normalize_fields(fields: DataFrame, directory: Directory = LISTED) -> DataFr
         .withColumns({name: blank_to_null(F.col(name)) for name in ("url", "external_id", "author")})
         .withColumn("host", url_host(F.col("url")))
         .withColumn("published_at_raw", F.col("published_at_text"))
+        .withColumn("engagement_raw", F.col("engagement_text"))
         .withColumn(
             "read_date",
             dates.read_published(F.col("published_at_kind"), F.col("published_at_number"), F.col("published_at_text")),
@@ -180,11 +182,20 @@ def date_shape_census(normalized: DataFrame) -> DataFrame:
 
 
 def warning_rows(normalized: DataFrame) -> DataFrame:
-    """One row per warning of each record.
+    """One row per warning of each record, with the value that is at fault where there is one.
 
     ``explode_outer`` on purpose: for ``explode`` Spark derives a filter on the array and evaluates
     the whole normalisation once more inside it.
     """
     kept = [name for name in ("batch_no", "file", "pos", "arrival_seq", "external_id") if name in normalized.columns]
-    rows = normalized.select(*kept, F.explode_outer("warnings").alias("warning"))
-    return rows.where(F.col("warning").isNotNull())
+    at_fault = {
+        DATE_UNREADABLE: "published_at_raw",
+        ENGAGEMENT_UNREADABLE: "engagement_raw",
+        URL_UNUSABLE: "url",
+        SOURCE_UNLISTED: "display_name",
+    }
+    rows = normalized.select(*kept, *at_fault.values(), F.explode_outer("warnings").alias("warning"))
+    value = F.lit(None).cast("string")
+    for code, name in at_fault.items():
+        value = F.when(F.col("warning") == code, F.col(name)).otherwise(value)
+    return rows.where(F.col("warning").isNotNull()).select(*kept, "warning", value.alias("value"))

@@ -51,6 +51,7 @@ WARNINGS = _schema(
     ("pos", T.LongType()),
     ("external_id", T.StringType()),
     ("warning", T.StringType()),
+    ("value", T.StringType()),
 )
 
 REPORT = _schema(

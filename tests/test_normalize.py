@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newsfold.functions.text import blank_to_null, decode_entities
 from newsfold.functions.urls import canonical_url, url_host
-from newsfold.operators.normalize import date_shape_census, renormalize_text, split_malformed
+from newsfold.operators.normalize import date_shape_census, renormalize_text, split_malformed, warning_rows
 from tests.helpers import normalized_rows, record_rows
 
 TEXTS = [
@@ -265,6 +265,12 @@ def test_warnings_of_the_feed(normalized):
     assert set(rows[9]) == {"CONTENT_CLEANED", "DATE_UNREADABLE"}
 
 
+def test_warnings_name_the_value_at_fault(normalized):
+    rows = {(row["arrival_seq"], row["warning"]): row["value"] for row in warning_rows(normalized).collect()}
+    assert rows[9, "DATE_UNREADABLE"] == "yesterday" and rows[8, "ENGAGEMENT_UNREADABLE"] == "n/a"
+    assert rows[8, "SOURCE_UNLISTED"] == "Teluk Intan Post" and rows[6, "DATE_MISSING"] is None
+
+
 def test_date_shape_census(normalized):
     counts = {row["date_shape"]: row["records"] for row in date_shape_census(normalized).collect()}
     assert counts == {
