@@ -8,6 +8,7 @@ from newsfold.llm import (
     cover_tree,
     id_store,
     license_scan,
+    oracle,
     packing,
     prob_minhash,
     quality,
@@ -93,4 +94,4 @@ QUERIES = {
     "op10_id_store": op10_id_store,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracle.SQL
