@@ -1,7 +1,8 @@
 """Ids of whole texts by a public tokenizer, each distinct unit of text encoded once per worker.
 
 A unit is a stretch of text that its tokenizer encodes in the same way wherever it stands: for a tokenizer that drops
-white space a run without white space, for a byte-level one a run of white space with the run after it.
+white space a run without white space, for a byte-level one a run of white space with the run after it, both parted
+before punctuation.
 """
 
 from __future__ import annotations
@@ -20,12 +21,37 @@ REMEMBERED_UNITS = 500_000
 #: Characters after which white space surely starts a new unit: printable ASCII.
 _PLAIN = np.zeros(256, dtype=bool)
 _PLAIN[0x21:0x7F] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
+_MARK = _PLAIN.copy()
+_MARK[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"]] = False
 _TWO_BYTE_LEAD = np.zeros(256, dtype=bool)
 _TWO_BYTE_LEAD[0xC3:0xE0] = True
 
 
+def before_marks(data: np.ndarray) -> np.ndarray:
+    """Positions of ASCII punctuation right after an ASCII letter, where both tokenizers' patterns part.
+
+    None where a special token might stand, which holds such a place.
+    """
+    if ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(_LETTER[data[:-1]] & _MARK[data[1:]]) + 1
+
+
+def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units of a tokenizer that drops white space: runs without white space, parted before punctuation."""
+    starts, ends, rows = words(data, offsets)
+    marks = before_marks(data)
+    marks = marks[~np.isin(marks, offsets)] if len(marks) else marks  # texts that touch
+    if not len(marks):
+        return starts, ends, rows
+    starts, ends = np.sort(np.concatenate([starts, marks])), np.sort(np.concatenate([ends, marks]))
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
 def tiles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Units of a byte-level tokenizer, which cover the text: white space and what follows it up to the next.
+    """Units of a byte-level tokenizer, which cover the text: white space and what follows it, parted before punctuation.
 
     A cut stands before ASCII white space whose predecessor is certainly no white space (printable ASCII, or a
     two-byte character other than those led by 0xC2); elsewhere the unit just gets longer.
@@ -37,6 +63,7 @@ def tiles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     cut[1:] = space[1:] & _PLAIN[data[:-1]]
     wide = np.flatnonzero(space[2:] & (data[1:-1] >= 0x80)) + 2
     cut[wide[_TWO_BYTE_LEAD[data[wide - 2]]]] = True
+    cut[before_marks(data)] = True
     cut[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
     starts = np.flatnonzero(cut)
     return starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
@@ -98,7 +125,7 @@ class LibraryEncoder:
 class TextEncoder:
     """Ids of blocks of texts; ``encode`` maps distinct units to lists of ids."""
 
-    def __init__(self, encode, split=words, remembered: int = REMEMBERED_UNITS):
+    def __init__(self, encode, split=word_units, remembered: int = REMEMBERED_UNITS):
         self.encode, self.split, self.remembered = encode, split, remembered
         self.forget()
 
@@ -150,7 +177,7 @@ class TextEncoder:
 @lru_cache(maxsize=1)
 def worker_encoder(path: str, byte_level: bool) -> TextEncoder:
     """The encoder of this Python worker, kept from task to task with the units it has met."""
-    return TextEncoder(LibraryEncoder(path, byte_level), tiles if byte_level else words)
+    return TextEncoder(LibraryEncoder(path, byte_level), tiles if byte_level else word_units)
 
 
 def little_endian(ids: np.ndarray) -> memoryview:
