@@ -10,8 +10,8 @@ only.
   above. A shingle's process ends when it is later than the latest register of its text.
 - **Bands.** ``BANDS`` bands of ``ROWS`` registers; texts at 0.8 share no band once in 37,000 pairs.
 - **Verification** is exact, on the texts of pairs that agree in about as many registers. In a bucket of a band every member is held against a pivot; then the pivot
-  leaves, and buckets whose members are not yet in one class go on with more pivots, taken from outside their largest
-  class. Members of one class are never compared again. So pairs grow with the members and not with their square where
+  leaves, and buckets whose members are not yet in one class go on with more pivots, first from their largest class, then
+  from outside it. Members of one class are never compared again. So pairs grow with the members and not with their square where
   texts are alike, and yet no two classes of a bucket stay unchecked. The pivots of a bucket grow by ``PIVOT_GROWTH``
   from round to round, so the rounds are few.
 """
@@ -38,6 +38,7 @@ ROWS = 4
 #: Members that are held against one copy of their pivot's text.
 PIVOT_SHARE = 256
 PIVOT_GROWTH = 4
+ABSORBING_ROUNDS = 3
 DEVIATIONS = 5
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -243,9 +244,11 @@ def similar_labels(scratch: Scratch, texts: DataFrame, least: float, bands: int,
         opened = scratch.keep(labelled.join(major, "bucket"), f"opened-{step}")
         if opened.isEmpty():
             return labels
-        # Once all members outside the bucket's largest class have been pivots, nothing is left to compare.
+        # First a few members of the largest class take in what resembles them. Once all members outside it have been
+        # pivots, nothing is left to compare.
+        side = F.col("label") == F.col("major") if step <= ABSORBING_ROUNDS else F.col("label") != F.col("major")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("digest"))
-        pivots = opened.where("label != major").withColumn("rank", rank).where(F.col("rank") <= pivots_each)
+        pivots = opened.where(side).withColumn("rank", rank).where(F.col("rank") <= pivots_each)
         pivots = scratch.keep(pivots.select("bucket", F.col("digest").alias("pivot"), F.col("label").alias("pivot_label")), f"pivots-{step}")
         pairs = opened.join(pivots, "bucket").where("label != pivot_label").select("digest", "pivot")
         pairs = pairs.withColumns({"low": F.least("digest", "pivot"), "high": F.greatest("digest", "pivot")}).dropDuplicates(["low", "high"])
