@@ -104,34 +104,51 @@ def pointed(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tupl
     return text, hashes[suffix].view(np.int64), suffix, windows[first], windows[last]
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray, length: int):
+def chunks(data: np.ndarray, offsets: np.ndarray, length: int, size: int | None = None):
     """``(bytes, offsets, first byte)``: a block, or a longer single text in pieces that share ``length - 1`` bytes."""
-    if len(data) <= CHUNK_BYTES:
+    size = size or CHUNK_BYTES
+    if len(data) <= size:
         yield data, offsets, 0
         return
-    for start in range(0, max(1, len(data) - length + 1), CHUNK_BYTES - length):
-        part = data[start : start + CHUNK_BYTES - 1]
+    for start in range(0, max(1, len(data) - length + 1), size - length):
+        part = data[start : start + size - 1]
         yield part, np.array([0, len(part)]), start
 
 
+def runs(data: np.ndarray, offsets: np.ndarray, length: int, size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """What ``pointed`` gives for the whole block, chunk by chunk; a suffix whose windows lie in several chunks comes once."""
+    held = None
+    for part, parts, start in chunks(data, offsets, length, size):
+        text, gram, suffix, first, last = pointed(part, parts, length)
+        found = [text, gram, suffix + start, first + start, last + start]
+        if held is not None:
+            if len(suffix) and found[2][0] == held[2][0]:
+                found[3][0] = held[3][0]
+            else:
+                yield tuple(held)
+        held = [column[-1:] for column in found]
+        yield tuple(column[:-1] for column in found)
+    if held is not None:
+        yield tuple(held)
+
+
 def digest(data: memoryview, start: int, end: int) -> bytes:
     return xxhash.xxh3_128_digest(data[start:end])
 
 
 def anchors(texts: DataFrame, length: int) -> DataFrame:
     """The pointed suffixes of every text, with the digest of the span of all offsets where the text has it whole."""
-    widest = length - GRAM
+    widest, size = length - GRAM, CHUNK_BYTES
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, block, offsets in blocks(batches, "text", CHUNK_BYTES):
+        for rows, block, offsets in blocks(batches, "text", size):
             names = rows.column("digest").to_pylist()
             whole = memoryview(np.ascontiguousarray(block))
-            for data, parts, shift in chunks(block, offsets, length):
-                text, gram, suffix, first, last = pointed(data, parts, length)
-                begin, end = suffix - widest + shift, suffix + length + shift
+            for text, gram, suffix, first, last in runs(block, offsets, length, size):
+                begin, end = suffix - widest, suffix + length
                 fits = (begin >= offsets[:-1][text]) & (end <= offsets[1:][text])
                 spans = [digest(whole, a, b) if ok else None for a, b, ok in zip(begin.tolist(), end.tolist(), fits.tolist())]
-                at = suffix + shift - offsets[:-1][text]
+                at = suffix - offsets[:-1][text]
                 columns = [pa.array([names[t] for t in text.tolist()], pa.binary()), pa.array(gram), pa.array(at)]
                 columns += [pa.array((suffix - last).astype(np.int32)), pa.array((suffix - first).astype(np.int32)), pa.array(spans, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["digest", "gram", "at", "low", "high", "span"])

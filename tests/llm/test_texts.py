@@ -101,6 +101,27 @@ def test_a_text_longer_than_a_chunk(llm_spark, monkeypatch):
     assert parts == whole and len(whole) == len(array) - 399
 
 
+def test_a_suffix_of_two_chunks_counts_once(llm_spark, monkeypatch):
+    """Nothing is repeated within ``once``, wherever it is cut; in ``twice`` only the copied bytes go."""
+    import random
+
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 1500)
+    pick = random.Random(3)
+    once, twice = ("".join(pick.choice("abcdefgh ") for _ in range(12_000)) for _ in range(2))
+    texts = [once, twice + twice[700:2_200], twice[5_000:5_450], "", None]
+    docs = llm_spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(map(tuple, suffix_dedup.report(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()))
+    assert got == [(at, *left) for at, left in enumerate(brute.without_repeats(texts, 400))] and got[0][2] == 0
+
+
+def test_nothing_goes_at_the_boundaries_of_a_very_long_text(llm_spark):
+    import random
+
+    text = random.Random(5).randbytes(suffix_dedup.CHUNK_BYTES + 4_000).hex()  # no 400 bytes twice, two boundaries
+    row = suffix_dedup.report(llm_spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()[0]
+    assert (row.n_bytes, row.n_removed, row.n_spans) == (len(text), 0, 0)
+
+
 def test_cleaned_documents_keep_their_rows(odd_docs, odd_rows):
     cleaned = suffix_dedup.clean_documents(odd_docs, 100)
     assert cleaned.columns == odd_docs.columns
