@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +45,17 @@ def warc_record(page_id: int | None, url: str | None, html: str | None) -> bytes
 
 
 def warc_files(pages: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """``file, content``: the rows of ``page_id, url, html`` as WARC files of about ``file_bytes``; write it before use."""
+    """``file, content``: the rows of ``page_id, url, html`` as WARC files of about ``file_bytes``, named apart; write it before use."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+        parts, size, number = [], 0, 0
+        partition = TaskContext.get().partitionId()
 
         def closed() -> pa.RecordBatch:
-            # Named by what it holds, so that a task that runs again makes the same file.
+            # Equal files differ in place: the partition and the number in it. The hash tells packs that are put together apart.
             whole = b"".join(parts)
-            return pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(whole).hexdigest()[:16] + ".warc"]), pa.array([whole], pa.binary())], ["file", "content"])
+            name = f"{partition:06d}-{number:06d}-{hashlib.sha256(whole).hexdigest()[:16]}.warc"
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([whole], pa.binary())], ["file", "content"])
 
         for batch in batches:
             for page, url, html in zip(*(batch.column(name).to_pylist() for name in ("page_id", "url", "html"))):
@@ -60,7 +63,7 @@ def warc_files(pages: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
                 size += len(parts[-1])
                 if size >= file_bytes:
                     yield closed()
-                    parts, size = [], 0
+                    parts, size, number = [], 0, number + 1
         if parts:
             yield closed()
 

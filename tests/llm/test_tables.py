@@ -75,6 +75,22 @@ def test_audit_finds_every_damage(llm_spark, tmp_path, monkeypatch):
     assert {"intact", "differs", "missing", "added"} == set(expected.values())
 
 
+def test_equal_files_are_told_apart(llm_spark, tmp_path):
+    """A page table united with itself, and a page that fills several equal files of one partition."""
+    once = pages(llm_spark).coalesce(1)
+    same = llm_spark.createDataFrame([(7, "http://x/", "s" * 900, "f", "a")] * 6, PAGES).coalesce(1)
+    warc_audit.warc_files(once.unionByName(once).unionByName(same), 1000).write.parquet(str(tmp_path / "one"))
+    replica = llm_spark.read.parquet(str(tmp_path / "one"))
+    names = [row.file for row in replica.select("file").collect()]
+    assert len(set(names)) == len(names)
+    warc_audit.with_damage(replica, 7).write.parquet(str(tmp_path / "two"))
+    rows = warc_audit.audit(replica, llm_spark.read.parquet(str(tmp_path / "two"))).collect()
+    assert len(rows) == 2 * 45 + 6
+    hit = Counter(row.record_id for row in rows if row.status != "intact")
+    assert hit == {"<urn:page:7>": 2 + 6} | {f"<urn:page:{k}>": 2 for k in (0, 14, 21, 28, 35)}
+    assert {row.status for row in rows} == {"intact", "differs"}
+
+
 def test_garbage_is_one_record():
     record = warc_audit.warc_record(1, "u", "h")
     assert [(at, size) for at, size, _ in warc_audit.parse(memoryview(b"junk\r\n\r\n" + record))] == [(0, 8), (8, len(record))]
