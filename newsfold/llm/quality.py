@@ -1,9 +1,11 @@
 """Quality rules whose limits come from the corpus: mergeable quantile sketches for each language and source.
 
-Each measure of a document is held against a fence around the quartiles of its own (language, source): beyond the
-quartile by ``WIDTH`` times the quartile range, and by the measure's tolerance at least, so that a group whose
-documents are all alike doesn't reject every small deviation. Groups with fewer than ``LEAST_ROWS`` documents use the
-merged sketch of their language, and languages that small the merged sketch of all documents.
+Each measure of a document is held against a fence around the quartiles of its own (language, source): ``WIDTH`` times
+the quartile range beyond the quartile, and a tolerance for the grain of a ratio of small counts. Junk in up to a
+quarter of a group doesn't move its quartiles. Shares that are zero in most documents, and that the base rules bound,
+have their fence at the ``TAIL`` quantile at least. Quantiles of a group of n documents count by n / (n + ``PRIOR_ROWS``), and
+those of its language, which are blended alike with those of all documents, for the rest; so limits move smoothly as
+a group grows.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from newsfold.llm.scratch import Scratch
 WINDOW_WORDS = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
-WIDTH = 8.0
-LEAST_ROWS = 200
+WIDTH = 3.0
+TAIL = 0.95
+#: A group's quantiles weigh as much as its language's at so many documents.
+PRIOR_ROWS = 20
 #: Fences of at most so many groups (about 100 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_GROUPS = 50_000
 
@@ -36,7 +40,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
 
 @dataclass(frozen=True)
 class Measure:
-    """A ratio of two counts; ``low`` and ``high`` say which sides have a fence, ``tolerance`` how far it is at least."""
+    """A ratio of two counts; ``low`` and ``high`` say which sides have a fence, ``tolerance`` is added to its distance."""
 
     name: str
     above: str
@@ -44,16 +48,17 @@ class Measure:
     low: bool
     high: bool
     tolerance: float
+    tail: bool = False
 
     def column(self) -> Column:
         return F.col(self.above) / F.greatest(F.col(self.below), F.lit(1))
 
 
 MEASURES = [
-    Measure("word_length", "word_chars", "n_words", True, True, 2.5),
-    Measure("symbol_rate", "n_symbols", "n_words", False, True, 0.2),
-    Measure("dup_line_share", "n_dup_lines", "n_lines", False, True, 0.4),
-    Measure("repeat_share", "n_repeat_words", "n_words", False, True, 0.2),
+    Measure("word_length", "word_chars", "n_words", True, True, 0.25),
+    Measure("symbol_rate", "n_symbols", "n_words", False, True, 0.02),
+    Measure("dup_line_share", "n_dup_lines", "n_lines", False, True, 0.05, tail=True),
+    Measure("repeat_share", "n_repeat_words", "n_words", False, True, 0.02, tail=True),
 ]
 
 
@@ -121,6 +126,15 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | repeated
 
 
+def _blended(name: str, rank: float) -> Column:
+    """A quantile of all documents, of the language and of the group, each taking its share from the one before."""
+    out = None
+    for prefix in ("a_", "l_", "g_"):
+        own, n = F.kll_sketch_get_quantile_double(F.col(prefix + name), F.lit(rank)), F.col(prefix + "n")
+        out = own if out is None else (n * own + PRIOR_ROWS * out) / (n + PRIOR_ROWS)
+    return out
+
+
 def fences(counted: DataFrame) -> DataFrame:
     """``lang, source`` and, for each measure, ``<name>_low`` and ``<name>_high`` (null: no limit).
 
@@ -142,12 +156,11 @@ def fences(counted: DataFrame) -> DataFrame:
 
     out = [F.col("lang"), F.col("source")]
     for measure in MEASURES:
-        sketch = F.when(F.col("g_n") >= LEAST_ROWS, F.col("g_" + measure.name))
-        sketch = F.coalesce(sketch.when(F.col("l_n") >= LEAST_ROWS, F.col("l_" + measure.name)), F.col("a_" + measure.name))
-        low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(rank)) for rank in (0.25, 0.75))
-        reach = F.greatest(WIDTH * (high - low), F.lit(measure.tolerance))
+        low, high = (_blended(measure.name, rank) for rank in (0.25, 0.75))
+        reach = WIDTH * (high - low) + measure.tolerance
+        most = F.greatest(high + reach, _blended(measure.name, TAIL) + measure.tolerance) if measure.tail else high + reach
         out.append((low - reach if measure.low else F.lit(None).cast("double")).alias(measure.name + "_low"))
-        out.append((high + reach if measure.high else F.lit(None).cast("double")).alias(measure.name + "_high"))
+        out.append((most if measure.high else F.lit(None).cast("double")).alias(measure.name + "_high"))
     return rows.select(*out)
 
 

@@ -26,6 +26,29 @@ def test_fences_follow_the_group(llm_spark):
     assert kept == {row[0] for row in rows} - {5000}
 
 
+def fence_rows(spark, groups):
+    """The fences of groups of ``source: [(word_chars, n_symbols, n_dup_lines, n_repeat_words)]`` of 100 words and lines each."""
+    rows = [("en", source, 100, chars, symbols, 100, dups, repeats) for source, docs in groups.items() for chars, symbols, dups, repeats in docs]
+    schema = "lang string, source string, n_words bigint, word_chars bigint, n_symbols bigint, n_lines bigint, n_dup_lines bigint, n_repeat_words bigint"
+    return {row.source: row for row in quality.fences(spark.createDataFrame(rows, schema)).collect()}
+
+
+def test_every_measure_s_fence_follows_the_spread(llm_spark):
+    calm = [(500 + k % 5, k % 2, k % 2, k % 2) for k in range(120)]
+    wild = [(400 + 4 * (k % 50), k % 15, k % 20, k % 7) for k in range(120)]
+    found = fence_rows(llm_spark, {"calm": calm, "wild": wild})
+    for name in ("word_length_high", "symbol_rate_high", "dup_line_share_high", "repeat_share_high"):
+        assert found["calm"][name] < found["wild"][name]
+    assert found["calm"].word_length_low > found["wild"].word_length_low
+    assert found["calm"].repeat_share_high < 0.2 and found["calm"].dup_line_share_high < 0.33 and found["calm"].symbol_rate_high < 0.2
+
+
+def test_fences_move_smoothly_as_a_group_grows(llm_spark):
+    other = [(500, k % 30, 0, 0) for k in range(600)]
+    at = [fence_rows(llm_spark, {"other": other, "own": [(500, 0, 0, 0)] * n})["own"].symbol_rate_high for n in (1, 50, 199, 200, 500)]
+    assert at == sorted(at, reverse=True) and at[0] > at[1] > at[2] and at[2] - at[3] < 0.01
+
+
 def test_quality_filter_keeps_rows_whole(odd_docs):
     kept = quality.filter_documents(odd_docs)
     assert kept.columns == odd_docs.columns
