@@ -165,6 +165,23 @@ def test_changed_words_in_notices(llm_spark):
     assert [r.license for r in sorted(row)] == ["MIT", None] and 0.8 <= row[0].dice < 1
 
 
+@pytest.mark.parametrize("around", ["{}", "This project, by Jane Doe, is {} and more words of other things follow it", "one two three " * 50 + "{} " + "four five " * 70])
+def test_notices_beside_other_words(around):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.LEAST)
+    for name, texts in license_scan.TEMPLATES.items():
+        for text in texts:
+            if text.startswith("Redistribution") and len(text) < 200:
+                continue  # the opening of both BSD licences
+            assert min((-dice, found) for dice, found in scanner.notices(around.format(text)))[1] == name, text
+
+
+def test_short_notices_in_a_line():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.LEAST)
+    for text in ("This project is released under the MIT License.", "Copyright 2024 Jane Doe. Released under the MIT License."):
+        assert scanner.notices(text) == [(1.0, "MIT")]
+    assert scanner.notices("nothing of the kind is written here, under the bridge") == []
+
+
 def test_empty_tables(no_docs):
     assert quality.assess(no_docs).count() == 0 and quality.filter_documents(no_docs).count() == 0
     assert prob_minhash.classes(no_docs).count() == 0 and prob_minhash.keep_one_each(no_docs).count() == 0
