@@ -10,8 +10,8 @@ bucket by the bytes it stands for:
 - **Refinement.** A suffix stands for a range of window offsets. Its bucket is refined by the bytes that all these
   windows share (``core``) and by those they cover together (``span``). If the span is repeated, all its bytes go. If
   the core is unique, no window of the range is repeated. Otherwise the range is split in four and each part is refined
-  by its longer cores, and so on with the parts that stay open, down to single windows. A split refines by later
-  offsets of the members of a bucket only, never by pairs of them.
+  by its longer cores, and so on with the parts that stay open, down to single windows. A split reads the
+  members of a bucket only, never pairs of them; it hashes their bytes again and uses no bucket of a later offset.
 
 Texts are grouped by digest first; of equal texts with ``LENGTH`` bytes every byte goes, and one of them stands for
 them all in the buckets.
