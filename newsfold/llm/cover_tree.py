@@ -1,7 +1,8 @@
 """Exact top-k inner products by a dual-tree search over a cover tree.
 
-The upper levels of the tree are fitted on a bounded sample: each node's children are chosen so that they cover its
-sample within half its radius. All vectors are then sent down the tree to the nearest child; covering radii are the
+The upper levels of the tree are fitted on a bounded sample: each node's children are far points of its
+sample, until they cover it within half its radius or are ``FANOUT``, and no more than ``LEAVES`` leaves are made; so the
+cover property isn't kept and the tree is one of k-centre partitions. All vectors are then sent down the tree to the nearest child; covering radii are the
 true ones over all vectors below a node, so the bounds hold for every row and only their tightness rests on the sample.
 Queries are indexed in the same tree.
 
