@@ -72,4 +72,62 @@ SELECT page_id, host, path, rule,
 FROM ruled LEFT JOIN scores USING (address), cut
 """
 
-SQL = {"op4_cover_tree_search": TOP_PRODUCTS, "op7_url_filter": URL_VERDICTS}
+
+
+def rounds(count: int = 3, dimension: int = 64) -> str:
+    """``c<n>``: centroids after n rounds; ``a<n>``: every vector with its nearest centroid of round n."""
+    steps = []
+    for n in range(count + 1):
+        steps.append(f"""a{n} AS (
+            SELECT r, min(vec_id) AS vec_id, min(v) AS v, CAST(min(struct_pack(d := d, c := c)).d AS BIGINT) AS distance, min(struct_pack(d := d, c := c)).c AS cluster
+            FROM (SELECT r, vec_id, v, c, list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM kept, c{n})
+            GROUP BY r)""")
+        if n < count:
+            steps.append(f"""s{n} AS (
+                SELECT cluster, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS k FROM a{n}, range(1, {dimension + 1}) AS t(i) GROUP BY cluster, i)""")
+            steps.append(f"""c{n + 1} AS (
+                SELECT c, coalesce(list((s - ((s % k) + k) % k) // k ORDER BY i) FILTER (s IS NOT NULL), any_value(w)) AS w
+                FROM c{n} LEFT JOIN s{n} ON cluster = c GROUP BY c)""")
+    return ", ".join(steps)
+
+
+CLUSTERS = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS INTEGER) AS c, v AS w FROM kept
+    QUALIFY c < 16),
+{rounds()}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c = cluster
+"""
+
+
+def draw(n: int) -> str:
+    return f"CAST('0x' || substr(sha256('1:' || doc_id), {8 * n - 7}, 8) AS BIGINT)"
+
+
+FILL_MIDDLE = f"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, {draw(1)} AS h1, {draw(2)} AS h2, {draw(3)} AS h3, {draw(4)} AS h4
+    FROM documents),
+cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+           CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn),
+parts AS (SELECT *, substring(t, 1, low) AS p, substring(t, low + 1, high - low) AS m, substring(t, high + 1, n - high) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars, CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+SQL = {
+    "op4_cover_tree_search": TOP_PRODUCTS,
+    "op7_url_filter": URL_VERDICTS,
+    "op12_simplex_clusters": CLUSTERS,
+    "op13_fill_middle": FILL_MIDDLE,
+}

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from newsfold.llm import (
     cover_tree,
+    fill_middle,
     id_store,
     license_scan,
     oracle,
     packing,
     prob_minhash,
     quality,
+    simplex_clusters,
     suffix_dedup,
+    toxicity,
     trie_bpe,
     url_filter,
     warc_audit,
@@ -81,6 +84,18 @@ def op10_id_store(spark: SparkSession, folder: str) -> DataFrame:
     return id_store.read_documents(id_store.with_occurrence(docs.select("doc_id"), "doc_id"), store)
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op12_simplex_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return simplex_clusters.clusters(_table(spark, folder, "embeddings")).drop("compared")
+
+
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.transform_documents(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -92,6 +107,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_id_store": op10_id_store,
+    "op11_toxicity": op11_toxicity,
+    "op12_simplex_clusters": op12_simplex_clusters,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 ORACLE_SQL = oracle.SQL

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -104,3 +106,50 @@ def best_licence(text, templates, least):
         count += bool(matches)
         found = min([*matches, *([found] if found else [])], default=None)
     return (found[1], -found[0], count) if found else (None, None, 0)
+
+
+def fill_middle(doc, text):
+    text = text or ""
+    n, digest = len(text), hashlib.sha256(f"1:{'' if doc is None else doc}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[at : at + 8], 16) for at in (0, 8, 16, 24))
+
+    def sha(value):
+        return hashlib.sha256(value.encode()).hexdigest()
+
+    if not text or re.search("<[PSM]>", text) or h3 % 100 >= 90:
+        return doc, n, "plain", None, None, sha(text), sha(text)
+    low, high = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = text[:low], text[low:high], text[high:]
+    spm = h4 % 100 < 20
+    output = f"<S>{suffix}<P>{prefix}<M>{middle}" if spm else f"<P>{prefix}<S>{suffix}<M>{middle}"
+    return doc, n, "spm" if spm else "psm", low, high - low, sha(output), sha(text)
+
+
+def clusters(rows, count=16, rounds=3):
+    """``(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256)`` of each row."""
+    vectors = [(doc, [math.floor(64 * x) for x in vector]) for doc, vector in rows]
+    order = sorted(vectors, key=lambda row: (row[0] is None, hashlib.sha256(f"1:{row[0]}".encode()).hexdigest(), row[1]))
+    centroids = [vector for _, vector in order[:count]]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(vector, centroid)), at) for at, centroid in enumerate(centroids)) for _, vector in vectors]
+
+    for _ in range(rounds):
+        groups = defaultdict(list)
+        for (_, vector), (_, at) in zip(vectors, assign()):
+            groups[at].append(vector)
+        centroids = [[sum(column) // len(groups[at]) for column in zip(*groups[at])] if at in groups else own for at, own in enumerate(centroids)]
+    last = assign()
+    inertia = Counter()
+    for distance, at in last:
+        inertia[at] += distance
+    names = [hashlib.sha256(",".join(map(str, centroid)).encode()).hexdigest() for centroid in centroids]
+    return [(doc, at, distance, inertia[at], sum(inertia.values()), names[at]) for (doc, _), (distance, at) in zip(vectors, last)]
+
+
+def held_out(doc):
+    return zlib.crc32(str(doc).encode()) % 4 == 2
+
+
+def normal_text(text):
+    return b" " + b"".join(word + b" " for word in re.findall(rb"[a-z0-9\x80-\xff]+", text.lower().encode()))
