@@ -220,7 +220,8 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> DataF
     calibrates = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) == 0
     chosen = known.withColumns({"share": share, "calibrates": calibrates}).where(place < F.col("share"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return texts.join(chosen, "doc_id").select("toxic", "share", "calibrates", F.coalesce("text", F.lit("")).alias("text"))
+    # At most some 2 * ``most`` narrow rows, so no text is shuffled.
+    return texts.join(F.broadcast(chosen), "doc_id").select("toxic", "share", "calibrates", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _starts(word: Column) -> Column:
