@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from newsfold.functions import dates
 from newsfold.functions.outlets import with_outlet
 from newsfold.operators.keywords import keyword_filter
 
+if TYPE_CHECKING:
+    from newsfold.operators.keyword_index import KeywordIndex
+
 UNDATED_NOTE = "Undated mentions match no date range; the result leaves them out."
 
 
@@ -55,6 +59,10 @@ class Filters:
     def apply(self, mentions: DataFrame) -> DataFrame:
         return mentions.where(self.predicate())
 
+    def matched(self, mentions: DataFrame, index: KeywordIndex | None = None) -> DataFrame:
+        """Mentions that fit; keywords are looked up in ``index`` where there is one, for columns that it carries."""
+        return self.apply(mentions) if index is None or self.q is None else index.matches(self)
+
     def described(self) -> list[Column]:
         """The filters as applied, as columns of a metadata row."""
         return [

@@ -100,11 +100,19 @@ def overlay(state: DataFrame, newer: DataFrame) -> DataFrame:
     filters and column pruning still reaching their scan. Both joins carry keys only on the right,
     and Spark broadcasts that side when its size is under the broadcast threshold.
     """
-    keys = newer.select("dedupe_key").distinct()
-    untouched = state.join(keys, "dedupe_key", "left_anti").select(*STORED_MENTIONS.names)
-    touched = state.join(keys, "dedupe_key", "left_semi").select(*MENTIONS.names)
-    folded = fold_rows(touched.unionByName(newer.select(*MENTIONS.names)))
-    return untouched.unionByName(with_search_text(folded))
+    untouched = state.join(newer.select("dedupe_key").distinct(), "dedupe_key", "left_anti")
+    return untouched.select(*STORED_MENTIONS.names).unionByName(overlaid(state, newer))
+
+
+def touched_rows(state: DataFrame, newer: DataFrame) -> DataFrame:
+    """The rows of ``state`` whose key occurs in ``newer``."""
+    return state.join(newer.select("dedupe_key").distinct(), "dedupe_key", "left_semi")
+
+
+def overlaid(state: DataFrame, newer: DataFrame) -> DataFrame:
+    """The rows that ``newer`` adds to ``state`` or changes in it, folded."""
+    touched = touched_rows(state, newer).select(*MENTIONS.names)
+    return with_search_text(fold_rows(touched.unionByName(newer.select(*MENTIONS.names))))
 
 
 def with_search_text(mentions: DataFrame, *more: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsfold.functions import dates
 from newsfold.operators.filters import ArgumentProblems, Filters, read_filters, whole_number
+from newsfold.operators.keyword_index import KeywordIndex
 
 SORT_ORDER = "published_at DESC NULLS LAST, id DESC"
 LIMIT_DEFAULT = 20
@@ -112,9 +113,9 @@ def _group_at(rows: DataFrame, key: Column, skip: int) -> tuple[int | None, int]
     return None, 0
 
 
-def page_keys(mentions: DataFrame, request: SearchRequest) -> DataFrame:
-    """``id, micros`` of the rows of one page, in order, from the filter and sort columns alone."""
-    matched = request.filters.apply(mentions)
+def page_keys(mentions: DataFrame, request: SearchRequest, index: KeywordIndex | None = None) -> DataFrame:
+    """``id, micros`` of the rows of one page, in order, from the filter and sort columns or the index alone."""
+    matched = request.filters.matched(mentions, index)
     offset = request.offset
     if offset > SKIP_ROWS:
         matched, offset = _seek(matched, offset)
@@ -123,13 +124,13 @@ def page_keys(mentions: DataFrame, request: SearchRequest) -> DataFrame:
     return page.select("id", F.unix_micros("published_at").alias("micros"))
 
 
-def page_of(mentions: DataFrame, request: SearchRequest) -> DataFrame:
+def page_of(mentions: DataFrame, request: SearchRequest, index: KeywordIndex | None = None) -> DataFrame:
     """The rows of one page, in order, as stored columns.
 
     First the keys of the page, at most a hundred, then their rows by literal bounds on id and date.
     The scan for the texts can so skip every file and row group outside the page.
     """
-    keys = page_keys(mentions, request).collect()
+    keys = page_keys(mentions, request, index).collect()
     if not keys:
         return mentions.select(*PAGE_COLUMNS).where(F.lit(False))
     dated = [micros for _, micros in keys if micros is not None]
@@ -167,14 +168,14 @@ def shaped(page: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
-def search(mentions: DataFrame, sources: DataFrame, request: SearchRequest) -> DataFrame:
-    return shaped(page_of(mentions, request), sources)
+def search(mentions: DataFrame, sources: DataFrame, request: SearchRequest, index: KeywordIndex | None = None) -> DataFrame:
+    return shaped(page_of(mentions, request, index), sources)
 
 
-def search_metadata(mentions: DataFrame, request: SearchRequest) -> DataFrame:
+def search_metadata(mentions: DataFrame, request: SearchRequest, index: KeywordIndex | None = None) -> DataFrame:
     """One row: limits, exact total (also past the last page), and the filters as applied."""
     offset, limit = F.lit(request.offset).cast("bigint"), F.lit(request.limit).cast("bigint")
-    total = request.filters.apply(mentions).agg(F.count(F.lit(1)).alias("total"))
+    total = request.filters.matched(mentions, index).agg(F.count(F.lit(1)).alias("total"))
     returned = F.greatest(F.lit(0), F.least(limit, F.col("total") - offset))
     return total.select(
         limit.alias("limit"),

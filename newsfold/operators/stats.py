@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsfold.functions import dates
 from newsfold.operators.filters import ArgumentProblems, Filters, given, read_filters
+from newsfold.operators.keyword_index import KeywordIndex
 from newsfold.operators.search import SearchRequest, page_of
 
 # Fixed value: the label of the last bucket.
@@ -28,13 +29,15 @@ def read_stats_request(spark: SparkSession, group_by: str | None = None, **filte
     return checked, grouping
 
 
-def count_by_source(mentions: DataFrame, sources: DataFrame, filters: Filters = Filters()) -> DataFrame:
+def count_by_source(
+    mentions: DataFrame, sources: DataFrame, filters: Filters = Filters(), index: KeywordIndex | None = None
+) -> DataFrame:
     """``source, name, platform, total``, largest first.
 
     Mentions are counted by slug before the join, so the join sees one row per outlet and a dominant
     outlet is already one partial count per task.
     """
-    counted = filters.apply(mentions).groupBy(F.col("source_slug").alias("slug")).agg(
+    counted = filters.matched(mentions, index).groupBy(F.col("source_slug").alias("slug")).agg(
         F.count(F.lit(1)).alias("total")
     )
     return (
@@ -44,10 +47,10 @@ def count_by_source(mentions: DataFrame, sources: DataFrame, filters: Filters =
     )
 
 
-def count_by_day(mentions: DataFrame, filters: Filters = Filters()) -> DataFrame:
+def count_by_day(mentions: DataFrame, filters: Filters = Filters(), index: KeywordIndex | None = None) -> DataFrame:
     """``day, label, total``, newest first; undated mentions are a group of their own at the end."""
     return (
-        filters.apply(mentions)
+        filters.matched(mentions, index)
         .groupBy(dates.local_day(F.col("published_at")).alias("day"))
         .agg(F.count(F.lit(1)).alias("total"))
         .select("day", F.coalesce("day", F.lit(NO_DAY_LABEL)).alias("label"), "total")
@@ -55,8 +58,11 @@ def count_by_day(mentions: DataFrame, filters: Filters = Filters()) -> DataFrame
     )
 
 
-def stats(mentions: DataFrame, sources: DataFrame, filters: Filters, grouping: str) -> DataFrame:
-    return count_by_source(mentions, sources, filters) if grouping == "source" else count_by_day(mentions, filters)
+def stats(
+    mentions: DataFrame, sources: DataFrame, filters: Filters, grouping: str, index: KeywordIndex | None = None
+) -> DataFrame:
+    by_source = grouping == "source"
+    return count_by_source(mentions, sources, filters, index) if by_source else count_by_day(mentions, filters, index)
 
 
 def stats_metadata(groups: DataFrame, filters: Filters, grouping: str) -> DataFrame:
@@ -74,20 +80,20 @@ def source_choices(mentions: DataFrame, sources: DataFrame) -> DataFrame:
     return count_by_source(mentions, sources)
 
 
-def summary_tiles(mentions: DataFrame, request: SearchRequest) -> DataFrame:
+def summary_tiles(mentions: DataFrame, request: SearchRequest, index: KeywordIndex | None = None) -> DataFrame:
     """``tile, value``: total, outlets and dated local days under the filters, engagement of the page.
 
     The first three come from one scan, grouped by outlet and day; undated mentions count in the
     total and in their outlet but are no day.
     """
     day = dates.local_day(F.col("published_at")).alias("day")
-    groups = request.filters.apply(mentions).groupBy("source_slug", day).agg(F.count(F.lit(1)).alias("total"))
+    groups = request.filters.matched(mentions, index).groupBy("source_slug", day).agg(F.count(F.lit(1)).alias("total"))
     tiles = groups.agg(
         F.sum("total").alias("total"),
         F.count_distinct("source_slug").alias("sources"),
         F.count_distinct("day").alias("days"),
     ).unpivot([], ["total", "sources", "days"], "tile", "value")
-    page = page_of(mentions, request).agg(F.sum("engagement").alias("value"))
+    page = page_of(mentions, request, index).agg(F.sum("engagement").alias("value"))
     return tiles.unionByName(page.select(F.lit("page_engagement").alias("tile"), "value")).select(
         "tile", F.coalesce("value", F.lit(0)).cast("bigint").alias("value")
     )

@@ -16,10 +16,11 @@ from newsfold.functions.numbers import engagement_count
 from newsfold.functions.outlets import with_outlet
 from newsfold.functions.text import plain_text
 from newsfold.functions.urls import canonical_url, url_host
-from newsfold.operators import keywords, merge, normalize, search, stats
-from newsfold.operators.filters import Filters
+from newsfold.operators import keyword_index, keywords, merge, normalize, search, stats
+from newsfold.operators.filters import ArgumentProblems, Filters
 from newsfold.plans import feeds
 from newsfold.session import checkpoint_dir, configured
+from newsfold.sources import folders
 from newsfold.sources.feed import Feed, array_documents
 from newsfold.sources.scan import spread
 from newsfold.sources.store import CommitRefused, MentionStore
@@ -259,8 +260,23 @@ def document_sources(spark, folder):
     )
 
 
+#: Keyword indexes written in this application, by the folder of the tables they are of.
+_INDEXES: dict[tuple[str, str], tuple[str, keyword_index.Layout]] = {}
+
+
+def document_index(spark, folder) -> keyword_index.KeywordIndex:
+    """The stored keyword index of the documents, written once per application and folder of tables."""
+    mentions = document_mentions(spark, folder)
+    key = spark.sparkContext.applicationId, folder
+    if key not in _INDEXES or not folders.children(spark, _INDEXES[key][0]):
+        path = run_folder(spark, "index")
+        _INDEXES[key] = path, keyword_index.write_postings(mentions, path)
+    path, layout = _INDEXES[key]
+    return keyword_index.KeywordIndex([keyword_index.Segment(keyword_index.read_postings(spark, path), layout)], mentions)
+
+
 def found_ids(spark, folder, words):
-    return Filters(q=words).apply(document_mentions(spark, folder)).select(F.col("id").alias("doc_id"))
+    return document_index(spark, folder).matches(Filters(q=words)).select(F.col("id").alias("doc_id"))
 
 
 @query
@@ -295,35 +311,41 @@ def doc_search_compound(spark, folder):
 
 @query
 def doc_search_punctuation(spark, folder):
-    """Nothing but punctuation matches nothing."""
-    return found_ids(spark, folder, "?! &&& ...")
+    """Nothing but punctuation matches nothing, in no outlet; a word next to it counts as if it were alone."""
+    index = document_index(spark, folder)
+    per_outlet = index.mentions.groupBy("source_slug").agg(F.count(F.lit(1)).alias("documents"))
+    for name, words in (("none", "?! &&& ..."), ("some", "the ?! ...")):
+        found = index.matches(Filters(q=words)).groupBy("source_slug").agg(F.count(F.lit(1)).alias(name))
+        per_outlet = per_outlet.join(found, "source_slug", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return per_outlet
 
 
 @query
 def doc_search_all_filters(spark, folder):
     filters = Filters(q="the", source="src7", **FIRST_DAY)
-    return filters.apply(document_mentions(spark, folder)).select(F.col("id").alias("doc_id"))
+    return document_index(spark, folder).matches(filters).select(F.col("id").alias("doc_id"))
 
 
 @query
 def doc_index(spark, folder):
-    """Documents per word of the inverted index."""
-    index = keywords.postings(document_mentions(spark, folder))
-    return index.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
+    """Documents and places per word of the stored index."""
+    (segment,) = document_index(spark, folder).segments
+    return segment.rows.groupBy("token").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("positions")).alias("places"))
 
 
 @query
 def doc_index_search(spark, folder):
-    path = run_folder(spark, "index")
-    keywords.write_index(document_mentions(spark, folder), path)
-    index = spark.read.parquet(path)
-    return keywords.ids_of_words(index, ["the", "with", "from"]).select(F.col("id").alias("doc_id"))
+    """Phrases, exclusions and alternatives in one request, and a request of exclusions alone."""
+    index = document_index(spark, folder)
+    asked = ['"of the" -with or "la de" or und from', '-the -la -"der die"']
+    found = [index.matches(Filters(q=words)).select(F.lit(at).alias("request"), F.col("id").alias("doc_id")) for at, words in enumerate(asked)]
+    return found[0].unionByName(found[1])
 
 
 def search_page(spark, folder, limit, offset, **filters):
     request = search.SearchRequest(Filters(**filters), limit, offset)
-    mentions = document_mentions(spark, folder)
-    page = ranked(search.page_of(mentions, request))
+    index = document_index(spark, folder) if request.filters.q else None
+    page = ranked(search.page_of(document_mentions(spark, folder), request, index))
     outlet = document_sources(spark, folder)
     return page.join(outlet, F.col("source_slug") == F.col("slug")).select(
         "rank",
@@ -347,7 +369,26 @@ def doc_search_third_page(spark, folder):
 
 @query
 def doc_search_past_end(spark, folder):
-    return search_page(spark, folder, 20, 10**8)
+    """The last page, which is shorter than its limit, and nothing after it."""
+    total = feeds.table(spark, folder, "documents").count()
+    return search_page(spark, folder, 20, max(0, total - 7)).unionByName(search_page(spark, folder, 20, total))
+
+
+@query
+def doc_search_problems(spark, folder):
+    """Wrong requests, a listing and a count per outlet, with all their problems at once; those of the first outlet have wrong dates, too."""
+    outlets = sorted(row.slug for row in document_sources(spark, folder).select("slug").collect())
+    found = []
+    for outlet in outlets:
+        dated = outlet == outlets[0]
+        listing = {"limit": outlet, "offset": "-1", "q": "the"} | ({"since": outlet} if dated else {})
+        counts = {"group_by": outlet} | ({"since": "2024-02-01", "until": "2024-01-30"} if dated else {})
+        for name, read, request in (("list", search.read_search_request, listing), ("counts", stats.read_stats_request, counts)):
+            try:
+                read(spark, **request)
+            except ArgumentProblems as problems:
+                found += [(outlet, name, problem) for problem in problems.problems]
+    return spark.createDataFrame(found, "outlet string, request string, problem string")
 
 
 @query
@@ -371,7 +412,8 @@ def event_deep_page(spark, folder):
 
 def metadata(spark, folder, limit, offset, **filters):
     request = search.SearchRequest(Filters(**filters), limit, offset)
-    return search.search_metadata(document_mentions(spark, folder), request).drop("note", "sort")
+    index = document_index(spark, folder) if request.filters.q else None
+    return search.search_metadata(document_mentions(spark, folder), request, index).drop("note", "sort")
 
 
 @query
@@ -386,13 +428,15 @@ def doc_search_past_end_metadata(spark, folder):
 
 @query
 def doc_count_by_source(spark, folder):
-    return stats.count_by_source(document_mentions(spark, folder), document_sources(spark, folder), Filters(q="the"))
+    index = document_index(spark, folder)
+    return stats.count_by_source(index.mentions, document_sources(spark, folder), Filters(q="the"), index)
 
 
 @query
 def doc_summary_tiles(spark, folder):
     request = search.SearchRequest(Filters(q="the"), 20, 0)
-    return stats.summary_tiles(document_mentions(spark, folder), request)
+    index = document_index(spark, folder)
+    return stats.summary_tiles(index.mentions, request, index)
 
 
 @query
@@ -589,7 +633,7 @@ def numbered_feed(records: DataFrame, file: str, line: Column) -> Feed:
 
 
 def stored_in_two_batches(spark, folder, compacted: bool = False) -> MentionStore:
-    store = MentionStore(spark, run_folder(spark, "tables"))
+    store = MentionStore(spark, run_folder(spark, "tables"), indexed=False)
     for late in (False, True):
         store.ingest(delivered(spark, folder, late), LATE_TIME if late else BATCH_TIME)
         if compacted:
@@ -597,6 +641,26 @@ def stored_in_two_batches(spark, folder, compacted: bool = False) -> MentionStor
     return store
 
 
+@query
+def store_search(spark, folder):
+    """A search over stored tables and their index, while the second batch is still a delta."""
+    store = MentionStore(spark, run_folder(spark, "tables"))
+    store.ingest(delivered(spark, folder, False), BATCH_TIME)
+    store.compact()
+    snapshot = store.ingest(delivered(spark, folder, True), LATE_TIME)
+    found = snapshot.index().matches(Filters(q='the -with or "de la" or -und -of -la'))
+    return found.select("id", "source_slug", dates.iso_utc(F.col("published_at")).alias("published_at"))
+
+
+@query
+def stream_replay(spark, folder):
+    """A micro-batch that a stream sends again counts once, another one with the same records counts."""
+    store = MentionStore(spark, run_folder(spark, "replayed"), indexed=False)
+    for batch_id in (0, 0, 1, 1, 0):
+        snapshot = store.ingest(delivered(spark, folder, True), BATCH_TIME, stream="feed", batch_id=batch_id)
+    return snapshot.mentions().select("dedupe_key", "times_seen", F.lit(snapshot.manifest.batch_no).cast("bigint").alias("batches"))
+
+
 @query
 def store_merge_on_read(spark, folder):
     """Two batches in stored tables, the second still a delta when read."""
@@ -687,7 +751,8 @@ def store_lost_race(spark, folder):
 def doc_search_request(spark, folder):
     """A request as it comes: an outlet in other letters, a bare last day, the note and the order kept."""
     request = search.read_search_request(spark, q=" the ", source=" SRC7 ", since="2024-01-02", until="2024-01-02", limit="5")
-    about = search.search_metadata(document_mentions(spark, folder), request)
+    index = document_index(spark, folder)
+    about = search.search_metadata(index.mentions, request, index)
     return about.select("total", "returned", "q", "source", "from", "to", "sort", "note")
 
 

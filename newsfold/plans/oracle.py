@@ -138,7 +138,7 @@ def found(condition: str) -> str:
     return f"WITH {DOC_MENTIONS} SELECT doc_id FROM doc_mentions WHERE {condition}"
 
 
-def doc_page(condition: str, limit: int, offset: int) -> str:
+def doc_page(condition: str, limit: int, offset: int | str) -> str:
     return f"""
     WITH {DOC_MENTIONS},
     page AS (SELECT * FROM doc_mentions WHERE {condition} {DISPLAY} LIMIT {limit} OFFSET {offset})
@@ -345,15 +345,27 @@ def sql() -> dict[str, str]:
         "doc_search_not": found(f"{has('the')} AND NOT {has('with')} AND NOT {has('of the')}"),
         "doc_search_or": found(f"({has('und')} AND {has('from')}) OR ({has('la')} AND {has('des')})"),
         "doc_search_compound": found(has("of the")),
-        "doc_search_punctuation": found("FALSE"),
+        "doc_search_punctuation": f"""WITH {DOC_MENTIONS}
+            SELECT source AS source_slug, count(*) AS documents, CAST(0 AS BIGINT) AS none, count(*) FILTER ({has("the")}) AS some
+            FROM doc_mentions GROUP BY source""",
         "doc_search_all_filters": found(f"{has('the')} AND source = 'src7' AND {IN_FIRST_DAY}"),
         "doc_index": f"""WITH {DOC_MENTIONS},
-            tokens AS (SELECT unnest(list_distinct(string_split(trim(words, ' '), ' '))) AS token FROM doc_mentions)
-            SELECT token, count(*) AS documents FROM tokens WHERE token <> '' GROUP BY token""",
-        "doc_index_search": found(f"{has('the')} AND {has('with')} AND {has('from')}"),
+            tokens AS (SELECT doc_id, unnest(string_split(trim(words, ' '), ' ')) AS token FROM doc_mentions)
+            SELECT token, count(DISTINCT doc_id) AS documents, count(*) AS places FROM tokens WHERE token <> '' GROUP BY token""",
+        "doc_index_search": f"""WITH {DOC_MENTIONS}
+            SELECT 0 AS request, doc_id FROM doc_mentions
+            WHERE ({has("of the")} AND NOT {has("with")}) OR {has("la de")} OR ({has("und")} AND {has("from")})
+            UNION ALL SELECT 1, doc_id FROM doc_mentions WHERE NOT {has("the")} AND NOT {has("la")} AND NOT {has("der die")}""",
         "doc_search_page": doc_page(has("the"), 20, 0),
         "doc_search_third_page": doc_page("TRUE", 25, 50),
-        "doc_search_past_end": doc_page("TRUE", 20, 10**8),
+        "doc_search_past_end": doc_page("TRUE", 20, "greatest(0, (SELECT count(*) FROM documents) - 7)"),
+        "doc_search_problems": """
+            SELECT source AS outlet, request, replace(problem, '%', source) AS problem
+            FROM (SELECT source, row_number() OVER (ORDER BY source) = 1 AS first FROM (SELECT DISTINCT source FROM documents)), (VALUES
+                ('list', 'limit="%" must be a whole number', FALSE), ('list', 'offset="-1" must be a whole number', FALSE),
+                ('list', 'from="%" is no date that can be read as a date (year-month-day, with a time and zone if needed)', TRUE),
+                ('counts', 'empty range: from=2024-02-01 comes after to=2024-01-30', TRUE),
+                ('counts', 'group_by="%" is not known: source or day', FALSE)) AS wrong(request, problem, dated) WHERE first OR NOT dated""",
         "event_deep_page": f"""
             WITH shown AS (
                 SELECT event_id AS id, CASE WHEN event_type <> 'error' THEN date_trunc('hour', ts) END AS published_at
@@ -477,6 +489,12 @@ def sql() -> dict[str, str]:
                    CASE WHEN event_type IN ('view', 'click') THEN 'SOURCE_UNKNOWN' ELSE 'SOURCE_UNLISTED' END AS warning
             FROM events""",
         "doc_numeric_entities": """SELECT doc_id, trim(regexp_replace(left(text, 1) || ' ' || source || ' ' || chr(233) || ' ' || chr(128512), '\\s+', ' ', 'g')) AS text FROM documents""",
+        "store_search": f"""WITH {FEED}, folded AS ({feed_fold(FEED_LATE)}),
+            found AS (SELECT *, ' ' || {words_only("content_clean")} || ' ' AS words FROM folded)
+            SELECT id, source_slug, published_at FROM found
+            WHERE ({has("the")} AND NOT {has("with")}) OR {has("de la")} OR (NOT {has("und")} AND NOT {has("of")} AND NOT {has("la")})""",
+        "stream_replay": f"""WITH {FEED}
+            SELECT dedupe_key, 2 * count(*) AS times_seen, CAST(2 AS BIGINT) AS batches FROM feed_keys WHERE {LATE} GROUP BY dedupe_key""",
         "store_errors": """SELECT CAST(1 AS BIGINT) AS batch_no, 'turns' AS file, turn + conv_id * 1000000 AS pos
             FROM conversations WHERE role <> 'user'""",
         "stream_ingest": f"""WITH {FEED}

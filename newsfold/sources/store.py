@@ -18,9 +18,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from newsfold import schemas
-from newsfold.operators import merge
+from newsfold.operators import keyword_index, merge
+from newsfold.operators.keyword_index import KeywordIndex
 from newsfold.operators.normalize import NOT_AN_OBJECT, is_object, normalize_records, warning_rows
 from newsfold.session import configured
 from newsfold.sources import folders
@@ -63,6 +65,8 @@ class Manifest:
     #: Attempts that wrote reports, errors and warnings.
     reports: list[str] = field(default_factory=list)
     streams: dict[str, int] = field(default_factory=dict)
+    #: Attempts of the base with a keyword index, and the layout of each.
+    index: dict[str, list[int]] = field(default_factory=dict)
 
     @property
     def delta_rows(self) -> int:
@@ -72,7 +76,8 @@ class Manifest:
         """Folders this version needs."""
         found = {f"base/{attempt}/bucket={bucket}" for bucket, attempt in self.base.items()}
         found |= {f"delta/{delta.name}" for delta in self.deltas}
-        found |= {f"{table}/{name}" for name in self.reports for table in ("report", "errors", "warnings", "staged")}
+        found |= {f"{table}/{name}" for name in self.reports for table in ("report", "errors", "warnings")}
+        found |= {f"index/{attempt}" for attempt in self.index}
         return found | ({f"sources/{self.sources}"} if self.sources else set())
 
 
@@ -97,6 +102,12 @@ class Snapshot:
         wanted = [b for b in self.manifest.base if buckets is None or int(b) in buckets]
         return self._read(schemas.STORED_MENTIONS, [f"base/{self.manifest.base[b]}/bucket={b}" for b in wanted])
 
+    def base_with_buckets(self) -> DataFrame:
+        """The base of one attempt with ``base_bucket``."""
+        (attempt,) = set(self.manifest.base.values())
+        schema = StructType([*schemas.STORED_MENTIONS, StructField("bucket", IntegerType())])
+        return self._read(schema, [f"base/{attempt}"]).withColumnRenamed("bucket", "base_bucket")
+
     def deltas(self, names: list[str] | None = None) -> DataFrame | None:
         """Folded rows of the batches that are not in the base yet; a key may occur once per delta."""
         names = [delta.name for delta in self.manifest.deltas] if names is None else names
@@ -116,6 +127,32 @@ class Snapshot:
         untouched = self.base({int(b) for b in self.manifest.base} - touched)
         return untouched.unionByName(merge.overlay(self.base(touched), newer))
 
+    def index(self) -> KeywordIndex | None:
+        """The keyword index of :meth:`mentions`; none if a part of the base was written without one.
+
+        Stored postings count for buckets that are still as they were indexed. Those of rows that a delta changes give way to
+        postings of the rows as they are now, which are as many as the deltas' rows.
+        """
+        if not set(self.manifest.base.values()) <= set(self.manifest.index):
+            return None
+        newer, touched, segments = self.deltas(), self.touched(), []
+        for attempt, layout in self.manifest.index.items():
+            rows = keyword_index.read_postings(self._store.spark, self._store.path(f"index/{attempt}"), "base_bucket")
+            live = [int(bucket) for bucket, name in self.manifest.base.items() if name == attempt]
+            if len(live) < layout[2]:
+                rows = rows.where(F.col("base_bucket").isin(live))
+            if newer is not None:
+                changed = merge.touched_rows(self.base(touched), newer).select("id")
+                rows = rows.join(changed, "id", "left_anti")
+            segments.append(keyword_index.Segment(rows, keyword_index.Layout(*layout[:2])))
+        if newer is not None:
+            now = merge.overlaid(self.base(touched), newer)
+            segments.append(keyword_index.Segment(keyword_index.gathered(keyword_index.occurrences(now))))
+        if not segments:
+            empty = self._store.spark.createDataFrame([], schemas.STORED_MENTIONS)
+            segments.append(keyword_index.Segment(keyword_index.gathered(keyword_index.occurrences(empty))))
+        return keyword_index.KeywordIndex(segments, self.mentions())
+
     def keys(self, buckets: set[int]) -> DataFrame:
         """``dedupe_key`` of stored mentions in ``buckets`` and in all deltas, possibly repeated; no other column is read."""
         base, newer = self.base(buckets).select("dedupe_key"), self.deltas()
@@ -137,8 +174,11 @@ class Snapshot:
 class MentionStore:
     """Tables under ``root``, on any file system Spark reads whose rename is atomic (HDFS, or a local disk)."""
 
-    def __init__(self, spark: SparkSession, root: str, max_deltas: int = 8, max_delta_share: float = 0.25):
-        self.spark, self.root = configured(spark), root.rstrip("/")
+    def __init__(
+        self, spark: SparkSession, root: str, max_deltas: int = 8, max_delta_share: float = 0.25, indexed: bool = True
+    ):
+        """With ``indexed`` every compaction writes the keyword index of the buckets that it writes."""
+        self.spark, self.root, self.indexed = configured(spark), root.rstrip("/"), indexed
         self.max_deltas, self.max_delta_share = max_deltas, max_delta_share
 
     def path(self, name: str) -> str:
@@ -310,6 +350,11 @@ class MentionStore:
         written = {name.removeprefix("bucket=") for name in folders.children(self.spark, self.path(f"base/{attempt}")) if "=" in name}
         base = {b: name for b, name in manifest.base.items() if int(b) not in touched} | dict.fromkeys(written, attempt)
         new_rows = self.spark.read.parquet(self.path(f"base/{attempt}")).count()
+        index = {name: layout for name, layout in manifest.index.items() if name in base.values()}
+        if self.indexed and written:
+            indexed = Snapshot(self, replace(manifest, base=dict.fromkeys(written, attempt))).base_with_buckets()
+            layout = keyword_index.write_postings(indexed, self.path(f"index/{attempt}"), "base_bucket")
+            index[attempt] = [layout.buckets, layout.parts, len(written)]
         return self._commit(
             replace(
                 manifest,
@@ -318,6 +363,7 @@ class MentionStore:
                 base=base,
                 base_rows=manifest.base_rows - before.count() + new_rows,
                 deltas=[],
+                index=index,
                 reports=self._joined_reports(current, attempt),
             )
         )
@@ -338,5 +384,8 @@ class MentionStore:
         for version in committed[:-keep]:
             for name in manifests[version].names() - needed:
                 folders.remove(self.spark, self.path(name))
+        # Nothing reads the normalised copy of a batch after its commit.
+        for name in set().union(*(manifest.reports for manifest in manifests.values())):
+            folders.remove(self.spark, self.path(f"staged/{name}"))
         for version in committed[:-keep]:
             folders.remove(self.spark, self.path(f"manifest/{version:012d}.json"))

@@ -1,12 +1,13 @@
 """Filters, listing, pages and counts over the feed file."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsfold import schemas
-from newsfold.operators import keywords, search, stats
+from newsfold.operators import keyword_index, keywords, search, stats
 from newsfold.operators.filters import ArgumentProblems, Filters, read_filters
 
 
@@ -128,13 +129,50 @@ def test_keyword_reading():
     assert read(" - ") == []
 
 
-def test_index_gives_the_same_mentions(spark, tables):
-    mentions, _ = tables
-    index = keywords.postings(mentions).cache()
-    for words in (["festival"], ["solar", "panels"], ["festival", "rowers"], ["zeppelin"]):
-        by_filter = mentions.where(keywords.keyword_filter(" ".join(words), F.col("search_text"))).select("id")
-        found = {row[0] for row in keywords.ids_of_words(index, words).collect()}
-        assert found == {row[0] for row in by_filter.collect()}
+QUERIES = [query for query, _ in KEYWORDS] + ["-festival", "-festival or solar", '-"solar panels"', "???", '"panels solar"', "the the", '"the the"']
+
+
+@pytest.fixture(scope="module")
+def index(spark, with_undated, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("postings") / "index")
+    layout = keyword_index.write_postings(with_undated[0], path)
+    return keyword_index.KeywordIndex([keyword_index.Segment(keyword_index.read_postings(spark, path), layout)], with_undated[0])
+
+
+@pytest.mark.parametrize("query", QUERIES)
+def test_index_gives_the_same_mentions(with_undated, index, query):
+    for more in ({}, {"source": "nst"}, {"since": dt.datetime(2025, 6, 8, tzinfo=dt.UTC)}):
+        filters = Filters(q=query, **more)
+        expected = {(row.id, row.source_slug, row.published_at) for row in filters.apply(with_undated[0]).collect()}
+        assert {tuple(row) for row in index.matches(filters).collect()} == expected
+
+
+def test_index_layouts_agree(spark, with_undated, tmp_path, monkeypatch):
+    expected = sorted(map(tuple, keyword_index.gathered(keyword_index.occurrences(with_undated[0])).collect()))
+    for size in (50, 300, 10**9):
+        monkeypatch.setattr(keyword_index, "FILE_BYTES", size)
+        path = str(tmp_path / str(size))
+        layout = keyword_index.write_postings(with_undated[0], path)
+        rows = keyword_index.read_postings(spark, path)
+        assert (layout.buckets > 1) == (size < 10**9)
+        assert sorted(map(tuple, rows.drop("bucket").collect())) == expected
+        found = keyword_index.Segment(rows, layout).of(["festival", "solar"])
+        assert {row.token for row in found.collect()} <= {"festival", "solar"} and found.count() > 0
+
+
+def test_texts_are_read_for_a_page_only(spark, with_undated, tmp_path, index):
+    with_undated[0].write.parquet(str(tmp_path / "mentions"))
+    stored = spark.read.schema(schemas.STORED_MENTIONS).parquet(str(tmp_path / "mentions"))
+    over = keyword_index.KeywordIndex(index.segments, stored)
+    request = search.SearchRequest(Filters(q='"solar panels" -festival or -rowers', source="nst"), 5, 0)
+    plans = [search.page_keys(stored, request, over), search.search_metadata(stored, request, over), stats.count_by_day(stored, request.filters, over)]
+    for frame in plans:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "search_text" not in plan and "content" not in plan and "title" not in plan
+        assert "IsNotNull(source_slug), EqualTo(source_slug,nst)" in plan
+    one = search.page_keys(stored, search.SearchRequest(Filters(q="solar"), 5, 0), over)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in one and "positions" not in one
+    assert re.search(r"PartitionFilters: \[[^]]*bucket#", one)
 
 
 def test_outlet_by_slug_or_name(spark, tables):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsfold import schemas
+from newsfold.operators.filters import Filters
 from newsfold.sources import feed
 from newsfold.sources.store import CommitRefused, MentionStore
 from newsfold.streaming.ingest_stream import start_ingest
@@ -265,3 +266,36 @@ def test_date_filter_reaches_the_scan(spark, tmp_path):
     scan = plan[plan.index("PushedFilters") :]
     assert "EqualTo(source_slug,thestar)" in scan and "GreaterThanOrEqua" in scan
     assert "ReadSchema: struct<source_slug:string,published_at:timestamp>" in scan
+
+
+def test_index_follows_batches_and_compaction(spark, tmp_path, monkeypatch):
+    """What the index finds is what a scan of the texts finds: with rows that a later batch changes, and after each compaction."""
+    pick = random.Random(5)
+    words = ["harbour", "tide", "crane", "salt", "pilot"]
+
+    def batch(first, count):
+        return [{"source": f"Outlet {at % 3}", "title": f"story {at}", "content": " ".join(pick.choices(words, k=pick.randint(1, 9)))} for at in range(first, first + count)]
+
+    monkeypatch.setattr("newsfold.sources.store.BUCKET_ROWS", 5)
+    store = MentionStore(spark, str(tmp_path / "tables"))
+
+    def agree():
+        snapshot = store.snapshot()
+        for query in ("harbour", '"salt pilot" or story -harbour', "-tide"):
+            filters = Filters(q=query)
+            expected = sorted(row.id for row in filters.apply(snapshot.mentions()).collect())
+            assert sorted(row.id for row in snapshot.index().matches(filters).collect()) == expected
+
+    assert store.snapshot().index().matches(Filters(q="harbour")).count() == 0
+    steps = [(0, 60), (50, 12), (60, 2)]
+    for step, (first, count) in enumerate(steps):
+        folder = put(tmp_path / f"in{step}", "a.json", batch(first, count))
+        store.ingest(feed.read_array_files(spark, folder), MORNING)
+        agree()
+        if step != 1:
+            store.compact()
+            agree()
+    assert len(store.snapshot().manifest.index) > 1
+    bare = MentionStore(spark, str(tmp_path / "tables"), indexed=False)
+    bare.ingest(feed.read_array_files(spark, put(tmp_path / "in9", "a.json", batch(3, 3))), MORNING)
+    assert bare.compact().index() is None
