@@ -1,9 +1,7 @@
 """Duplicate fold, upsert and sources dimension.
 
-Every merge rule is associative over arrival order, so one aggregate serves three uses: records of
-a batch, partial rows of several batches, and stored rows together with newer partial rows. Spark
-aggregates map-side before the shuffle on ``dedupe_key``, so a key that holds a large share of all
-rows reaches the reducer as one row per map task.
+Every merge rule is associative over arrival order, so one fold serves three uses: records of
+a batch, partial rows of several batches, and stored rows together with newer partial rows.
 """
 
 from __future__ import annotations
@@ -29,37 +27,77 @@ def as_rows(normalized: DataFrame, batch_time: Column) -> DataFrame:
     )
 
 
-def fold_rows(rows: DataFrame) -> DataFrame:
-    """One row per ``dedupe_key``; a lower ``id`` is the older row."""
-    seq = F.col("id")
+#: Short texts of a folded row that may come from other rows than its content.
+SHORT = ("source_slug", *FIRST_NON_NULL, "published_at_raw")
+#: Above every id; a rank is a whole number that orders by a first value, then by id.
+_IDS = "10000000000000000000BD"
+_LAST_ID = "9223372036854775807BD"
 
-    def first_present(name: str) -> Column:
-        return F.min_by(F.when(F.col(name).isNotNull(), F.col(name)), F.when(F.col(name).isNotNull(), seq))
 
-    dated = F.col("published_at").isNotNull()
-    has_raw = F.col("published_at_raw").isNotNull()
-    raw_of_earliest = F.min_by(
-        F.col("published_at_raw"), F.when(dated, F.struct(F.col("published_at"), seq))
-    )
-    raw_of_first = F.min_by(F.col("published_at_raw"), F.when(has_raw, seq))
-    fullest = F.max_by(
-        F.struct("content_raw", "content_clean"), F.struct(F.length("content_clean"), -seq)
-    )
-    folded = rows.groupBy("dedupe_key").agg(
+def _ranked(first: Column, second: Column) -> Column:
+    return (first.cast("decimal(19,0)") * F.expr(_IDS) + second.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def _id_of(rank: Column) -> Column:
+    return F.pmod(rank, F.expr(_IDS)).cast("bigint")
+
+
+def winners(rows: DataFrame) -> DataFrame:
+    """What numbers and dates say about each ``dedupe_key``: its merged counts and dates, and which rows its texts come from.
+
+    Every value has a fixed width, so this is a hash aggregate, map-side first: a key with a large share of all rows is one
+    partial row per task. ``of_<column>`` is the id of the row that gives a column; ``deliveries`` counts rows.
+    """
+    seq, moment = F.col("id"), F.unix_micros("published_at")
+    last = F.expr(_LAST_ID)
+    fullness = _ranked(F.coalesce(F.length("content_clean"), F.lit(-1)) + 1, last - seq.cast("decimal(19,0)"))
+    firsts = [F.min(F.when(F.col(name).isNotNull(), seq)).alias(f"of_{name}") for name in (*FIRST_NON_NULL, "published_at_raw")]
+    grouped = rows.groupBy("dedupe_key").agg(
         F.min(seq).alias("id"),
-        F.min_by("source_slug", seq).alias("source_slug"),
-        *[first_present(name).alias(name) for name in FIRST_NON_NULL],
-        fullest.alias("fullest"),
+        *firsts,
+        F.max(fullness).alias("fullness"),
+        F.min(F.when(moment.isNotNull(), _ranked(moment, seq))).alias("earliness"),
         F.min("published_at").alias("published_at"),
-        F.coalesce(raw_of_earliest, raw_of_first).alias("published_at_raw"),
         F.max("engagement").alias("engagement"),
         F.sum("times_seen").alias("times_seen"),
         F.min("first_seen_at").alias("first_seen_at"),
         F.max("updated_at").alias("updated_at"),
+        F.count(F.lit(1)).alias("deliveries"),
+    )
+    return grouped.withColumns(
+        {"of_content": (last - _id_of(F.col("fullness")).cast("decimal(19,0)")).cast("bigint"), "of_earliest": _id_of(F.col("earliness"))}
+    ).drop("fullness", "earliness")
+
+
+def fold_rows(rows: DataFrame) -> DataFrame:
+    """One row per ``dedupe_key``; a lower ``id`` is the older row, and an id names one row.
+
+    Numbers and dates are folded first and say which rows the texts of a key come from. Keys with a single row, mostly nearly
+    all, pass through a join with the keys that have several; of those only the rows that give something are looked at,
+    and content is taken from one of them. No content is sorted or aggregated. ``rows`` is read three times, the second
+    time without content, so it should be stored rather than computed.
+    """
+    merged = winners(rows).where("deliveries > 1").drop("deliveries")
+    roles = ["id", *(f"of_{name}" for name in (*FIRST_NON_NULL, "published_at_raw")), "of_earliest"]
+    keyed = merged.select("dedupe_key", F.array_distinct(F.array_compact(F.array(*roles))).alias("givers"))
+    given = rows.select("dedupe_key", "id", *SHORT).join(keyed.hint("shuffle_hash"), "dedupe_key").where(F.array_contains("givers", F.col("id")))
+    texts = given.groupBy("dedupe_key").agg(F.collect_list(F.struct("id", *SHORT)).alias("texts"))
+    known = merged.join(texts.hint("shuffle_hash"), "dedupe_key")
+
+    def text_of(name: str, giver: str) -> Column:
+        return F.get(F.filter("texts", lambda text: text["id"] == F.col(giver)), F.lit(0))[name]
+
+    folded = {"source_slug": text_of("source_slug", "id")} | {name: text_of(name, f"of_{name}") for name in FIRST_NON_NULL}
+    folded["published_at_raw"] = F.coalesce(text_of("published_at_raw", "of_earliest"), text_of("published_at_raw", "of_published_at_raw"))
+    numbers = ("id", "published_at", "engagement", "times_seen", "first_seen_at", "updated_at")
+    folded |= {name: F.col(name) for name in numbers}
+    several = known.select("dedupe_key", "of_content", F.struct(*(column.alias(name) for name, column in folded.items())).alias("folded"))
+    joined = rows.select(*MENTIONS.names).join(several.hint("shuffle_hash"), "dedupe_key", "left")
+    kept = joined.where(F.col("of_content").isNull() | (F.col("of_content") == F.col("id")))
+    one = F.col("of_content").isNull()
+    return kept.select(
+        *(F.when(one, F.col(name)).otherwise(F.col("folded")[name]).alias(name) if name in folded else F.col(name) for name in MENTIONS.names)
     )
-    return folded.withColumns(
-        {"content_raw": F.col("fullest.content_raw"), "content_clean": F.col("fullest.content_clean")}
-    ).select(*MENTIONS.names)
 
 
 def merge_into(state: DataFrame, batch: DataFrame) -> DataFrame:

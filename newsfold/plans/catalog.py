@@ -143,7 +143,8 @@ def page_count_by_outlet(spark, folder):
 @query
 def page_renormalized(spark, folder):
     """Clean content recomputed from the stored raw content."""
-    folded = merge.fold_rows(merge.as_rows(page_mentions_normalized(spark, folder), now()))
+    normalized = staged(page_mentions_normalized(spark, folder), "pages")
+    folded = merge.fold_rows(merge.as_rows(normalized, now()))
     return normalize.renormalize_text(folded).select("dedupe_key", "content_clean")
 
 
@@ -199,14 +200,14 @@ MERGED_DOCUMENT = ["dedupe_key", "id", "source_slug", "author", "content_clean",
 
 @query
 def doc_merge(spark, folder):
-    rows = document_rows(spark, folder).select(*schemas.MENTIONS.names)
+    rows = staged(document_rows(spark, folder).select(*schemas.MENTIONS.names), "rows")
     return merge.fold_rows(rows).select(*MERGED_DOCUMENT)
 
 
 def two_deliveries(spark, folder):
     """Documents of the first ten crawlers arrive before those of the others."""
     late = F.regexp_extract("source", "[0-9]+", 0).cast("int") >= 10
-    rows = document_rows(spark, folder).withColumn("late", late)
+    rows = staged(document_rows(spark, folder).withColumn("late", late), "deliveries")
     rows = rows.withColumn("id", F.col("id") + F.when(F.col("late"), F.lit(10**12)).otherwise(F.lit(0)))
     return (rows.where(condition).select(*schemas.MENTIONS.names) for condition in (~F.col("late"), F.col("late")))
 
@@ -220,7 +221,7 @@ def doc_upsert_two_batches(spark, folder):
 @query
 def doc_overlay_two_batches(spark, folder):
     first, second = two_deliveries(spark, folder)
-    state = merge.with_search_text(merge.fold_rows(first))
+    state = staged(merge.with_search_text(merge.fold_rows(first)), "state")
     return merge.overlay(state, second).select(*MERGED_DOCUMENT)
 
 
@@ -228,7 +229,7 @@ def doc_overlay_two_batches(spark, folder):
 def doc_upsert_counts(spark, folder):
     """Inserted and merged records of the second delivery."""
     first, second = two_deliveries(spark, folder)
-    return merge.inserted_and_merged(first.select("dedupe_key"), merge.fold_rows(second))
+    return merge.inserted_and_merged(first.select("dedupe_key"), merge.winners(second))
 
 
 # --- documents: search --------------------------------------------------------------------------
@@ -516,7 +517,7 @@ def event_warning_census(spark, folder):
 @query
 def event_merged(spark, folder):
     """Events folded per source and user: largest count, earliest date with its raw text, deliveries."""
-    folded = merge.fold_rows(merge.as_rows(events_normalized(spark, folder), now()))
+    folded = merge.fold_rows(merge.as_rows(staged(events_normalized(spark, folder), "events"), now()))
     return plain(folded).select("dedupe_key", "id", "external_id", "published_at", "published_at_raw", "engagement", "times_seen")
 
 
@@ -588,7 +589,15 @@ def feed_normalized(spark, folder):
 @query
 def feed_mentions(spark, folder):
     """The document feed normalised and folded: every merge rule at once."""
-    return plain(merge.fold_rows(merge.as_rows(feed_normalized(spark, folder), now())))
+    return plain(merge.fold_rows(merge.as_rows(staged(feed_normalized(spark, folder), "feed"), now())))
+
+
+@query
+def page_merged(spark, folder):
+    """Pages folded per duplicate key; their titles come from the first page that has one."""
+    normalized = staged(page_mentions_normalized(spark, folder), "pages")
+    folded = merge.fold_rows(merge.as_rows(normalized, now()))
+    return folded.select("dedupe_key", "id", "title", "content_clean", "url", "canonical_url", "external_id", "times_seen")
 
 
 @query
@@ -610,7 +619,7 @@ def feed_count_by_source(spark, folder):
 
 @query
 def feed_count_by_day(spark, folder):
-    return stats.count_by_day(merge.fold_rows(merge.as_rows(feed_normalized(spark, folder), now())))
+    return stats.count_by_day(merge.winners(merge.as_rows(feed_normalized(spark, folder), now())))
 
 
 def delivered(spark, folder, late: bool) -> Feed:

@@ -329,6 +329,11 @@ def sql() -> dict[str, str]:
         "page_renormalized": f"""WITH {PAGES}
             SELECT dedupe_key, arg_max(content, (length(content), -page_id)) AS content_clean
             FROM page_keys GROUP BY dedupe_key""",
+        "page_merged": f"""WITH {PAGES}
+            SELECT dedupe_key, min(page_id) AS id, arg_min(title, page_id) FILTER (title IS NOT NULL) AS title,
+                   arg_max(content, (length(content), -page_id)) AS content_clean, arg_min(p.url, page_id) AS url,
+                   arg_min(canonical_url, page_id) AS canonical_url, 'page-' || min(page_id) AS external_id, count(*) AS times_seen
+            FROM page_keys JOIN (SELECT page_id, url FROM pages) p USING (page_id) GROUP BY dedupe_key""",
         "doc_fingerprint": f"SELECT doc_id, {fp('text')} AS fingerprint FROM documents",
         "doc_dedupe_key": f"WITH {DOC_KEYS} SELECT doc_id, dedupe_key FROM doc_keys",
         "doc_merge": f"WITH {DOC_KEYS} {doc_fold('doc_id')}",

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -145,8 +146,31 @@ def test_first_record_of_a_batch_names_its_source(spark):
     assert {row["slug"]: row["display_name"] for row in rows} == {"a": "First", "b": "B"}
 
 
-def test_fold_aggregates_before_its_only_shuffle(spark):
+def test_fold_counts_before_its_shuffle_and_moves_content_once(spark):
     folded = merge.fold_rows(frame(spark, random_rows(1, 20, 3)))
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 3 and all("strategy=shuffle_hash" in line for line in joins)
+    counted = merge.winners(frame(spark, random_rows(1, 20, 3)))._jdf.queryExecution().executedPlan().toString()
+    assert counted.count("HashAggregate") == 2 and counted.count("Exchange hashpartitioning(dedupe_key") == 1
+
+
+def test_no_text_is_sorted_or_aggregated_by_the_fold(spark, tmp_path):
+    """The plan as it ran: content passes one hash join, and what is aggregated is fixed-width but for short texts of repeated keys."""
+    frame(spark, random_rows(3, 300, 40)).write.parquet(str(tmp_path / "rows"))
+    folded = merge.fold_rows(spark.read.schema(schemas.MENTIONS).parquet(str(tmp_path / "rows")))
+    folded.write.mode("overwrite").parquet(str(tmp_path / "out"))
     plan = folded._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(dedupe_key") == 1
-    assert plan.count("partial_min") > 0
+    steps = [line for line in plan.splitlines() if re.search(r"\b(Sort|SortAggregate|ObjectHashAggregate|HashAggregate)\b", line)]
+    assert steps and not any("content" in line for line in steps if "length(content_clean" not in line)
+    assert not any("Sort" in line for line in steps)
+    numbers = merge.winners(spark.read.schema(schemas.MENTIONS).parquet(str(tmp_path / "rows")))
+    assert "SortAggregate" not in numbers._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_key_with_most_rows(spark):
+    """Ranks keep their order up to the largest ids and the longest contents."""
+    rows = random_rows(8, 400, 2)
+    assert as_table(merge.fold_rows(frame(spark, rows).repartition(9))) == comparable(fold_in_python(rows))
+    big = [dict(row, id=2**63 - 60 + at, content_clean="x" * (at % 7), dedupe_key="one") for at, row in enumerate(random_rows(10, 60, 1))]
+    assert as_table(merge.fold_rows(frame(spark, big))) == comparable(fold_in_python(big))
