@@ -13,6 +13,10 @@ from newsfold.llm.shipping import ship
 from newsfold.session import configured
 
 
+#: Bytes of a repeated passage here: 50 words of the shortest kind, where the operator's own query takes 400.
+PASSAGE_BYTES = 250
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     ship(configured(spark))
@@ -26,9 +30,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without byte strings that start elsewhere, too; a document may be left empty, but it stays."""
+    """Documents without strings of ``PASSAGE_BYTES`` that start elsewhere, too; a document may be left empty, but it stays."""
     ship(configured(spark))
-    return suffix_dedup.clean_documents(docs)
+    return suffix_dedup.clean_documents(docs, PASSAGE_BYTES)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -269,11 +269,11 @@ def removed(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> D
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row.
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, text`` of every row; ``text`` has the remaining whole characters.
 
     Null counts as empty. Repeated rows are copies of each other like any other equal texts. Other columns are ignored.
     """
-    result = removed(docs, length).drop("kept")
+    result = removed(docs, length, with_text=True).withColumnRenamed("kept", "text")
     return docs.select("doc_id", text_digest().alias("digest")).join(result, "digest").drop("digest")
 
 
