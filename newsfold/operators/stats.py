@@ -75,6 +75,30 @@ def stats_metadata(groups: DataFrame, filters: Filters, grouping: str) -> DataFr
     )
 
 
+def totals(mentions: DataFrame, sources: DataFrame, sets: dict[str, Filters]) -> DataFrame:
+    """``filters, part, total``: for several filter sets at once the listing's total and the sums of both counts.
+
+    One scan of the mentions: matches of every set are counted by outlet and day, and that table, as many rows as there are outlets
+    times days, is added up over nothing (``list``), over outlets (``source``) and over days (``day``).
+    """
+    names = {f"n_{at}": name for at, name in enumerate(sets)}
+    day = dates.local_day(F.col("published_at")).alias("day")
+    hits = [F.count_if(filters.predicate()).alias(column) for column, filters in zip(names, sets.values())]
+    counted = mentions.groupBy("source_slug", day).agg(*hits)
+    listed = sources.select(F.col("slug").alias("source_slug"), F.lit(True).alias("known")).distinct()
+    counted = counted.join(listed, "source_slug", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    keys = [F.col("source_slug"), F.col("known"), F.col("day")]
+    groups = counted.groupingSets([[], keys[:2], keys[2:]], *keys).agg(
+        *(F.sum(column).alias(column) for column in names), F.grouping_id().alias("level")
+    )
+    part = F.when(F.col("level") == 7, "list").when(F.col("level") == 1, "source").otherwise("day")
+    # Counts per outlet name their outlet, so an unknown one is not in them.
+    groups = groups.where("level <> 1 OR known").groupBy(part.alias("part")).agg(*(F.sum(column).alias(column) for column in names))
+    every = sources.sparkSession.createDataFrame([("list",), ("source",), ("day",)], "part string")
+    rows = F.array(*(F.struct(F.lit(name).alias("filters"), F.coalesce(column, F.lit(0)).alias("total")) for column, name in names.items()))
+    return every.join(groups, "part", "left").select("part", F.inline(rows)).select("filters", "part", "total")
+
+
 def source_choices(mentions: DataFrame, sources: DataFrame) -> DataFrame:
     """Outlets to pick from; unfiltered, so the choice does not shrink with the filters."""
     return count_by_source(mentions, sources)

@@ -450,7 +450,6 @@ def doc_display_rows(spark, folder):
 @query
 def list_equals_stats(spark, folder):
     """The listing's total and both sums of counts, per filter set."""
-    mentions, sources = staged(document_mentions(spark, folder), "documents"), document_sources(spark, folder)
     sets = {
         "none": Filters(),
         "word": Filters(q="the"),
@@ -458,15 +457,7 @@ def list_equals_stats(spark, folder):
         "dates": Filters(**FIRST_DAY),
         "all": Filters(q="of -with", source="src1", since=FIRST_DAY["since"]),
     }
-    totals = None
-    for name, filters in sets.items():
-        listing = search.search_metadata(mentions, search.SearchRequest(filters)).select("total")
-        by_source = stats.stats_metadata(stats.count_by_source(mentions, sources, filters), filters, "source")
-        by_day = stats.stats_metadata(stats.count_by_day(mentions, filters), filters, "day")
-        for part, frame in (("list", listing), ("source", by_source), ("day", by_day)):
-            row = frame.select(F.lit(name).alias("filters"), F.lit(part).alias("part"), "total")
-            totals = row if totals is None else totals.unionByName(row)
-    return totals
+    return stats.totals(document_mentions(spark, folder), document_sources(spark, folder), sets)
 
 
 # --- events: dates, counts, days ----------------------------------------------------------------

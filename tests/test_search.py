@@ -287,3 +287,22 @@ def test_display_rows(spark, with_undated):
     by_heading = {row["heading"]: row for row in shown.values()}
     assert by_heading["Library opens on Sundays"]["shown_time"] == "05 Jun, 00:00"
     assert by_heading["Durian season & long queues at the Raub stalls"]["snippet"] is None
+
+
+def test_totals_of_several_filter_sets_take_one_scan(spark, with_undated, tmp_path):
+    mentions, sources = with_undated
+    mentions.write.parquet(str(tmp_path / "mentions"))
+    stored = spark.read.schema(schemas.STORED_MENTIONS).parquet(str(tmp_path / "mentions"))
+    sets = {"all": Filters(), "word": Filters(q="solar -rowers"), "outlet": Filters(source="nst"), "dated": Filters(since=dt.datetime(2025, 6, 8, tzinfo=dt.UTC)), "none": Filters(q="???")}
+    fewer = sources.where("slug <> 'nst'")
+    for known in (sources, fewer):
+        expected = {}
+        for name, filters in sets.items():
+            expected[name, "list"] = search.search_metadata(mentions, search.SearchRequest(filters)).first()["total"]
+            expected[name, "source"] = stats.stats_metadata(stats.count_by_source(mentions, known, filters), filters, "source").first()["total"]
+            expected[name, "day"] = stats.stats_metadata(stats.count_by_day(mentions, filters), filters, "day").first()["total"]
+        found = stats.totals(stored, known, sets)
+        assert {(row.filters, row.part): row.total for row in found.collect()} == expected
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("search_text") and found.inputFiles()
+        assert found._jdf.queryExecution().sparkPlan().toString().count("parquet") == 1
+    assert {row.total for row in stats.totals(stored.where("id < 0"), sources, sets).collect()} == {0}
