@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 NOT_AN_ARRAY = "a batch must be a JSON array"
@@ -22,18 +22,28 @@ class Feed:
     rows: DataFrame
     #: Whether ``line`` is the record's index in its file; for split line files it only gives the order.
     indexed: bool = True
+    #: Whether ``line`` has no gaps within a file and block.
+    gapless: bool = False
 
-    def in_order(self) -> DataFrame:
-        """``file, line, refused, record, part, row``: ranges of rows in order, and the place in each.
+    def placed(self) -> DataFrame:
+        """``file, line, refused, record, part, block, row``: parts in order, and the place in each without gaps.
 
-        JSON text is parsed after the shuffle, so that the sample for the ranges is a plain scan.
+        A reader that counts the rows of each split knows the places already, so nothing moves: a part is a split. Other
+        rows are ranged by their place first. JSON text is then parsed after the shuffle, so that the sample for the
+        ranges is a plain scan.
         """
+        if self.gapless:
+            return parsed(self.rows.withColumns({"part": F.col("file"), "row": F.col("line")}))
         place = ["file", "block", "line"]
         ranged = self.rows.repartitionByRange(*place).sortWithinPartitions(*place)
-        numbered = ranged.withColumn("part", F.spark_partition_id()).withColumn(
-            "row", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_ROW))
+        numbered = ranged.withColumns(
+            {
+                "part": F.lit(""),
+                "block": F.spark_partition_id().cast("bigint"),
+                "row": F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_ROW)),
+            }
         )
-        return parsed(numbered).drop("block")
+        return parsed(numbered)
 
 
 def parsed(rows: DataFrame) -> DataFrame:
@@ -82,7 +92,7 @@ def line_documents(lines: DataFrame) -> Feed:
         F.lit(False).alias("refused"),
         "value",
     )
-    return Feed(rows, indexed=False)
+    return Feed(rows, indexed=False, gapless=True)
 
 
 def text_lines(reader: DataFrame) -> DataFrame:
@@ -107,7 +117,7 @@ def read_parquet_files(spark: SparkSession, path: str) -> Feed:
         F.lit(False).alias("refused"),
         F.to_json(F.struct(*table.columns)).alias("value"),
     )
-    return Feed(rows)
+    return Feed(rows, gapless=True)
 
 
 def record_of(columns: list[str] | list[Column]) -> Column:
@@ -115,16 +125,36 @@ def record_of(columns: list[str] | list[Column]) -> Column:
     return F.try_parse_json(F.to_json(F.struct(*columns)))
 
 
-def with_arrival_numbers(rows: DataFrame, first_seq: int) -> tuple[DataFrame, int]:
-    """Add ``arrival_seq`` to written rows of :meth:`Feed.in_order`, and the first number after them.
+#: Parts whose first numbers are sent to every task; more are joined as a table.
+SENT_PARTS = 100_000
 
-    Files in name order, then the place in them, all above earlier batches and without gaps. The counts
-    are one number per range, as many as the session has shuffle partitions.
+
+def part_starts(rows: DataFrame, first_seq: int) -> DataFrame:
+    """``part, block, first, start, size, gapless`` of the parts of written rows of :meth:`Feed.placed`, in order.
+
+    ``start`` is the number of a part's first row: the sum of the sizes before it. One narrow row per part, that is per split of the
+    input, is ordered by a single task; no record moves.
+    """
+    span = F.max("row") - F.min("row") + 1
+    sizes = rows.groupBy("part", "block").agg(
+        F.min("row").alias("first"), F.count(F.lit(1)).alias("size"), (span == F.count(F.lit(1))).alias("gapless")
+    )
+    before = Window.orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("size").over(before), F.lit(0)) + F.lit(first_seq)
+    return sizes.withColumn("start", start.cast("bigint"))
+
+
+def with_arrival_numbers(rows: DataFrame, starts: DataFrame, first_seq: int) -> tuple[DataFrame, int]:
+    """Add ``arrival_seq`` to written rows of :meth:`Feed.placed`, and the first number after them.
+
+    Files in name order, then the place in them, all above earlier batches and without gaps. ``starts`` are the stored
+    :func:`part_starts` of the rows.
     """
-    counts = rows.groupBy("part").count().orderBy("part").collect()
-    starts, following = [], first_seq
-    for part, count in counts:
-        starts.append((part, following))
-        following += count
-    listed = F.broadcast(rows.sparkSession.createDataFrame(starts, "part int, start bigint"))
-    return rows.join(listed, "part").withColumn("arrival_seq", F.col("start") + F.col("row")).drop("start"), following
+    about = starts.agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("rows"), F.every("gapless").alias("gapless")).first()
+    if about["parts"] and not about["gapless"]:
+        raise ValueError("a feed that is read as gapless has gaps")
+    listed = starts.select("part", "block", "first", "start")
+    if about["parts"] <= SENT_PARTS:
+        listed = F.broadcast(listed)
+    numbered = rows.join(listed, ["part", "block"]).withColumn("arrival_seq", F.col("start") + F.col("row") - F.col("first"))
+    return numbered.drop("start", "first"), first_seq + (about["rows"] or 0)

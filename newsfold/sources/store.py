@@ -26,7 +26,7 @@ from newsfold.operators.keyword_index import KeywordIndex
 from newsfold.operators.normalize import NOT_AN_OBJECT, is_object, normalize_records, warning_rows
 from newsfold.session import configured
 from newsfold.sources import folders
-from newsfold.sources.feed import NOT_AN_ARRAY, Feed, with_arrival_numbers
+from newsfold.sources.feed import NOT_AN_ARRAY, Feed, part_starts, with_arrival_numbers
 
 #: Rows of a bucket when the base is laid out anew, and how many buckets there are at most.
 BUCKET_ROWS = 1_000_000
@@ -221,7 +221,9 @@ class MentionStore:
         moment = batch_time or dt.datetime.now(dt.UTC)
         now = F.timestamp_millis(F.lit(round(moment.timestamp() * 1000)))
 
-        staged, following = with_arrival_numbers(self._stage(feed, attempt), old.next_seq)
+        staged = self._stage(feed, attempt)
+        self._write(part_starts(staged, old.next_seq), f"parts/{attempt}")
+        staged, following = with_arrival_numbers(staged, self.spark.read.parquet(self.path(f"parts/{attempt}")), old.next_seq)
         valid = staged.where("status = 'valid'")
         self._write(merge.fold_rows(merge.as_rows(valid, now)), f"delta/{attempt}")
         delta = self.spark.read.schema(schemas.MENTIONS).parquet(self.path(f"delta/{attempt}"))
@@ -256,7 +258,7 @@ class MentionStore:
         status = (
             F.when(F.col("refused"), "refused").when(~is_object(F.col("record")), "malformed").otherwise("valid")
         )
-        rows = feed.in_order().withColumn("status", status).drop("refused")
+        rows = feed.placed().withColumn("status", status).drop("refused")
         self._write(normalize_records(rows), f"staged/{attempt}")
         return self.spark.read.parquet(self.path(f"staged/{attempt}"))
 
@@ -387,5 +389,6 @@ class MentionStore:
         # Nothing reads the normalised copy of a batch after its commit.
         for name in set().union(*(manifest.reports for manifest in manifests.values())):
             folders.remove(self.spark, self.path(f"staged/{name}"))
+            folders.remove(self.spark, self.path(f"parts/{name}"))
         for version in committed[:-keep]:
             folders.remove(self.spark, self.path(f"manifest/{version:012d}.json"))

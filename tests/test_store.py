@@ -67,8 +67,9 @@ def test_arrays_above_the_size_of_one_value(spark, tmp_path):
 
 
 def numbered(spark, rows, tmp_path, first=5):
-    rows.in_order().write.parquet(str(tmp_path / "ordered"))
-    return feed.with_arrival_numbers(spark.read.parquet(str(tmp_path / "ordered")), first)
+    rows.placed().write.parquet(str(tmp_path / "placed"))
+    placed = spark.read.parquet(str(tmp_path / "placed"))
+    return feed.with_arrival_numbers(placed, feed.part_starts(placed, first), first)
 
 
 @pytest.mark.parametrize("splits", ["2", None])
@@ -299,3 +300,24 @@ def test_index_follows_batches_and_compaction(spark, tmp_path, monkeypatch):
     bare = MentionStore(spark, str(tmp_path / "tables"), indexed=False)
     bare.ingest(feed.read_array_files(spark, put(tmp_path / "in9", "a.json", batch(3, 3))), MORNING)
     assert bare.compact().index() is None
+
+
+def test_line_feeds_are_numbered_where_they_lie(spark, tmp_path):
+    """No record moves for its number, whatever the splits, and the numbers are those of a plain count."""
+    lines = [json.dumps({"source": "ig", "title": f"t{at}", "content": "c" * (at % 50)}) for at in range(400)]
+    for name, part in (("a.jsonl", lines[:250]), ("b.jsonl", lines[250:251]), ("c.jsonl", lines[251:])):
+        put(tmp_path / "in", name, "\n\n".join(part) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000b")
+    try:
+        lines_feed = feed.read_line_files(spark, str(tmp_path / "in"))
+        assert "Exchange" not in lines_feed.placed()._jdf.queryExecution().executedPlan().toString()
+        store = MentionStore(spark, str(tmp_path / "tables"))
+        rows = store.ingest(lines_feed, MORNING).mentions().select("id", "title").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((row.id, row.title) for row in rows) == [(at, f"t{at}") for at in range(400)]
+    gaps = feed.Feed(feed.read_line_files(spark, str(tmp_path / "in")).rows.where("line <> 3"), gapless=True)
+    with pytest.raises(ValueError, match="gaps"):
+        store.ingest(gaps, MORNING)
+    assert store.snapshot().manifest.batch_no == 1
