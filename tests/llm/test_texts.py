@@ -193,3 +193,11 @@ def test_only_documents_without_words(llm_spark):
     docs = llm_spark.createDataFrame([(1, None), (2, ""), (3, " ")], "doc_id bigint, text string").select("*", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"))
     assert [r.kept for r in quality.assess(docs).collect()] == [False] * 3
     assert sorted(map(tuple, prob_minhash.classes(docs).collect())) == [(1, 1), (2, 1), (3, 3)]
+
+
+def test_report_carries_the_text_that_is_left(llm_spark):
+    shared = " ".join(f"shared{k}" for k in range(60))
+    rows = [(1, f"head {shared} tail"), (2, f"{shared} end"), (3, "alone"), (4, None)]
+    found = {row.doc_id: (row.text, row.n_removed) for row in suffix_dedup.report(llm_spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found[1] == ("headtail", len(shared) + 2) or found[1][0].split() == ["head", "tail"]
+    assert found[3] == ("alone", 0) and found[4] == ("", 0) and found[2][0].strip() == "end"
