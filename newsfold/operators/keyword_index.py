@@ -73,18 +73,22 @@ def _dealt(mentions: DataFrame, layout: Layout, *more: str) -> DataFrame:
     )
 
 
-def write_postings(mentions: DataFrame, path: str, *more: str) -> Layout:
+def text_bytes(texts: DataFrame, column: str = "search_text") -> int:
+    return texts.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0]
+
+
+def write_postings(mentions: DataFrame, path: str, *more: str, size: int | None = None) -> Layout:
     """Store the postings of ``mentions`` below ``path``; returns how they are laid out.
 
     One shuffle, by bucket of the word and part of the mention; words become rows and are gathered where they arrive.
+    ``size`` says how many bytes of text there are about, where that is known without computing ``mentions`` once more.
     """
-    size = mentions.agg(F.coalesce(F.sum(F.octet_length("search_text")), F.lit(0))).first()[0]
-    layout = Layout.of_bytes(size, int(mentions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    layout = Layout.of_bytes(text_bytes(mentions) if size is None else size, int(mentions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     part = F.pmod(F.xxhash64("id"), F.lit(layout.parts)).cast("int")
     moved = _dealt(mentions, layout, *more).withColumn("part", part).repartition(layout.buckets * layout.parts, "bucket", "part")
     each = moved.select("bucket", "part", *CARRIED, *more, "at", F.posexplode(F.split("words", " ")).alias("nth", "token")).where("token <> ''")
     rows = gathered(each.withColumn("pos", F.get("at", F.col("nth"))).drop("at", "nth"), *more, "bucket", "part")
-    rows.drop("part").sortWithinPartitions("bucket", "token", "id").write.partitionBy("bucket").parquet(path)
+    rows.drop("part").sortWithinPartitions("bucket", "token", "id").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
     return layout
 
 

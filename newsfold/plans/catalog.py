@@ -271,7 +271,8 @@ def document_index(spark, folder) -> keyword_index.KeywordIndex:
     key = spark.sparkContext.applicationId, folder
     if key not in _INDEXES or not folders.children(spark, _INDEXES[key][0]):
         path = run_folder(spark, "index")
-        _INDEXES[key] = path, keyword_index.write_postings(mentions, path)
+        size = keyword_index.text_bytes(feeds.table(spark, folder, "documents"), "text")
+        _INDEXES[key] = path, keyword_index.write_postings(mentions, path, size=size)
     path, layout = _INDEXES[key]
     return keyword_index.KeywordIndex([keyword_index.Segment(keyword_index.read_postings(spark, path), layout)], mentions)
 
