@@ -54,23 +54,25 @@ def gathered(each: DataFrame, *more: str) -> DataFrame:
     return each.groupBy("token", *CARRIED, *more).agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
+def _runs(keys: Column) -> Column:
+    """First place and length of every run of equal values of an array, both as structs; places count from 1."""
+    places = F.sequence(F.lit(1), F.size(keys))
+    firsts = F.filter(places, lambda at: (at == 1) | (F.element_at(keys, at) != F.element_at(keys, F.greatest(at - 1, F.lit(1)))))
+    ends = F.array_append(F.slice(firsts, 2, F.size(firsts)), F.size(keys) + 1)
+    return F.zip_with(firsts, ends, lambda first, end: F.struct(first.alias("first"), (end - first).alias("length")))
+
+
 def _dealt(mentions: DataFrame, layout: Layout, *more: str) -> DataFrame:
-    """One row per mention and bucket that has words of it: ``bucket``, ``words`` with one space between, and their ``at``.
+    """One row per mention and bucket that has words of it: ``bucket``, ``words`` in order with one space between, and their ``at``.
 
     So the words of a mention move together, a few bytes each, instead of one row per word.
     """
     words = F.split(F.trim("search_text"), " ")
-    keyed = F.transform(words, lambda word, at: F.struct(layout.bucket(word).alias("bucket"), at.alias("at"), word.alias("word")))
-    rows = mentions.select(*CARRIED, *more, F.array_sort(keyed).alias("keyed")).withColumn("buckets", F.col("keyed.bucket"))
-    # Words lie in order of their bucket; each bucket's words begin where it first occurs.
-    firsts = F.transform(F.array_distinct("buckets"), lambda bucket: F.array_position("buckets", bucket).cast("int"))
-    rows = rows.withColumn("firsts", firsts).withColumn("ends", F.array_append(F.slice("firsts", 2, F.size("firsts")), F.size("buckets") + 1))
-    runs = F.arrays_zip(F.array_distinct("buckets").alias("bucket"), F.col("firsts").alias("first"), F.col("ends").alias("end"))
-    rows = rows.select(*CARRIED, *more, "keyed", F.explode(runs).alias("run"))
-    own = F.slice("keyed", F.col("run.first"), F.col("run.end") - F.col("run.first"))
-    return rows.select(*CARRIED, *more, F.col("run.bucket").alias("bucket"), own.alias("own")).select(
-        *CARRIED, *more, "bucket", F.array_join("own.word", " ").alias("words"), F.col("own.at").alias("at")
-    )
+    keyed = F.transform(words, lambda word, at: F.struct(layout.bucket(word).alias("bucket"), word.alias("word"), at.alias("at")))
+    rows = mentions.select(*CARRIED, *more, F.array_sort(keyed).alias("keyed")).withColumn("runs", _runs(F.col("keyed.bucket")))
+    own = F.transform("runs", lambda run: F.slice("keyed", run["first"], run["length"]))
+    rows = rows.select(*CARRIED, *more, F.explode(own).alias("own"))
+    return rows.select(*CARRIED, *more, F.get("own", F.lit(0))["bucket"].alias("bucket"), F.array_join("own.word", " ").alias("words"), F.col("own.at").alias("at"))
 
 
 def text_bytes(texts: DataFrame, column: str = "search_text") -> int:
@@ -80,15 +82,19 @@ def text_bytes(texts: DataFrame, column: str = "search_text") -> int:
 def write_postings(mentions: DataFrame, path: str, *more: str, size: int | None = None) -> Layout:
     """Store the postings of ``mentions`` below ``path``; returns how they are laid out.
 
-    One shuffle, by bucket of the word and part of the mention; words become rows and are gathered where they arrive.
+    One shuffle, by bucket of the word and part of the mention; a mention's words become rows, one per word, where they arrive.
     ``size`` says how many bytes of text there are about, where that is known without computing ``mentions`` once more.
     """
     layout = Layout.of_bytes(text_bytes(mentions) if size is None else size, int(mentions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     part = F.pmod(F.xxhash64("id"), F.lit(layout.parts)).cast("int")
     moved = _dealt(mentions, layout, *more).withColumn("part", part).repartition(layout.buckets * layout.parts, "bucket", "part")
-    each = moved.select("bucket", "part", *CARRIED, *more, "at", F.posexplode(F.split("words", " ")).alias("nth", "token")).where("token <> ''")
-    rows = gathered(each.withColumn("pos", F.get("at", F.col("nth"))).drop("at", "nth"), *more, "bucket", "part")
-    rows.drop("part").sortWithinPartitions("bucket", "token", "id").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
+    listed = moved.withColumn("words", F.split("words", " ")).withColumn("runs", _runs(F.col("words")))
+    each = F.transform(
+        "runs",
+        lambda run: F.struct(F.element_at("words", run["first"]).alias("token"), F.slice("at", run["first"], run["length"]).alias("positions")),
+    )
+    rows = listed.select("bucket", *CARRIED, *more, F.inline(each)).where("token <> ''").select("token", *CARRIED, *more, "positions", "bucket")
+    rows.sortWithinPartitions("bucket", "token", "id").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
     return layout
 
 
