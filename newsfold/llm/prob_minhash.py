@@ -9,11 +9,16 @@ only.
   register, and a register keeps the shingle that hits it first. Two texts agree in a register with the probability
   above. A shingle's process ends when it is later than the latest register of its text.
 - **Bands.** ``BANDS`` bands of ``ROWS`` registers; texts at 0.8 share no band once in 37,000 pairs.
-- **Verification** is exact, on the texts of pairs that agree in about as many registers. In a bucket of a band every member is held against a pivot; then the pivot
-  leaves, and buckets whose members are not yet in one class go on with more pivots, first from their largest class, then
-  from outside it. Members of one class are never compared again. So pairs grow with the members and not with their square where
-  texts are alike, and yet no two classes of a bucket stay unchecked. The pivots of a bucket grow by ``PIVOT_GROWTH``
-  from round to round, so the rounds are few.
+- **Verification** is exact, on the texts of pairs that agree in about as many registers. In a bucket of a band every member
+  is held against a pivot from the largest class; then the pivot leaves, and buckets whose members are not yet in one class
+  go on for ``ABSORBING_ROUNDS`` with ``PIVOT_GROWTH`` times as many pivots. Members of one class are never compared again.
+- **Rare shingles** settle what is still open, without loss. Let o and o' be the shares of two texts' words windows that lie
+  in common shingles. Their similarity is at most 1 / (1/o + 1/o' - 1): the sum over j for a common shingle i is at least
+  1/p_i + (1 - o') / q_i for the normalised weights p and q, and the inverse of that is concave and homogeneous in (p_i, q_i).
+  So for similar texts 1/o + 1/o' <= 1 + 1/``least``. Shingles are ordered by the number of open texts that have them; what
+  comes before the first common one is not common, so texts meet at a shingle only if the shares left from there on keep to that
+  bound, and a text that resembles none meets few. Of the pairs found, those go on to the texts whose counts of shingles by
+  hash cell keep to it, too.
 """
 
 from __future__ import annotations
@@ -40,6 +45,9 @@ PIVOT_SHARE = 256
 PIVOT_GROWTH = 4
 ABSORBING_ROUNDS = 3
 DEVIATIONS = 5
+#: Open texts of one shingle that meet the pivots in one task.
+SHINGLE_SHARE = 4096
+CELLS = 256
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -125,6 +133,24 @@ def banded(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     return texts.select("digest", "text").mapInArrow(sign, "digest binary, bands array<bigint>, sketch binary")
 
 
+def beside(pairs: DataFrame, table: DataFrame, column: str, hint: str | None = None) -> DataFrame:
+    """``digest, pivot`` with ``column`` of the member and, as ``pivot_<column>``, of the pivot.
+
+    Members' values move once, to their pivot; the value of a pivot with many members is dealt over salts. ``hint`` is
+    for joins with a table in buckets of the digest, whose rows then stay where they lie.
+    """
+    hinted = (lambda df: df.hint(hint)) if hint else (lambda df: df)
+    table = table.select("digest", column)
+    shares = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / PIVOT_SHARE).cast("int").alias("salts"))
+    pivots = table.join(hinted(shares.withColumnRenamed("pivot", "digest")), "digest")
+    pivots = pivots.select(
+        F.col("digest").alias("pivot"), F.col(column).alias(f"pivot_{column}"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    )
+    members = pairs.select("digest", "pivot").join(shares, "pivot").withColumn("salt", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int"))
+    members = table.join(hinted(members), "digest")
+    return members.join(pivots, ["pivot", "salt"]).select("digest", "pivot", column, f"pivot_{column}")
+
+
 def promising(pairs: DataFrame, sketches: DataFrame, least: float, registers: int) -> DataFrame:
     """``pairs`` without those whose registers agree so rarely that a similarity of ``least`` is out of the question.
 
@@ -138,9 +164,92 @@ def promising(pairs: DataFrame, sketches: DataFrame, least: float, registers: in
                 one, two = (flat(batch.column(name))[0].reshape(-1, registers) for name in ("sketch", "pivot_sketch"))
                 yield batch.select(["digest", "pivot"]).filter(pa.array((one == two).sum(axis=1) >= bound))
 
-    own, other = sketches.select("digest", "sketch"), sketches.select(F.col("digest").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
-    both = pairs.join(own, "digest").join(other, "pivot").select("digest", "pivot", "sketch", "pivot_sketch")
-    return both.mapInArrow(agree, "digest binary, pivot binary")
+    return beside(pairs, sketches, "sketch").mapInArrow(agree, "digest binary, pivot binary")
+
+
+def profile(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int) -> np.ndarray:
+    """A row of bytes for each text: its numbers of distinct shingles and of all, and distinct ones by hash cell, up to 255."""
+    sums = np.stack([np.bincount(text, minlength=texts), np.bincount(text, weights=weight, minlength=texts)], axis=1).astype("<i8")
+    cells = np.zeros(texts * CELLS, dtype=np.uint8)
+    filled, n = np.unique(text * CELLS + (_mixed(shingle) % np.uint64(CELLS)).astype(np.int64), return_counts=True)
+    cells[filled] = np.minimum(n, 255)
+    return np.concatenate([sums.view(np.uint8).reshape(texts, 16), cells.reshape(texts, CELLS)], axis=1)
+
+
+def possible(one: np.ndarray, two: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of profiles may belong to texts with a similarity of ``least`` or more; no such pair is missed."""
+    (distinct, total), (distinct_two, total_two) = (np.ascontiguousarray(rows[:, :16]).view("<i8").T for rows in (one, two))
+    common = np.minimum(one[:, 16:], two[:, 16:])
+    most = common.sum(axis=1, dtype=np.int64)
+    with np.errstate(divide="ignore"):
+        inverse = np.maximum(1, total / (most + total - distinct)) + np.maximum(1, total_two / (most + total_two - distinct_two))
+    return (inverse <= 1 + 1 / least + 1e-9) | (common == 255).any(axis=1)
+
+
+def described(texts: DataFrame) -> DataFrame:
+    """``digest, profile, total`` of every text with words and its distinct shingles with their weights."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in blocks(batches, "text"):
+            text, shingle, weight = shingles(data, offsets)
+            rows = pa.array(list(map(bytes, profile(text, shingle, weight, part.num_rows))), pa.binary())
+            ends = pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(values)) for values in (shingle.view(np.int64), weight.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([part.column("digest"), rows, *lists], ["digest", "profile", "shingles", "weights"])
+
+    return texts.select("digest", "text").mapInArrow(describe, "digest binary, profile binary, shingles array<bigint>, weights array<bigint>")
+
+
+def rare_shingles(about: DataFrame, least: float) -> DataFrame:
+    """``digest, shingle, inverse``: the shingles of each text at which a similar one may first be met.
+
+    They come in order of the number of texts that have them; ``inverse`` is 1 / (1 - the share that comes before).
+    Shingles of one text only lead to nobody and aren't moved to be ordered: what is not shared comes first.
+    """
+    weighted = F.explode(F.arrays_zip("shingles", "weights")).alias("s")
+    total = F.aggregate("weights", F.lit(0).cast("bigint"), lambda sum_, weight: sum_ + weight)
+    rows = about.select("digest", total.alias("total"), weighted)
+    rows = rows.select("digest", "total", F.col("s.shingles").alias("shingle"), F.col("s.weights").alias("weight"))
+    shared = about.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+    of_text = Window.partitionBy("digest")
+    ordered = of_text.orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.col("total") - F.sum("weight").over(of_text) + F.sum("weight").over(ordered) - F.col("weight")
+    rows = rows.join(shared, "shingle").withColumn("before", before / F.col("total")).where(F.col("before") <= 1 - least + 1e-9)
+    return rows.select("digest", "shingle", (1 / (1 - F.col("before"))).alias("inverse"))
+
+
+def rare_pairs(scratch: Scratch, labelled: DataFrame, about: DataFrame, least: float) -> DataFrame:
+    """``digest, pivot``: all pairs with different labels that may be similar by their rare shingles and profiles.
+
+    At a shingle, the members outside its largest class are pivots; the others are dealt over salts.
+    """
+    rows = scratch.keep(rare_shingles(about, least).join(labelled, "digest"), "rare")
+    sizes = rows.groupBy("shingle", "label").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("shingle").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("labels"))
+    salts = F.ceil(F.col("all") / SHINGLE_SHARE).cast("int")
+    most = most.where("labels > 1").select("shingle", F.col("most.label").alias("major"), salts.alias("salts"))
+    rows = scratch.keep(rows.join(most, "shingle"), "rare-opened")
+    members = rows.withColumn("salt", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int"))
+    pivots = rows.where("label != major").select(
+        "shingle",
+        F.col("digest").alias("pivot"),
+        F.col("label").alias("pivot_label"),
+        F.col("inverse").alias("pivot_inverse"),
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+    )
+    within = (F.col("label") != F.col("pivot_label")) & (F.col("inverse") + F.col("pivot_inverse") <= 1 + 1 / least + 1e-9)
+    pairs = members.join(pivots, ["shingle", "salt"]).where(within).select("digest", "pivot")
+    pairs = pairs.withColumns({"low": F.least("digest", "pivot"), "high": F.greatest("digest", "pivot")}).dropDuplicates(["low", "high"])
+    pairs = scratch.keep(pairs.select("digest", "pivot"), "rare-pairs")
+    width = CELLS + 16
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                one, two = (flat(batch.column(name))[0].reshape(-1, width) for name in ("profile", "pivot_profile"))
+                yield batch.select(["digest", "pivot"]).filter(pa.array(possible(one, two, least)))
+
+    return scratch.keep(beside(pairs, about, "profile").mapInArrow(check, "digest binary, pivot binary"), "rare-likely")
 
 
 def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -178,10 +287,7 @@ def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
 
 
 def verified(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """The rows of ``pairs`` (``digest, pivot``) whose texts are similar.
-
-    Members' texts move once, to their pivot; the text of a pivot with many members is dealt over salts.
-    """
+    """The rows of ``pairs`` (``digest, pivot``) whose texts are similar."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,15 +300,7 @@ def verified(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
                 yield part.select(["digest", "pivot"]).filter(pa.array(good))
                 at = to
 
-    shares = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / PIVOT_SHARE).cast("int").alias("salts"))
-    pivots = texts.select("digest", "text").join(shares.withColumnRenamed("pivot", "digest").hint("shuffle_hash"), "digest")
-    pivots = pivots.select(
-        F.col("digest").alias("pivot"), F.col("text").alias("pivot_text"), "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-    )
-    members = pairs.join(shares, "pivot").withColumn("salt", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int"))
-    members = texts.select("digest", "text").join(members.hint("shuffle_hash"), "digest")
-    both = members.join(pivots.drop("salts"), ["pivot", "salt"])
-    return both.select("digest", "pivot", "text", "pivot_text").mapInArrow(check, "digest binary, pivot binary")
+    return beside(pairs, texts, "text", "shuffle_hash").mapInArrow(check, "digest binary, pivot binary")
 
 
 def merged_labels(scratch: Scratch, labels: DataFrame, edges: DataFrame, name: str) -> DataFrame:
@@ -234,37 +332,44 @@ def similar_labels(scratch: Scratch, texts: DataFrame, least: float, bands: int,
     shared = scratch.keep(members.groupBy("bucket").count().where("count > 1").select("bucket"), "shared")
     members = scratch.keep(members.join(shared, "bucket", "left_semi"), "members-0")
     labels = scratch.keep(members.select("digest").distinct().withColumn("label", F.col("digest")), "labels-0")
-    checked, pivots_each, step = None, 1, 0
-    while True:
-        step += 1
+    checked = None
+
+    def merged(likely: DataFrame, step: int) -> DataFrame:
+        good = scratch.keep(verified(texts, likely, least), f"good-{step}")
+        one, two = labels.select("digest", F.col("label").alias("one")), labels.select(F.col("digest").alias("pivot"), F.col("label").alias("two"))
+        edges = scratch.keep(good.join(one, "digest").join(two, "pivot").select("one", "two").where("one != two").distinct(), f"edges-{step}")
+        scratch.drop(f"good-{step}")
+        return merged_labels(scratch, labels, edges, f"merge-{step}")
+
+    for step in range(ABSORBING_ROUNDS + 1):
         labelled = scratch.keep(members.join(labels, "digest"), f"labelled-{step}")
         sizes = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
         major = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
         major = scratch.keep(major.where("labels > 1").select("bucket", F.col("most.label").alias("major")), f"major-{step}")
         opened = scratch.keep(labelled.join(major, "bucket"), f"opened-{step}")
+        scratch.drop(f"labelled-{step}")
         if opened.isEmpty():
             return labels
-        # First a few members of the largest class take in what resembles them. Once all members outside it have been
-        # pivots, nothing is left to compare.
-        side = F.col("label") == F.col("major") if step <= ABSORBING_ROUNDS else F.col("label") != F.col("major")
+        if step == ABSORBING_ROUNDS:
+            break
+        # A few members of the largest class take in what resembles them.
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("digest"))
-        pivots = opened.where(side).withColumn("rank", rank).where(F.col("rank") <= pivots_each)
+        pivots = opened.where("label = major").withColumn("rank", rank).where(F.col("rank") <= PIVOT_GROWTH**step)
         pivots = scratch.keep(pivots.select("bucket", F.col("digest").alias("pivot"), F.col("label").alias("pivot_label")), f"pivots-{step}")
         pairs = opened.join(pivots, "bucket").where("label != pivot_label").select("digest", "pivot")
         pairs = pairs.withColumns({"low": F.least("digest", "pivot"), "high": F.greatest("digest", "pivot")}).dropDuplicates(["low", "high"])
         if checked is not None:
             pairs = pairs.join(checked, ["low", "high"], "left_anti")
         pairs = scratch.keep(pairs, f"pairs-{step}")
-        likely = scratch.keep(promising(pairs.select("digest", "pivot"), signed, least, bands * rows), f"likely-{step}")
-        good = scratch.keep(verified(texts, likely, least), f"good-{step}")
-        one, two = labels.select("digest", F.col("label").alias("one")), labels.select(F.col("digest").alias("pivot"), F.col("label").alias("two"))
-        edges = scratch.keep(good.join(one, "digest").join(two, "pivot").select("one", "two").where("one != two").distinct(), f"edges-{step}")
-        labels = merged_labels(scratch, labels, edges, f"merge-{step}")
-        scratch.drop(f"labelled-{step}", f"likely-{step}", f"good-{step}")
+        labels = merged(scratch.keep(promising(pairs.select("digest", "pivot"), signed, least, bands * rows), f"likely-{step}"), step)
         members = opened.join(pivots.select("bucket", F.col("pivot").alias("digest")), ["bucket", "digest"], "left_anti").select("bucket", "digest")
         done = pairs.select("low", "high")
         checked = done if checked is None else checked.unionByName(done)
-        pivots_each *= PIVOT_GROWTH
+
+    labelled = scratch.keep(opened.select("digest", "label").distinct(), "open")
+    about = texts.select("digest", "text").join(labelled.select("digest").hint("shuffle_hash"), "digest")
+    about = scratch.keep(described(about), "profiles")
+    return merged(rare_pairs(scratch, labelled, about, least), ABSORBING_ROUNDS)
 
 
 def _by_text(docs: DataFrame, least: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
