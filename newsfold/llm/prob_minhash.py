@@ -12,8 +12,8 @@ only.
 - **Verification** is exact, on the texts of pairs that agree in about as many registers. In a bucket of a band every member
   is held against a pivot from the largest class; then the pivot leaves, and buckets whose members are not yet in one class
   go on for ``ABSORBING_ROUNDS`` with ``PIVOT_GROWTH`` times as many pivots. Members of one class are never compared again.
-- **Rare shingles** settle what is still open, without loss. Let o and o' be the shares of two texts' words windows that lie
-  in common shingles. Their similarity is at most 1 / (1/o + 1/o' - 1): the sum over j for a common shingle i is at least
+- **Rare shingles** settle what is still open, without loss. Let o and o' be the shares of two texts' shingles, by weight, that
+  are common. Their similarity is at most 1 / (1/o + 1/o' - 1): the sum over j for a common shingle i is at least
   1/p_i + (1 - o') / q_i for the normalised weights p and q, and the inverse of that is concave and homogeneous in (p_i, q_i).
   So for similar texts 1/o + 1/o' <= 1 + 1/``least``. Shingles are ordered by the number of open texts that have them; what
   comes before the first common one is not common, so texts meet at a shingle only if the shares left from there on keep to that
@@ -43,7 +43,7 @@ ROWS = 4
 #: Members that are held against one copy of their pivot's text.
 PIVOT_SHARE = 256
 PIVOT_GROWTH = 4
-ABSORBING_ROUNDS = 3
+ABSORBING_ROUNDS = 2
 DEVIATIONS = 5
 #: Open texts of one shingle that meet the pivots in one task.
 SHINGLE_SHARE = 4096
@@ -187,7 +187,7 @@ def possible(one: np.ndarray, two: np.ndarray, least: float) -> np.ndarray:
 
 
 def described(texts: DataFrame) -> DataFrame:
-    """``digest, profile, total`` of every text with words and its distinct shingles with their weights."""
+    """``digest, profile, shingles, weights`` of every text: its distinct shingles and how often each occurs."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches, "text"):

@@ -1,5 +1,8 @@
 """Quality rules whose limits come from the corpus: mergeable quantile sketches for each language and source.
 
+A sketch is the number of values in each bucket of a logarithmic scale, so merging is adding whole numbers: the order of
+tasks and merges changes nothing, and a quantile is off by a share of ``RELATIVE_ERROR`` at most.
+
 Each measure of a document is held against a fence around the quartiles of its own (language, source): ``WIDTH`` times
 the quartile range beyond the quartile, and a tolerance for the grain of a ratio of small counts. Junk in up to a
 quarter of a group doesn't move its quartiles. Shares that are zero in most documents, and that the base rules bound,
@@ -16,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsfold.llm.blocks import SPACE, blocks, pieces, words
@@ -29,9 +32,14 @@ WIDTH = 3.0
 TAIL = 0.95
 #: A group's quantiles weigh as much as its language's at so many documents.
 PRIOR_ROWS = 20
+RELATIVE_ERROR = 0.005
 #: Fences of at most so many groups (about 100 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_GROUPS = 50_000
 
+_GROWTH = (1 + RELATIVE_ERROR) / (1 - RELATIVE_ERROR)
+_ZERO = -(1 << 30)
+RANKS = {"q1": 0.25, "q3": 0.75, "tail": TAIL}
+
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -126,11 +134,40 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | repeated
 
 
-def _blended(name: str, rank: float) -> Column:
+def sketched(fit: DataFrame) -> DataFrame:
+    """``lang, source, measure, bucket, n``: a sketch of each measure (by its place in ``MEASURES``) for each group.
+
+    Values are counted map-side, so a group with a third of all rows costs no more than another.
+    """
+
+    def bucket(value: Column) -> Column:
+        return F.when(value > 0, F.ceil(F.log(value) / F.log(F.lit(_GROWTH)))).otherwise(_ZERO).cast("int")
+
+    found = F.explode(F.array(*(F.struct(F.lit(at).alias("measure"), bucket(m.column()).alias("bucket")) for at, m in enumerate(MEASURES))))
+    rows = fit.select("lang", "source", found.alias("found")).select("lang", "source", "found.*")
+    return rows.groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n"))
+
+
+def quantiles(sketches: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    """``keys``, the number of documents ``<prefix>n`` and ``<prefix><measure>_<rank>`` for each of ``RANKS``, of merged sketches."""
+    merged = sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*keys, "measure")
+    upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    value = F.when(F.col("bucket") == _ZERO, 0.0).otherwise(2 * F.pow(F.lit(_GROWTH), "bucket") / (1 + _GROWTH))
+    merged = merged.withColumns({"total": F.sum("n").over(group), "upto": upto, "value": value})
+    out = [F.max("total").alias(prefix + "n")]
+    for at, measure in enumerate(MEASURES):
+        for name, rank in RANKS.items():
+            reached = (F.col("measure") == at) & (F.col("upto") >= F.ceil(rank * F.col("total")))
+            out.append(F.min(F.when(reached, F.col("value"))).alias(f"{prefix}{measure.name}_{name}"))
+    return merged.groupBy(*keys).agg(*out)
+
+
+def _blended(name: str, rank: str) -> Column:
     """A quantile of all documents, of the language and of the group, each taking its share from the one before."""
     out = None
     for prefix in ("a_", "l_", "g_"):
-        own, n = F.kll_sketch_get_quantile_double(F.col(prefix + name), F.lit(rank)), F.col(prefix + "n")
+        own, n = F.col(f"{prefix}{name}_{rank}"), F.col(prefix + "n")
         out = own if out is None else (n * own + PRIOR_ROWS * out) / (n + PRIOR_ROWS)
     return out
 
@@ -138,27 +175,19 @@ def _blended(name: str, rank: float) -> Column:
 def fences(counted: DataFrame) -> DataFrame:
     """``lang, source`` and, for each measure, ``<name>_low`` and ``<name>_high`` (null: no limit).
 
-    A sketch per group is built map-side and merged; nothing but sketches is shuffled, so a group with a third of all
-    rows costs no more than another. Documents that fail the base rules don't count.
+    Nothing but sketches is shuffled. Documents that fail the base rules don't count.
     """
-    fit = counted.where(~base_failed())
-    built = [F.kll_sketch_agg_double(measure.column()).alias(measure.name) for measure in MEASURES]
-    groups = fit.groupBy("lang", "source").agg(F.count("*").alias("n"), *built)
-    merge = [F.kll_merge_agg_double(measure.name).alias(measure.name) for measure in MEASURES]
-    by_lang = groups.groupBy("lang").agg(F.sum("n").alias("n"), *merge)
-    overall = by_lang.agg(F.sum("n").alias("n"), *merge)
-
-    def named(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*(F.col(name).alias(name if name in ("lang", "source") else prefix + name) for name in df.columns))
-
-    own, lang = named(groups, "g_"), named(by_lang, "l_").withColumnRenamed("lang", "of_lang")
-    rows = own.join(lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left").join(F.broadcast(named(overall, "a_")), how="left")  # one row
+    sketches = Scratch(counted.sparkSession, "quality").keep(sketched(counted.where(~base_failed())), "sketches")
+    own = quantiles(sketches, ["lang", "source"], "g_")
+    lang = quantiles(sketches, ["lang"], "l_").withColumnRenamed("lang", "of_lang")
+    overall = quantiles(sketches, [], "a_")  # one row
+    rows = own.join(lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left").join(F.broadcast(overall), how="left")
 
     out = [F.col("lang"), F.col("source")]
     for measure in MEASURES:
-        low, high = (_blended(measure.name, rank) for rank in (0.25, 0.75))
+        low, high = (_blended(measure.name, rank) for rank in ("q1", "q3"))
         reach = WIDTH * (high - low) + measure.tolerance
-        most = F.greatest(high + reach, _blended(measure.name, TAIL) + measure.tolerance) if measure.tail else high + reach
+        most = F.greatest(high + reach, _blended(measure.name, "tail") + measure.tolerance) if measure.tail else high + reach
         out.append((low - reach if measure.low else F.lit(None).cast("double")).alias(measure.name + "_low"))
         out.append((most if measure.high else F.lit(None).cast("double")).alias(measure.name + "_high"))
     return rows.select(*out)

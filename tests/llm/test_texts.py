@@ -1,11 +1,14 @@
 """Quality rules, near-duplicates, repeated bytes and licences against plain versions."""
 
+import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from newsfold.llm import license_scan, prob_minhash, quality, suffix_dedup
+from newsfold.llm.blocks import flat
 from tests.llm import brute
 
 
@@ -49,6 +52,22 @@ def test_fences_move_smoothly_as_a_group_grows(llm_spark):
     assert at == sorted(at, reverse=True) and at[0] > at[1] > at[2] and at[2] - at[3] < 0.01
 
 
+def test_quantiles_keep_their_bound_and_no_order_changes_a_verdict(llm_spark):
+    sizes = [17 + (k * k * 7919) % 983 for k in range(500)]
+    rows = [("en" if k % 3 else None, f"s{k % 2}", 100, size, k % 9, 100, k % 5, k % 4) for k, size in enumerate(sizes)]
+    schema = "lang string, source string, n_words bigint, word_chars bigint, n_symbols bigint, n_lines bigint, n_dup_lines bigint, n_repeat_words bigint"
+    docs = llm_spark.createDataFrame(rows, schema)
+    found = quality.quantiles(quality.sketched(docs), ["lang", "source"], "").collect()
+    assert len(found) == 4
+    for row in found:
+        values = sorted(r[3] / 100 for r in rows if r[:2] == (row.lang, row.source))
+        for name, rank in quality.RANKS.items():
+            exact = values[-(-int(rank * 100) * len(values) // 100) - 1]
+            assert abs(row[f"word_length_{name}"] - exact) <= quality.RELATIVE_ERROR * exact * 1.001
+    wanted = sorted(map(str, quality.fences(docs.coalesce(1)).collect()))
+    assert all(sorted(map(str, quality.fences(docs.repartition(n, "word_chars")).collect())) == wanted for n in (2, 7))
+
+
 def test_quality_filter_keeps_rows_whole(odd_docs):
     kept = quality.filter_documents(odd_docs)
     assert kept.columns == odd_docs.columns
@@ -56,6 +75,44 @@ def test_quality_filter_keeps_rows_whole(odd_docs):
     assert Counter(r.doc_id for r in kept.collect()) == Counter({r.doc_id: r["count"] for r in wanted.collect()})
 
 
+def test_profiles_miss_no_similar_pair():
+    pick = random.Random(5)
+    texts = []
+    for _ in range(60):
+        base = [f"w{pick.randrange(40 if pick.random() < 0.3 else 5000)}" for _ in range(pick.choice([8, 40, 150]))]
+        for edits in (0, 1, 2, 4, 8):
+            words = list(base)
+            for _ in range(edits):
+                words[pick.randrange(len(words))] = f"x{pick.randrange(50)}"
+            texts.append(" ".join(words + base[: pick.choice([0, 0, 6, len(base)])]))
+    one, two = zip(*((texts[k], texts[j]) for k in range(len(texts)) for j in range(k + 1, min(k + 8, len(texts)))))
+    found = prob_minhash.similarities(pa.array(one), pa.array(two))
+    rows = []
+    for side in (one, two):
+        text, shingle, weight = prob_minhash.shingles(*flat(pa.array(side)))
+        rows.append(prob_minhash.profile(text, shingle, weight, len(side)))
+    for least in (0.3, 0.5, 0.8):
+        likely = prob_minhash.possible(*rows, least)
+        assert (found >= least).any() and likely[found >= least].all() and not likely.all()
+
+
+def test_rare_shingles_lose_no_link(llm_spark, monkeypatch):
+    """Copies of one text with more and more words changed: many share all buckets and resemble none, or only a few."""
+    pick, base = random.Random(3), [f"b{k}" for k in range(100)]
+    rows = []
+    for at in range(150):
+        words = list(base)
+        for place in pick.sample(range(100), pick.choice([0, 1, 2, 3, 4])):
+            words[place] = f"c{pick.randrange(60)}"
+        rows.append((at, " ".join(words)))
+    expected = sorted(zip(range(150), brute.near_classes(rows)))
+    docs = llm_spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert 1 < len({name for _, name in expected}) < 150
+    monkeypatch.setattr(prob_minhash, "ABSORBING_ROUNDS", 0)
+    monkeypatch.setattr(prob_minhash, "SHINGLE_SHARE", 40)
+    assert sorted(map(tuple, prob_minhash.classes(docs, bands=40, rows=2).collect())) == expected
+
+
 def test_near_classes(odd_docs, odd_rows):
     expected = Counter((row[0], name) for row, name in zip(odd_rows, brute.near_classes([row[:2] for row in odd_rows])))
     assert Counter(map(tuple, prob_minhash.classes(odd_docs).collect())) == expected
