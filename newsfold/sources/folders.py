@@ -16,6 +16,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(location)) if files.exists(location) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``; 0 if there is none."""
+    files, location = _handle(spark, path)
+    return files.getContentSummary(location).getLength() if files.exists(location) else 0
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, location = _handle(spark, path)
     files.delete(location, True)

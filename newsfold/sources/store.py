@@ -35,6 +35,8 @@ MOST_BUCKETS = 4096
 GROWTH = 8
 #: Rows of one file of a bucket.
 FILE_ROWS = 2_000_000
+#: Bytes of files, as stored, whose rows one task of a compaction takes.
+TASK_BYTES = 32 << 20
 #: Batches whose reports are kept in folders of their own; more are put together.
 SEPARATE_REPORTS = 64
 
@@ -344,9 +346,13 @@ class MentionStore:
         touched = {int(bucket) for bucket in manifest.base} if anew else current.touched()
         before = current.base(touched)
         merged = merge.merge_into(before, merge.fold_rows(newer)).withColumn("bucket", bucket_of(buckets))
-        # A bucket may be too much for one task, so it is dealt over as many as its rows take.
-        spread = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-rows // (buckets * FILE_ROWS)))))
-        laid_out = merged.repartition("bucket", spread).sortWithinPartitions("bucket", "source_slug", "published_at")
+        # A bucket may be too much for one task, so it is dealt over as many as the bytes of its files take.
+        stored = [f"base/{manifest.base[str(b)]}/bucket={b}" for b in touched if str(b) in manifest.base] + [f"delta/{delta.name}" for delta in manifest.deltas]
+        size = sum(folders.size(self.spark, self.path(name)) for name in stored)
+        met = buckets if anew else max(1, len(touched))
+        shares = max(1, -(-size // (met * TASK_BYTES)))
+        spread = F.pmod(F.xxhash64("id"), F.lit(shares))
+        laid_out = merged.repartition(met * shares, "bucket", spread).sortWithinPartitions("bucket", "source_slug", "published_at")
         kept = merge.with_search_text(laid_out, "bucket")
         kept.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("bucket").parquet(self.path(f"base/{attempt}"))
         written = {name.removeprefix("bucket=") for name in folders.children(self.spark, self.path(f"base/{attempt}")) if "=" in name}

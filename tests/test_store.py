@@ -321,3 +321,19 @@ def test_line_feeds_are_numbered_where_they_lie(spark, tmp_path):
     with pytest.raises(ValueError, match="gaps"):
         store.ingest(gaps, MORNING)
     assert store.snapshot().manifest.batch_no == 1
+
+
+def test_compaction_deals_a_bucket_by_its_bytes(spark, tmp_path, monkeypatch):
+    """A bucket of few but large rows is the work of several tasks; before, only many rows were."""
+    import newsfold.sources.store as stores
+
+    monkeypatch.setattr(stores, "TASK_BYTES", 4_000)
+    noise = random.Random(2)
+    records = [{"source": "ig", "title": f"t{at}", "content": noise.randbytes(400).hex()} for at in range(100)]
+    store = MentionStore(spark, str(tmp_path / "tables"), indexed=False)
+    put(tmp_path / "in", "a.json", records)
+    rows = mentions(store.ingest(feed.read_array_files(spark, str(tmp_path / "in")), MORNING))
+    compacted = store.compact()
+    files = list((tmp_path / "tables" / "base").rglob("*.parquet"))
+    assert len(list(compacted.manifest.base)) == 1 and len(files) > 3
+    assert len(rows) == 100 and mentions(compacted) == rows
