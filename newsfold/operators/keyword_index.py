@@ -18,8 +18,8 @@ from newsfold.operators.keywords import Term, read_keywords
 
 #: Columns of a mention that the index carries, for filters, counts and order.
 CARRIED = ("id", "source_slug", "published_at")
-#: Bytes of text whose postings make one file.
-FILE_BYTES = 256 << 20
+#: Bytes of text whose postings make one file: few enough for one task to sort their rows in memory.
+FILE_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -57,11 +57,12 @@ def gathered(each: DataFrame, *more: str) -> DataFrame:
 def _dealt(mentions: DataFrame, layout: Layout, *more: str) -> DataFrame:
     """One row per mention and bucket that has words of it: ``bucket``, ``words`` with one space between, and their ``at``.
 
-    So the words of a mention move together, a few bytes each, instead of one row per word.
+    So the words of a mention move together, a few bytes each, instead of one row per word. Equal words are neighbours, in the
+    order of their places.
     """
     words = F.split(F.trim("search_text"), " ")
-    keyed = F.transform(words, lambda word, at: F.struct(layout.bucket(word).alias("bucket"), at.alias("at"), word.alias("word")))
-    rows = mentions.select(*CARRIED, *more, F.array_sort(keyed).alias("keyed")).withColumn("buckets", F.col("keyed.bucket"))
+    keyed = F.transform(words, lambda word, at: F.struct(layout.bucket(word).alias("bucket"), word.alias("word"), at.alias("at")))
+    rows = mentions.select(*CARRIED, *more, F.sort_array(keyed).alias("keyed")).withColumn("buckets", F.col("keyed.bucket"))
     # Words lie in order of their bucket; each bucket's words begin where it first occurs.
     firsts = F.transform(F.array_distinct("buckets"), lambda bucket: F.array_position("buckets", bucket).cast("int"))
     rows = rows.withColumn("firsts", firsts).withColumn("ends", F.array_append(F.slice("firsts", 2, F.size("firsts")), F.size("buckets") + 1))
@@ -73,6 +74,18 @@ def _dealt(mentions: DataFrame, layout: Layout, *more: str) -> DataFrame:
     )
 
 
+def _own_words(moved: DataFrame, *kept: str) -> DataFrame:
+    """One row per word of each row of :func:`_dealt`, with its ``positions``; equal words are neighbours, so nothing is grouped."""
+    rows = moved.select(*kept, F.split("words", " ").alias("word"), "at")
+    new = F.filter(F.transform("word", lambda _, nth: nth), lambda nth: (nth == 0) | (F.get("word", nth) != F.get("word", nth - 1)))
+    rows = rows.withColumn("firsts", new)
+    rows = rows.withColumn("ends", F.array_append(F.slice("firsts", 2, F.size("firsts")), F.size("word")))
+    runs = F.arrays_zip(F.col("firsts").alias("first"), F.col("ends").alias("end"))
+    rows = rows.select(*kept, "word", "at", F.explode(runs).alias("run"))
+    positions = F.slice("at", F.col("run.first") + 1, F.col("run.end") - F.col("run.first"))
+    return rows.select(*kept, F.get("word", F.col("run.first")).alias("token"), positions.alias("positions")).where("token <> ''")
+
+
 def text_bytes(texts: DataFrame, column: str = "search_text") -> int:
     return texts.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0]
 
@@ -80,14 +93,19 @@ def text_bytes(texts: DataFrame, column: str = "search_text") -> int:
 def write_postings(mentions: DataFrame, path: str, *more: str, size: int | None = None) -> Layout:
     """Store the postings of ``mentions`` below ``path``; returns how they are laid out.
 
-    One shuffle, by bucket of the word and part of the mention; words become rows and are gathered where they arrive.
+    One shuffle, by bucket of the word and part of the mention; words become rows where they arrive. Only if rows of ``mentions``
+    share all carried columns are their places put together.
     ``size`` says how many bytes of text there are about, where that is known without computing ``mentions`` once more.
     """
     layout = Layout.of_bytes(text_bytes(mentions) if size is None else size, int(mentions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     part = F.pmod(F.xxhash64("id"), F.lit(layout.parts)).cast("int")
-    moved = _dealt(mentions, layout, *more).withColumn("part", part).repartition(layout.buckets * layout.parts, "bucket", "part")
-    each = moved.select("bucket", "part", *CARRIED, *more, "at", F.posexplode(F.split("words", " ")).alias("nth", "token")).where("token <> ''")
-    rows = gathered(each.withColumn("pos", F.get("at", F.col("nth"))).drop("at", "nth"), *more, "bucket", "part")
+    # A task for each bucket and part, so that no two of them fall into one by hash.
+    moved = _dealt(mentions, layout, *more).withColumn("part", part)
+    moved = moved.repartitionById(layout.buckets * layout.parts, F.col("bucket") * layout.parts + F.col("part"))
+    rows = _own_words(moved, "bucket", "part", *CARRIED, *more)
+    keys = [*CARRIED, *more]
+    if not mentions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        rows = rows.groupBy("token", *keys, "bucket", "part").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))
     rows.drop("part").sortWithinPartitions("bucket", "token", "id").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
     return layout
 

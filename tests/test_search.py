@@ -160,6 +160,27 @@ def test_index_layouts_agree(spark, with_undated, tmp_path, monkeypatch):
         assert {row.token for row in found.collect()} <= {"festival", "solar"} and found.count() > 0
 
 
+def test_rows_with_equal_carried_columns_share_their_postings(spark, tmp_path):
+    rows = [(None, "a", " x y x "), (None, "a", " y "), (1, "a", " x "), (1, "b", " x x "), (2, "a", "  "), (3, None, None)]
+    named = spark.createDataFrame(rows, "id bigint, source_slug string, search_text string").withColumn("published_at", F.lit(None).cast("timestamp"))
+    layout = keyword_index.write_postings(named, str(tmp_path / "index"))
+    stored = keyword_index.read_postings(spark, str(tmp_path / "index")).drop("bucket")
+    assert layout.buckets == 1
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, keyword_index.gathered(keyword_index.occurrences(named)).collect()))
+
+
+def test_postings_of_one_task_fit_its_memory(spark, tmp_path, with_undated):
+    """One task for each bucket and part, of 32 MB of text at most; rows are sorted once and not aggregated."""
+    layout = keyword_index.Layout.of_bytes(6 << 30)
+    assert layout.buckets * layout.parts >= 192
+    with_undated[0].write.parquet(str(tmp_path / "mentions"))
+    stored = spark.read.schema(schemas.STORED_MENTIONS).parquet(str(tmp_path / "mentions"))
+    moved = keyword_index._own_words(keyword_index._dealt(stored, layout), "bucket", *keyword_index.CARRIED)
+    assert "Aggregate" not in moved._jdf.queryExecution().executedPlan().toString()
+    words = {(row.token, row.id): row.positions for row in moved.collect()}
+    assert words == {(row.token, row.id): row.positions for row in keyword_index.gathered(keyword_index.occurrences(with_undated[0])).collect()}
+
+
 def test_texts_are_read_for_a_page_only(spark, with_undated, tmp_path, index):
     with_undated[0].write.parquet(str(tmp_path / "mentions"))
     stored = spark.read.schema(schemas.STORED_MENTIONS).parquet(str(tmp_path / "mentions"))
