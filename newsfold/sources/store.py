@@ -265,7 +265,7 @@ class MentionStore:
         return self.spark.read.parquet(self.path(f"staged/{attempt}"))
 
     def _write(self, df: DataFrame, name: str) -> None:
-        df.write.parquet(self.path(name))
+        df.write.option("compression", "zstd").parquet(self.path(name))
 
     def _write_problems(self, staged: DataFrame, batch_no: int, attempt: str, indexed: bool) -> None:
         """Errors and warnings with the record's index in its file."""
@@ -354,7 +354,7 @@ class MentionStore:
         spread = F.pmod(F.xxhash64("id"), F.lit(shares))
         laid_out = merged.repartition(met * shares, "bucket", spread).sortWithinPartitions("bucket", "source_slug", "published_at")
         kept = merge.with_search_text(laid_out, "bucket")
-        kept.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("bucket").parquet(self.path(f"base/{attempt}"))
+        kept.write.options(maxRecordsPerFile=FILE_ROWS, compression="zstd").partitionBy("bucket").parquet(self.path(f"base/{attempt}"))
         written = {name.removeprefix("bucket=") for name in folders.children(self.spark, self.path(f"base/{attempt}")) if "=" in name}
         base = {b: name for b, name in manifest.base.items() if int(b) not in touched} | dict.fromkeys(written, attempt)
         new_rows = self.spark.read.parquet(self.path(f"base/{attempt}")).count()

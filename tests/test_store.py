@@ -337,3 +337,13 @@ def test_compaction_deals_a_bucket_by_its_bytes(spark, tmp_path, monkeypatch):
     files = list((tmp_path / "tables" / "base").rglob("*.parquet"))
     assert len(list(compacted.manifest.base)) == 1 and len(files) > 3
     assert len(rows) == 100 and mentions(compacted) == rows
+
+
+def test_stored_tables_are_kept_with_zstd(spark, tmp_path):
+    store = MentionStore(spark, str(tmp_path / "tables"))
+    put(tmp_path / "in", "a.json", [{"source": "ig", "title": "t", "content": "some words"}])
+    store.ingest(feed.read_array_files(spark, str(tmp_path / "in")), MORNING)
+    store.compact()
+    for table in ("staged", "delta", "base", "index"):
+        names = [file.name for file in (tmp_path / "tables" / table).rglob("*.parquet")]
+        assert names and all(name.endswith(".zstd.parquet") for name in names)
