@@ -194,6 +194,24 @@ def test_a_suffix_of_two_chunks_counts_once(llm_spark, monkeypatch):
     assert got == [(at, *left) for at, left in enumerate(brute.without_repeats(texts, 400))] and got[0][2] == 0
 
 
+def test_a_very_long_text_takes_little_memory():
+    """Arrays of 8 bytes for each byte are made of one chunk at a time."""
+    import random
+    import tracemalloc
+
+    import numpy as np
+
+    data = np.frombuffer(random.Random(4).randbytes(6 << 20), np.uint8)
+    tracemalloc.start()
+    try:
+        for _ in suffix_dedup.runs(data, np.array([0, len(data)]), 400, suffix_dedup.CHUNK_BYTES):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 200 << 20
+
+
 def test_nothing_goes_at_the_boundaries_of_a_very_long_text(llm_spark):
     import random
 
