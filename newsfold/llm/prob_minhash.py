@@ -17,8 +17,9 @@ only.
   1/p_i + (1 - o') / q_i for the normalised weights p and q, and the inverse of that is concave and homogeneous in (p_i, q_i).
   So for similar texts 1/o + 1/o' <= 1 + 1/``least``. Shingles are ordered by the number of open texts that have them; what
   comes before the first common one is not common, so texts meet at a shingle only if the shares left from there on keep to that
-  bound, and a text that resembles none meets few. Of the pairs found, those go on to the texts whose counts of shingles by
-  hash cell keep to it, too.
+  bound. Nor do they have more shingles in common than either has left there, so the one that has less left bounds both shares:
+  a text of which a few words too many are its own meets none of a group that else is like it. Of the pairs found, those go on
+  to the texts whose counts of shingles by hash cell keep to the bound, too.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsfold.llm.blocks import blocks, flat, pieces, words
@@ -187,7 +188,10 @@ def possible(one: np.ndarray, two: np.ndarray, least: float) -> np.ndarray:
 
 
 def described(texts: DataFrame) -> DataFrame:
-    """``digest, profile, shingles, weights`` of every text: its distinct shingles and how often each occurs."""
+    """``digest, profile, total, spare, shingles, weights`` of every text: its distinct shingles and how often each occurs.
+
+    ``total`` is the sum of the weights, ``spare`` what it has beyond one for each distinct shingle.
+    """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in blocks(batches, "text"):
@@ -195,27 +199,37 @@ def described(texts: DataFrame) -> DataFrame:
             rows = pa.array(list(map(bytes, profile(text, shingle, weight, part.num_rows))), pa.binary())
             ends = pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32())
             lists = [pa.ListArray.from_arrays(ends, pa.array(values)) for values in (shingle.view(np.int64), weight.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([part.column("digest"), rows, *lists], ["digest", "profile", "shingles", "weights"])
+            total = np.bincount(text, weights=weight, minlength=part.num_rows).astype(np.int64)
+            sums = [pa.array(total), pa.array(total - np.bincount(text, minlength=part.num_rows))]
+            yield pa.RecordBatch.from_arrays([part.column("digest"), rows, *sums, *lists], names)
 
-    return texts.select("digest", "text").mapInArrow(describe, "digest binary, profile binary, shingles array<bigint>, weights array<bigint>")
+    schema = "digest binary, profile binary, total bigint, spare bigint, shingles array<bigint>, weights array<bigint>"
+    names = [field.split()[0] for field in schema.split(", ")]
+    return texts.select("digest", "text").mapInArrow(describe, schema)
 
 
 def rare_shingles(about: DataFrame, least: float) -> DataFrame:
-    """``digest, shingle, inverse``: the shingles of each text at which a similar one may first be met.
+    """``digest, shingle, inverse, left, total, spare``: the shingles of each text at which a similar one may first be met.
 
-    They come in order of the number of texts that have them; ``inverse`` is 1 / (1 - the share that comes before).
-    Shingles of one text only lead to nobody and aren't moved to be ordered: what is not shared comes first.
+    They come in order of the number of texts that have them; ``inverse`` is 1 / (1 - the share that comes before) and
+    ``left`` the number of shared shingles from this one on. Shingles of one text only lead to nobody and aren't moved
+    to be ordered: what is not shared comes first.
     """
     weighted = F.explode(F.arrays_zip("shingles", "weights")).alias("s")
-    total = F.aggregate("weights", F.lit(0).cast("bigint"), lambda sum_, weight: sum_ + weight)
-    rows = about.select("digest", total.alias("total"), weighted)
-    rows = rows.select("digest", "total", F.col("s.shingles").alias("shingle"), F.col("s.weights").alias("weight"))
+    rows = about.select("digest", "total", "spare", weighted)
+    rows = rows.select("digest", "total", "spare", F.col("s.shingles").alias("shingle"), F.col("s.weights").alias("weight"))
     shared = about.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
     of_text = Window.partitionBy("digest")
     ordered = of_text.orderBy("texts", "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.col("total") - F.sum("weight").over(of_text) + F.sum("weight").over(ordered) - F.col("weight")
-    rows = rows.join(shared, "shingle").withColumn("before", before / F.col("total")).where(F.col("before") <= 1 - least + 1e-9)
-    return rows.select("digest", "shingle", (1 / (1 - F.col("before"))).alias("inverse"))
+    left = F.count("*").over(of_text) - F.count("*").over(ordered) + 1
+    rows = rows.join(shared, "shingle").withColumns({"before": before / F.col("total"), "left": left}).where(F.col("before") <= 1 - least + 1e-9)
+    return rows.select("digest", "shingle", (1 / (1 - F.col("before"))).alias("inverse"), "left", "total", "spare")
+
+
+def inverse_share(inverse: str, left: Column, total: str, spare: str) -> Column:
+    """The least 1 / (the common share) of a text of whose shingles ``left`` are common at most; each other one weighs 1 or more."""
+    return F.greatest(F.col(inverse), F.col(total) / (left + F.col(spare)))
 
 
 def rare_pairs(scratch: Scratch, labelled: DataFrame, about: DataFrame, least: float) -> DataFrame:
@@ -234,10 +248,12 @@ def rare_pairs(scratch: Scratch, labelled: DataFrame, about: DataFrame, least: f
         "shingle",
         F.col("digest").alias("pivot"),
         F.col("label").alias("pivot_label"),
-        F.col("inverse").alias("pivot_inverse"),
+        *(F.col(name).alias(f"pivot_{name}") for name in ("inverse", "left", "total", "spare")),
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
     )
-    within = (F.col("label") != F.col("pivot_label")) & (F.col("inverse") + F.col("pivot_inverse") <= 1 + 1 / least + 1e-9)
+    left = F.least("left", "pivot_left")
+    both = inverse_share("inverse", left, "total", "spare") + inverse_share("pivot_inverse", left, "pivot_total", "pivot_spare")
+    within = (F.col("label") != F.col("pivot_label")) & (both <= 1 + 1 / least + 1e-9)
     pairs = members.join(pivots, ["shingle", "salt"]).where(within).select("digest", "pivot")
     pairs = pairs.withColumns({"low": F.least("digest", "pivot"), "high": F.greatest("digest", "pivot")}).dropDuplicates(["low", "high"])
     pairs = scratch.keep(pairs.select("digest", "pivot"), "rare-pairs")

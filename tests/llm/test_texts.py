@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsfold.llm import license_scan, prob_minhash, quality, suffix_dedup
 from newsfold.llm.blocks import flat
+from newsfold.llm.scratch import Scratch
 from tests.llm import brute
 
 
@@ -113,6 +114,49 @@ def test_rare_shingles_lose_no_link(llm_spark, monkeypatch):
     assert sorted(map(tuple, prob_minhash.classes(docs, bands=40, rows=2).collect())) == expected
 
 
+def met_and_similar(spark, texts, least=0.8):
+    """The pairs of numbers of texts that meet by rare shingles, those that are left by the counts, and the similar ones."""
+    names = [bytes([at]) for at in range(len(texts))]
+    frame = spark.createDataFrame(list(zip(names, texts)), "digest binary, text string")
+    scratch = Scratch(spark, "rare")
+    about = scratch.keep(prob_minhash.described(frame), "about")
+    likely = prob_minhash.rare_pairs(scratch, frame.select("digest", F.col("digest").alias("label")), about, least)
+    met = spark.read.parquet(scratch.path("rare-pairs"))
+    pairs = [(one, two) for two in range(len(texts)) for one in range(two)]
+    found = prob_minhash.similarities(pa.array([texts[one] for one, _ in pairs]), pa.array([texts[two] for _, two in pairs]))
+    similar = {pair for pair, value in zip(pairs, found) if value >= least}
+    return *({tuple(sorted((row.digest[0], row.pivot[0]))) for row in rows.collect()} for rows in (met, likely)), similar
+
+
+def test_texts_too_far_from_a_group_meet_none_of_it(llm_spark):
+    """Texts with four words of their own resemble none with one; both have most of their shingles in common with others."""
+    base = [f"b{k}" for k in range(150)]
+
+    def changed(at, places):
+        return " ".join(f"own{at}" if k in places else word for k, word in enumerate(base))
+
+    group = [changed(at, {3 + 7 * at}) for at in range(20)]
+    apart = [changed(20 + at, {at + 10, at + 40, at + 70, at + 100}) for at in range(20)]
+    met, likely, similar = met_and_similar(llm_spark, group + apart)
+    within = {(one, two) for two in range(20) for one in range(two)}
+    assert similar == within and likely >= within
+    assert met == within  # by the shares alone, 400 pairs more
+
+
+def test_rare_shingles_of_texts_that_repeat_words(llm_spark):
+    pick, texts = random.Random(5), []
+    for _ in range(90):
+        words = [f"p{k % 17}" for k in range(60)] + [f"q{k}" for k in range(60)]
+        for _ in range(pick.choice([0, 1, 2, 3, 4])):
+            at = pick.randrange(len(words))
+            words[at : at + pick.choice([0, 1, 9])] = pick.choice([[f"x{pick.randrange(8)}"], [], words[:17]])
+        texts.append(" ".join(words))
+    texts = sorted(set(texts))
+    met, likely, similar = met_and_similar(llm_spark, texts)
+    assert 100 < len(similar) < len(texts) * (len(texts) - 1) / 2
+    assert similar <= likely <= met
+
+
 def test_near_classes(odd_docs, odd_rows):
     expected = Counter((row[0], name) for row, name in zip(odd_rows, brute.near_classes([row[:2] for row in odd_rows])))
     assert Counter(map(tuple, prob_minhash.classes(odd_docs).collect())) == expected
