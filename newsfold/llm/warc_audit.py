@@ -12,10 +12,11 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsfold.llm.scratch import Scratch
@@ -27,10 +28,34 @@ FANOUT_BITS = 6
 FILE_LEVELS = 3
 ROOT_LEVELS = 7
 
+#: A row group for each file: by default a writer holds 100 rows before it looks at their size, and a reader holds a row
+#: group. Without the contents' dictionary and least and greatest values, which a writer holds up to the footer.
+FILE_TABLE = {
+    "parquet.block.row.count.limit": "1",
+    "parquet.enable.dictionary#content": "false",
+    "parquet.column.statistics.enabled#content": "false",
+}
+#: Vectored reads hold a row group's html twice, as one range and as the buffer it is read through.
+PAGE_TABLE = {"parquet.hadoop.vectored.io.enabled": "false"}
+#: An Arrow batch to Python ends after the file or the page that fills it.
+BATCH_BYTES = 4 << 20
+
 FILES = "file string, content binary"
 RECORDS = "file string, at bigint, length bigint, record_id string, digest string"
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of ``BATCH_BYTES`` or so meanwhile: a batch is held some times over on its way to Python."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def warc_record(page_id: int | None, url: str | None, html: str | None) -> bytes:
     """One resource record; a null url or body is empty, a null id reads ``null``."""
     body = (html or "").encode()
@@ -155,7 +180,8 @@ def audit(replica: DataFrame, other: DataFrame) -> DataFrame:
     replicas give no rows. Files are told apart by name.
     """
     scratch = Scratch(replica.sparkSession, "warc-audit")
-    ours, theirs = scratch.keep(records(replica), "ours"), scratch.keep(records(other), "theirs")
+    with small_batches(replica.sparkSession):
+        ours, theirs = scratch.keep(records(replica), "ours"), scratch.keep(records(other), "theirs")
     ranges = mismatching_ranges(tree(ours, scratch, "our-tree"), tree(theirs, scratch, "their-tree"), scratch)
 
     def hit(found: DataFrame) -> DataFrame:
@@ -190,7 +216,8 @@ def with_damage(replica: DataFrame, every: int) -> DataFrame:
 def audited_pages(pages: DataFrame, damage_every: int) -> DataFrame:
     """Pack pages as a replica, keep a second one with known damage, and audit them: ``page_id`` and the audit's columns."""
     scratch = Scratch(pages.sparkSession, f"warc-{uuid.uuid4().hex[:8]}")
-    replica = scratch.keep(warc_files(pages), "replica")
-    other = scratch.keep(with_damage(replica, damage_every), "other")
+    with small_batches(pages.sparkSession):
+        replica = scratch.keep(warc_files(pages), "replica", **FILE_TABLE)
+        other = scratch.keep(with_damage(replica, damage_every), "other", **FILE_TABLE)
     number = F.regexp_extract("record_id", "^<urn:page:(-?[0-9]+)>$", 1)
     return audit(replica, other).withColumn("page_id", F.when(number != "", number.cast("bigint")))

@@ -3,6 +3,8 @@
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,40 @@ def test_equal_files_are_told_apart(llm_spark, tmp_path):
     assert {row.status for row in rows} == {"intact", "differs"}
 
 
+def test_replicas_are_held_file_by_file(llm_spark, tmp_path, monkeypatch):
+    """Row groups and batches end after the file that fills them, however many files a task packs."""
+    setting, seen, keep = "spark.sql.execution.arrow.maxBytesPerBatch", {}, warc_audit.Scratch.keep
+
+    def kept(scratch, df, table, **options):
+        seen[table] = llm_spark.conf.get(setting, None)
+        return keep(scratch, df, table, **options)
+
+    monkeypatch.setattr(warc_audit.Scratch, "keep", kept)
+    monkeypatch.setattr("newsfold.llm.scratch.shared_folder", lambda spark: str(tmp_path))
+    body = F.expr(f"repeat(char(97 + id), if(id < 5, {warc_audit.FILE_BYTES}, 100))")
+    long = llm_spark.range(0, 6, 1, 1).select(F.col("id").alias("page_id"), F.lit("http://x/").alias("url"), body.alias("html"))
+    rows = warc_audit.audited_pages(long, 2).collect()
+    assert {row.page_id: row.status for row in rows} == {k: "intact" if k % 2 else "differs" for k in range(6)}
+    for table in ("replica", "other"):
+        groups = [m.row_group(g) for m in map(pq.read_metadata, tmp_path.glob(f"warc-*/{table}/*.parquet")) for g in range(m.num_row_groups)]
+        assert [group.num_rows for group in groups] == [1] * 6
+        # A writer holds the least and greatest values of all its row groups, 8 MB each.
+        assert all(group.column(1).path_in_schema == "content" and group.column(1).statistics is None for group in groups)
+    assert {table for table, value in seen.items() if value == str(warc_audit.BATCH_BYTES)} == {"replica", "other", "ours", "theirs"}
+    assert llm_spark.conf.get(setting, None) is None
+
+
+def test_batches_are_small_meanwhile(llm_spark):
+    def count(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    files = llm_spark.range(0, 4, 1, 1).select(F.expr(f"cast(repeat('x', {warc_audit.BATCH_BYTES}) as binary)").alias("content"))
+    with warc_audit.small_batches(llm_spark):
+        assert [row.n for row in files.mapInArrow(count, "n bigint").collect()] == [1] * 4
+    assert [row.n for row in files.mapInArrow(count, "n bigint").collect()] == [4]
+
+
 def test_garbage_is_one_record():
     record = warc_audit.warc_record(1, "u", "h")
     assert [(at, size) for at, size, _ in warc_audit.parse(memoryview(b"junk\r\n\r\n" + record))] == [(0, 8), (8, len(record))]
