@@ -1,3 +1,4 @@
+import gc
 import random
 
 import pytest
@@ -13,6 +14,15 @@ def llm_spark(spark):
     return spark
 
 
+@pytest.fixture(scope="package", autouse=True)
+def nothing_stays_cached(spark):
+    """What tests of this package cache is dropped after them; a plan of ``test_merge`` takes nearly all memory in one task."""
+    yield
+    spark.catalog.clearCache()
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls, empty and very long texts, repeated rows and columns that operators could mistake for their own."""
